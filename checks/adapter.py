@@ -165,7 +165,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _staged:
         inputs = {n: view(spark, sf_dir, n) for n in _needs(name)}
-        _staged[key] = stage(spark.sql(VIEWS[name], **inputs), scratch(spark, name))
+        # Even files, however few splits the given single files have.
+        _staged[key] = stage(spark.sql(VIEWS[name], **inputs).hint("rebalance"), scratch(spark, name))
     return _staged[key]
 
 

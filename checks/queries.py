@@ -542,8 +542,8 @@ def q_run_counts(spark, sf):
             title = r["table_name"].title()
             acts.append({"activityName": f"Copy_{title}_Incremental_To_Raw", "rowsCopied": r["copied_rows"], "firstRow": None})
             acts.append({"activityName": f"Lookup_{title}_Window", "rowsCopied": None, "firstRow": {"expected_rows": r["expected_rows"]}})
-        docs.append((json.dumps({"runId": run, "status": "Succeeded", "activities": acts}, indent=1),))
-    spark.createDataFrame(docs, "value string").repartition(2, "value").write.option("lineSep", "\n").text(root)
+        docs.append((run, json.dumps({"runId": run, "status": "Succeeded", "activities": acts}, indent=1),))
+    spark.createDataFrame(docs, "run string, value string").write.partitionBy("run").text(root)
     return inventory.run_counts(inventory.read_runs(spark, root))
 
 

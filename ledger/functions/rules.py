@@ -1,8 +1,8 @@
 """Parsing and checking rules as column expressions.
 
-A parser takes a field name (and, if it is already at hand, the stripped text) and returns
-``(typed, reason)``: the typed value (null where the text is blank or bad) and the reason (null where
-the text is fine).  A check takes typed
+A parser takes a field name and returns ``(typed, reason)``: the typed value (null where the text is
+blank or bad) and the reason (null where the text is fine); ``*_value`` and ``parse_reason`` are its two
+halves, for jobs that keep the stripped text and the value as columns.  A check takes typed
 columns and returns only a reason.  Nothing here leaves the JVM.
 
 Number texts follow the usual literal forms: an integer has an optional sign and digits that may be
@@ -25,6 +25,7 @@ WHITESPACE = (
 )
 INTEGER = r"^[+-]?[0-9]+(_[0-9]+)*$"
 DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+PLAIN_DECIMAL = r"^[+-]?[0-9]+(\.[0-9]{0,6}0*)?$"
 TIMESTAMP = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
     r"([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$"
@@ -32,46 +33,60 @@ TIMESTAMP = (
 
 
 def stripped(name: str) -> Column:
-    """The text without surrounding white space; null where nothing is left."""
-    return F.nullif(F.btrim(F.col(name), F.lit(WHITESPACE)), F.lit(""))
+    """The text without surrounding white space; null where nothing is left.
 
+    Trimming with a set of characters is slow, so it is left out for texts that begin and end with
+    a visible ASCII character, which nearly all do.
+    """
+    text = F.col(name)
+    tidy = F.left(text, F.lit(1)).between("!", "~") & F.right(text, F.lit(1)).between("!", "~")
+    trimmed = F.btrim(text, F.lit(WHITESPACE))
+    return F.when(tidy, text).when(trimmed != "", trimmed)
 
-def _parsed(name: str, kind: str, text: Column, typed: Column, required: bool = True):
-    reason = F.when(
-        text.isNotNull() & typed.isNull(), F.lit(f"INVALID_{kind}_{name.upper()}")
+
+def int_value(text: Column) -> Column:
+    return F.when(text.rlike(INTEGER), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
+
+
+def decimal_value(text: Column) -> Column:
+    """Only texts with an exponent or digit groups take the longer way that proves nothing is rounded."""
+    digits = F.replace(text, F.lit("_"), F.lit(""))
+    exact = digits.try_cast("decimal(38,18)")
+    narrow = exact.try_cast("decimal(18,6)")
+    return F.when(text.rlike(PLAIN_DECIMAL), text.try_cast("decimal(18,6)")).when(
+        digits.rlike(DECIMAL) & (narrow == exact), narrow
     )
-    if required:
-        reason = F.when(text.isNull(), F.lit(f"MISSING_REQUIRED_{name.upper()}")).otherwise(reason)
-    return typed, reason
 
 
-def required_text(name: str, text: Column | None = None) -> tuple[Column, Column]:
-    text = stripped(name) if text is None else text
+def ts_value(text: Column) -> Column:
+    """Instants; a text without an offset is UTC."""
+    return F.when(text.rlike(TIMESTAMP), text.try_cast("timestamp"))
+
+
+def parse_reason(name: str, kind: str, text: Column, typed: Column, required: bool = True) -> Column:
+    """Why ``typed`` is null: blank text (if ``required``) or bad text."""
+    bad = F.when(text.isNotNull() & typed.isNull(), F.lit(f"INVALID_{kind}_{name.upper()}"))
+    return F.when(text.isNull(), F.lit(f"MISSING_REQUIRED_{name.upper()}")).otherwise(bad) if required else bad
+
+
+def required_text(name: str) -> tuple[Column, Column]:
+    text = stripped(name)
     return text, F.when(text.isNull(), F.lit(f"MISSING_REQUIRED_{name.upper()}"))
 
 
-def parse_int(
-    name: str, text: Column | None = None, required: bool = True
-) -> tuple[Column, Column]:
-    text = stripped(name) if text is None else text
-    typed = F.when(text.rlike(INTEGER), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
-    return _parsed(name, "INTEGER", text, typed, required)
+def parse_int(name: str, required: bool = True) -> tuple[Column, Column]:
+    typed = int_value(stripped(name))
+    return typed, parse_reason(name, "INTEGER", stripped(name), typed, required)
 
 
-def parse_decimal(name: str, text: Column | None = None) -> tuple[Column, Column]:
-    text = stripped(name) if text is None else text
-    digits = F.replace(text, F.lit("_"), F.lit(""))
-    exact = digits.try_cast("decimal(38,18)")
-    typed = exact.try_cast("decimal(18,6)")
-    typed = F.when(digits.rlike(DECIMAL) & (typed == exact), typed)
-    return _parsed(name, "DECIMAL", text, typed)
+def parse_decimal(name: str) -> tuple[Column, Column]:
+    typed = decimal_value(stripped(name))
+    return typed, parse_reason(name, "DECIMAL", stripped(name), typed)
 
 
-def parse_ts(name: str, text: Column | None = None) -> tuple[Column, Column]:
-    """Instants; a text without an offset is UTC."""
-    text = stripped(name) if text is None else text
-    typed = F.when(text.rlike(TIMESTAMP), text.try_cast("timestamp"))
-    return _parsed(name, "TIMESTAMP", text, typed)
+def parse_ts(name: str) -> tuple[Column, Column]:
+    typed = ts_value(stripped(name))
+    return typed, parse_reason(name, "TIMESTAMP", stripped(name), typed)
 
 
 def positive(value: Column, reason: str) -> Column:

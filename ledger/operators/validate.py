@@ -44,15 +44,17 @@ PARSERS = {
 }
 
 
-def _parse(kind: str, field: str) -> tuple[Column, Column]:
-    text = F.col(f"s_{field}")
+VALUES = {"int": R.int_value, "optional_int": R.int_value, "decimal": R.decimal_value, "ts": R.ts_value}
+WORDS = {"int": "INTEGER", "optional_int": "INTEGER", "decimal": "DECIMAL", "ts": "TIMESTAMP"}
+
+
+def _parse_reason(table: str, field: str) -> Column:
+    """Reason of one field from its stripped text ``s_`` and typed value ``t_``."""
+    kind = PARSERS[table][field]
+    text, typed = F.col(f"s_{field}"), F.col(f"t_{field}")
     if kind == "text":
-        return R.required_text(field, text)
-    if kind == "decimal":
-        return R.parse_decimal(field, text)
-    if kind == "ts":
-        return R.parse_ts(field, text)
-    return R.parse_int(field, text, required=kind == "int")
+        return F.when(text.isNull(), F.lit(f"MISSING_REQUIRED_{field.upper()}"))
+    return R.parse_reason(field, WORDS[kind], text, typed, required=kind != "optional_int")
 
 
 def _value_checks(table: str, typed: dict[str, Column]) -> list[tuple[str, str, Column]]:
@@ -105,26 +107,26 @@ def _typed(table: str) -> dict[str, Column]:
 
 
 def _with_types(df: DataFrame, table: str) -> DataFrame:
-    """Add ``t_<field>`` and ``p_<field>`` (parse reason) for every field.
+    """Add ``s_<field>`` (stripped text) and ``t_<field>`` (typed value) for every field.
 
-    Stripping, parsing and checking are separate projections so that each text is stripped and
-    parsed once; all of them stay in one generated stage.
+    Stripping, typing and checking are separate projections, so that each text is stripped and
+    parsed once however many checks refer to it.
     """
-    added = {}
-    for field, kind in PARSERS[table].items():
-        added[f"t_{field}"], added[f"p_{field}"] = _parse(kind, field)
-    strips = {f"s_{field}": R.stripped(field) for field in PARSERS[table]}
-    return df.withColumns(strips).withColumns(added).drop(*strips)
+    typed = {
+        f"t_{field}": VALUES[kind](F.col(f"s_{field}")) if kind in VALUES else F.col(f"s_{field}")
+        for field, kind in PARSERS[table].items()
+    }
+    return df.withColumns({f"s_{f}": R.stripped(f) for f in PARSERS[table]}).withColumns(typed)
 
 
 def _validate(df: DataFrame, table: str) -> DataFrame:
     """Raw columns, ``t_*`` typed columns and ordered ``reasons``."""
+    parse = [_parse_reason(table, field) for field in PARSERS[table]]
     checks = [reason for _, _, reason in _value_checks(table, _typed(table))]
-    parse = [F.col(f"p_{field}") for field in PARSERS[table]]
     return (
         _with_types(df, table)
         .withColumn("reasons", R.reasons(*parse, *checks))
-        .drop(*[f"p_{field}" for field in PARSERS[table]])
+        .drop(*[f"s_{field}" for field in PARSERS[table]])
     )
 
 
@@ -180,7 +182,7 @@ def _broken(text_tables: dict[str, DataFrame], found_of) -> DataFrame:
 
 def _broken_parse(text_tables: dict[str, DataFrame], kind: str) -> DataFrame:
     return _broken(text_tables, lambda table: [
-        (field, F.col(f"p_{field}")) for field, k in PARSERS[table].items() if k == kind
+        (field, _parse_reason(table, field)) for field, k in PARSERS[table].items() if k == kind
     ])
 
 

@@ -8,11 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on.  A skewed shuffle partition of a join is split by
-# AQE even when the split costs one more exchange above it.
+# AQE even when the split costs one more exchange above it.  Methods above 8000 bytes of bytecode are
+# never compiled by the JVM's JIT, so wide checks are generated operator by operator instead.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.caseSensitive": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

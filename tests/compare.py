@@ -48,7 +48,7 @@ if __name__ == "__main__":
     only = sys.argv[2:]
     spark = build_session("compare", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g",
-        "spark.log.level": "ERROR",
+        "spark.log.level": "ERROR", "spark.ui.showConsoleProgress": "false",
     })
     con, oracles, bad = duck(sf_dir), oracle_sql(), []
     for name, query in queries().items():
