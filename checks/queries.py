@@ -14,7 +14,7 @@ from ledger.operators import incremental as inc
 from ledger.operators import inventory, quality, relate, reports, validate
 from ledger.plans import curate, load
 from ledger.schemas import KEYS, TABLES, columns
-from ledger.session import scratch, stage
+from ledger.session import scratch, stage, together
 from ledger.sources import control, raw, sinks
 
 MONEY = "decimal(18,2)"
@@ -82,18 +82,16 @@ def text_lake(spark: SparkSession, sf: str) -> str:
     """The text layer as raw files, in the order of the stand-in sequence."""
     def build():
         root = scratch(spark, "text-lake")
-        for t, df in adapter.text(spark, sf).items():
-            sinks.write_raw_full(df.orderBy("_seq"), root, t)
+        rows = adapter.text(spark, sf)
+        together(spark, lambda t: sinks.write_raw_full(rows[t].orderBy("_seq"), root, t), TABLES)
         return root
     return _once(spark, sf, "text-lake", build)
 
 
 def typed(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     def build():
-        return {
-            t: stage(validate.VALIDATORS[t](df), scratch(spark, f"typed-{t}"))
-            for t, df in adapter.text(spark, sf).items()
-        }
+        rows = adapter.text(spark, sf)
+        return together(spark, lambda t: stage(validate.VALIDATORS[t](rows[t]), scratch(spark, f"typed-{t}")), TABLES)
     return _once(spark, sf, "typed", build)
 
 
@@ -109,10 +107,8 @@ def linked_orders(spark: SparkSession, sf: str) -> DataFrame:
 def judged(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     def build():
         work = scratch(spark, "judged")
-        return {
-            t: stage(df, f"{work}/judged/{t}")
-            for t, df in curate.judge(adapter.text(spark, sf), work).items()
-        }
+        rows = curate.judge(adapter.text(spark, sf), work)
+        return together(spark, lambda t: stage(rows[t], f"{work}/judged/{t}"), TABLES)
     return _once(spark, sf, "judged", build)
 
 

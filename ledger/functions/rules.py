@@ -23,6 +23,7 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
+TIDY = r"^[!-~](?s:.*[!-~])?$"
 INTEGER = r"^[+-]?[0-9]+(_[0-9]+)*$"
 DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 PLAIN_DECIMAL = r"^[+-]?[0-9]+(\.[0-9]{0,6}0*)?$"
@@ -39,9 +40,8 @@ def stripped(name: str) -> Column:
     a visible ASCII character, which nearly all do.
     """
     text = F.col(name)
-    tidy = F.left(text, F.lit(1)).between("!", "~") & F.right(text, F.lit(1)).between("!", "~")
     trimmed = F.btrim(text, F.lit(WHITESPACE))
-    return F.when(tidy, text).when(trimmed != "", trimmed)
+    return F.when(text.rlike(TIDY), text).when(trimmed != "", trimmed)
 
 
 def int_value(text: Column) -> Column:

@@ -110,7 +110,8 @@ def _with_types(df: DataFrame, table: str) -> DataFrame:
     """Add ``s_<field>`` (stripped text) and ``t_<field>`` (typed value) for every field.
 
     Stripping, typing and checking are separate projections, so that each text is stripped and
-    parsed once however many checks refer to it.
+    parsed once however many checks refer to it.  They run as one generated method; the parsers are
+    written to keep it below the 8000 bytes of bytecode above which the JIT leaves a method alone.
     """
     typed = {
         f"t_{field}": VALUES[kind](F.col(f"s_{field}")) if kind in VALUES else F.col(f"s_{field}")
@@ -237,10 +238,14 @@ def rule_missing_reference(text_tables):
 
 
 def reason_accumulator(text_tables):
-    """Every row with at least one reason: its reasons in order, without repeats."""
+    """Every row with at least one reason: its reasons in order, without repeats.
+
+    Rows without a reason go by exploding nothing: a filter would be pushed below the reasons and work
+    them out a second time.
+    """
     return _union([
         VALIDATORS[table](df)
-        .filter(F.size("reasons") > 0)
+        .select(KEYS[table], F.explode(F.when(F.size("reasons") > 0, F.array("reasons"))).alias("reasons"))
         .select(F.lit(table).alias("table_name"), F.col(KEYS[table]).alias("row_key"),
                 F.size("reasons").cast("bigint").alias("reason_count"),
                 F.array_join("reasons", ";").alias("rejection_reason"))

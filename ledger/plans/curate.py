@@ -8,39 +8,63 @@ from pyspark.sql import functions as F
 from ledger.operators import quality, relate
 from ledger.operators.validate import VALIDATORS
 from ledger.schemas import KEYS, TABLES
-from ledger.session import path_exists, remove_scratch, scratch, stage
+from ledger.session import path_exists, remove_scratch, scratch, stage, together
 from ledger.sources.raw import read_raw, read_raw_versions
 from ledger.sources.sinks import layer_path, write_curated, write_rejected
 
 
+# What versions, references and amounts depend on; everything else stays out of their shuffles.
+SLIM = {
+    "customers": ["t_customer_id", "t_updated_at"],
+    "products": ["t_product_id", "t_updated_at"],
+    "orders": ["t_order_id", "t_customer_id", "t_product_id", "t_quantity", "t_unit_price", "t_updated_at"],
+    "payments": ["t_payment_id", "t_order_id", "t_payment_amount", "t_payment_status", "t_payment_time", "t_updated_at"],
+}
+
+
+def _with_final(wide: DataFrame, slim: DataFrame) -> DataFrame:
+    """Put the final reasons of the rows that gained any onto the full rows.
+
+    ``_row`` is unique, so the one shuffle of full rows is even whatever the keys look like.
+    """
+    gained = slim.filter(F.size("reasons") > F.col("_before")).select("_row", F.col("reasons").alias("_final"))
+    return (
+        wide.join(gained, "_row", "left")
+        .withColumn("reasons", F.coalesce("_final", "reasons"))
+        .drop("_final", "_row")
+    )
+
+
 def judge(text_tables: dict[str, DataFrame], work: str) -> dict[str, DataFrame]:
     """All rows of the four tables with their final ``reasons``.
 
-    ``text_tables`` hold the text fields and ``_seq``.  Two kinds of results are written below ``work`` as
-    parquet because several later jobs read them: the typed rows (the text is parsed once, ``_seq`` is
-    frozen, later steps read only the columns they need) and the few columns of orders that
-    payments depend on.
+    ``text_tables`` hold the text fields and ``_seq``.  The typed rows are written below ``work`` once: the text is
+    parsed once, ``_seq`` is frozen and each row gets a number.  Versions, references and amounts
+    are then worked out on the few columns they need; the full rows are joined with the outcome once.
     """
-    typed = {
-        table: stage(VALIDATORS[table](text_tables[table]), f"{work}/typed/{table}") for table in TABLES
-    }
-    parts = {
-        table: relate.reject_superseded(typed[table], f"t_{KEYS[table]}") for table in TABLES
-    }
-    orders = relate.unknown_customer(parts["orders"], parts["customers"])
-    orders = relate.unknown_product(orders, parts["products"])
-    # Orders as payments see them: ids, amounts and reasons, without the text.
-    slim = stage(
-        orders.select("t_order_id", "t_quantity", "t_unit_price", "reasons", "_seq"), f"{work}/orders_slim"
-    )
-    wrong = stage(relate.amount_mismatches(slim, parts["payments"]), f"{work}/mismatches")
-    slim_final = relate.flag_orders(slim, wrong)
-    return {
-        "customers": parts["customers"],
-        "products": parts["products"],
-        "orders": relate.flag_orders(orders, wrong),
-        "payments": relate.flag_payments(parts["payments"], slim_final, wrong),
+    spark = next(iter(text_tables.values())).sparkSession
+
+    def type_rows(table: str) -> DataFrame:
+        rows = VALIDATORS[table](text_tables[table]).withColumn("_row", F.monotonically_increasing_id())
+        return stage(rows, f"{work}/typed/{table}")
+
+    typed = together(spark, type_rows, TABLES)
+    slim = {
+        table: relate.reject_superseded(
+            typed[table].select("_row", "_seq", *SLIM[table], "reasons", F.size("reasons").alias("_before")),
+            f"t_{KEYS[table]}",
+        )
+        for table in TABLES
     }
+    orders = relate.unknown_customer(slim["orders"], slim["customers"])
+    orders = relate.unknown_product(orders, slim["products"])
+    slim.update(orders=orders)
+    # Both feed several of the steps below.
+    slim.update(together(spark, lambda table: stage(slim[table], f"{work}/slim/{table}"), ["orders", "payments"]))
+    wrong = stage(relate.amount_mismatches(slim["orders"], slim["payments"]), f"{work}/mismatches")
+    slim["orders"] = relate.flag_orders(slim["orders"], wrong)
+    slim["payments"] = relate.flag_payments(slim["payments"], slim["orders"], wrong)
+    return {table: _with_final(typed[table], slim[table]) for table in TABLES}
 
 
 def raw_to_curated(
@@ -73,10 +97,13 @@ def raw_to_curated(
     read = read_raw_versions if history else read_raw
     judged = judge({table: read(spark, raw, table) for table in TABLES}, work)
     # Both layers, the summary and the histogram read the judged rows.
-    final = {table: stage(df, f"{work}/judged/{table}") for table, df in judged.items()}
-    for table, df in final.items():
-        write_curated(df, targets[table, curated], table, overwrite)
-        write_rejected(df, targets[table, rejected], table, overwrite)
+    final = together(spark, lambda table: stage(judged[table], f"{work}/judged/{table}"), TABLES)
+
+    def write(table: str) -> None:
+        write_curated(final[table], targets[table, curated], table, overwrite)
+        write_rejected(final[table], targets[table, rejected], table, overwrite)
+
+    together(spark, write, TABLES)
     result = quality.layer_summary(final).collect()  # one row per table
     report = spark.createDataFrame(result)
     if summary:

@@ -2,26 +2,17 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledger.operators import incremental as inc
-from ledger.schemas import KEYS, TABLES
+from ledger.schemas import TABLES
+from ledger.session import together
 from ledger.sources.control import FIELDS, MARKS, read_watermarks, write_watermarks
 from ledger.sources.raw import read_source
 from ledger.sources.sinks import write_raw_batch, write_raw_full
 
 
-def _each_table(spark: SparkSession, work) -> dict:
-    """Run ``work(table)`` for the four tables at once; Spark shares the executors between the jobs."""
-    with ThreadPoolExecutor(len(TABLES)) as pool:
-        runs = {t: pool.submit(inheritable_thread_target(spark)(work), t) for t in TABLES}
-        return {t: run.result() for t, run in runs.items()}
-
-
 def _bounds(df: DataFrame) -> dict[str, dict]:
     """Window bounds as text, four rows."""
     marks = [c for c in df.columns if c.endswith("watermark")]
@@ -58,7 +49,7 @@ def full_load(spark: SparkSession, source: dict, root: str, run_id: str) -> Data
         rows = t[table].filter(F.col("updated_at") <= F.lit(uppers[table]).cast(t[table].schema["updated_at"].dataType))
         return write_raw_full(rows, root, table)
 
-    copied = _each_table(spark, copy)
+    copied = together(spark, copy, TABLES)
     expected = {table: found[table]["expected_rows"] for table in TABLES}
     inc.guard_counts(copied, expected, "FULL_LOAD_ROW_COUNT_MISMATCH")
     write_watermarks(control_of(spark, uppers, run_id), root, run_id)
@@ -82,7 +73,7 @@ def incremental_load(spark: SparkSession, source: dict, root: str, run_id: str)
         rows = t[table].filter(inc.in_window(t[table], old[table], new[table]))
         return write_raw_batch(rows, root, table, new[table], run_id)
 
-    copied = _each_table(spark, copy)
+    copied = together(spark, copy, TABLES)
     expected = {table: found[table]["expected_rows"] for table in TABLES}
     inc.guard_counts(copied, expected, "INCREMENTAL_ROW_COUNT_MISMATCH")
     write_watermarks(control_of(spark, new, run_id), root, run_id)

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on.  A skewed shuffle partition of a join is split by
-# AQE even when the split costs one more exchange above it.  Methods above 8000 bytes of bytecode are
-# never compiled by the JVM's JIT, so wide checks are generated operator by operator instead.
+# AQE even when the split costs one more exchange above it.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.caseSensitive": "true",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -62,6 +63,14 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def together(spark: SparkSession, work: Callable, items: Iterable[str]) -> dict:
+    """``work(item)`` for a few items at once, so that the jobs of one fill the idle slots of another."""
+    items = list(items)
+    with ThreadPoolExecutor(len(items)) as pool:
+        runs = {i: pool.submit(inheritable_thread_target(spark)(work), i) for i in items}
+        return {i: run.result() for i, run in runs.items()}
+
+
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete one run's own scratch folder."""
     if "/ledger/" not in path:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,18 +33,29 @@ def csv_reader(spark: SparkSession, schema: T.StructType, escape: str = '"', mul
     )
 
 
-def _input_order():
-    """File, position in the file, row within the task: increases with the input order.
+def _input_order(batch: Column):
+    """Batch, number of the part file, position in the file, row within the task.
 
-    Written part files are numbered, so their names follow the writer's order.
+    Increases with the input order: written part files are numbered in the order of the rows.  Only
+    numbers, since it travels with every row through shuffles.
     """
+    # "part-00012-...": a name without a number sorts first.
+    part = F.substring(F.col("_metadata.file_name"), 6, 5).try_cast("int")
     return F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        batch.alias("batch"),
+        part.alias("part"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
 
 
+def _batch_number(watermark: Column) -> Column:
+    """Batch folders as numbers that grow with their watermark."""
+    return F.unix_micros(F.to_timestamp(F.substring(watermark, 1, 15), "yyyyMMdd'T'HHmmss")) + F.substring(
+        watermark, 16, 6
+    ).cast("bigint")
+
+
 def locate_raw(spark: SparkSession, root: str, table: str) -> str:
     candidates = [f"{root}/{table}.csv", f"{root}/{table}/{table}.csv"]
     for path in candidates:
@@ -65,7 +76,7 @@ def read_raw(
     rows = csv_reader(spark, text_schema(table), escape, multi_line).csv(path)
     return rows.select(
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns(table)],
-        _input_order().alias("_seq"),
+        _input_order(F.lit(0).cast("bigint")).alias("_seq"),
     )
 
 
@@ -88,7 +99,7 @@ def read_raw_versions(
     parts = [
         csv_reader(spark, text_schema(table), escape, multi_line).csv(full).select(
             *fields, F.lit("").alias("watermark"), F.lit("").alias("run_id"),
-            _input_order().alias("_order"),
+            _input_order(F.lit(-(1 << 62))).alias("_seq"),
         )
     ]
     batches = f"{root}/{table}/incremental"
@@ -99,12 +110,9 @@ def read_raw_versions(
             csv_reader(spark, schema, escape, multi_line)
             .option("basePath", batches)
             .csv(batches)
-            .select(*fields, "watermark", "run_id", _input_order().alias("_order"))
+            .select(*fields, "watermark", "run_id", _input_order(_batch_number(F.col("watermark"))).alias("_seq"))
         )
-    return reduce(DataFrame.unionByName, parts).select(
-        *columns(table), "watermark", "run_id",
-        F.struct("watermark", "run_id", "_order").alias("_seq"),
-    )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_batch(spark: SparkSession, root: str, table: str, watermark: str, run_id: str) -> DataFrame:
