@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledger.operators.lookup import shuffled_apart
 from ledger.operators.reports import Tables, classified_orders, confirmed_totals, table_counts
 from ledger.schemas import KEYS, TABLES
 
@@ -276,7 +277,7 @@ def incremental_reconciliation(t: Tables, affected: DataFrame) -> DataFrame:
 
     Orders and payments are cut to the affected ones before versions and classes are worked out.
     """
-    ids = affected.select("order_id")
+    ids = shuffled_apart(affected.select("order_id"), "order_id")
     cut = {
         **t,
         "orders": t["orders"].join(ids, "order_id", "left_semi"),

@@ -13,6 +13,16 @@ from pyspark.sql import functions as F
 from ledger.session import scratch, stage
 
 
+def shuffled_apart(df: DataFrame, key: str) -> DataFrame:
+    """Make the next join on the integer ``key`` shuffle ``df`` for itself.
+
+    AQE splits a skewed join only if both inputs are shuffles.  A side that comes straight out of an
+    aggregate on the same key is not: Spark reuses the aggregate's partitioning, and the hot key on the
+    other side stays in one task.  Rewriting the key costs one more shuffle of the aggregated rows.
+    """
+    return df.withColumn(key, F.col(key).bitwiseXOR(F.lit(0)))
+
+
 def with_match_flag(
     df: DataFrame, keys: DataFrame, key: str, column: str, flag: str, spread_by: str
 ) -> DataFrame:
@@ -23,7 +33,7 @@ def with_match_flag(
     real key does no harm, since the flag also asks for a non-null column.
     """
     stand_in = -F.pmod(F.xxhash64(spread_by), F.lit(1 << 40)) - 1
-    side = keys.select(F.col(key).alias("_match"))
+    side = shuffled_apart(keys.select(F.col(key).alias("_match")), "_match")
     return (
         df.withColumn("_probe", F.coalesce(F.col(column), stand_in))
         .join(side, F.col("_probe") == F.col("_match"), "left")
@@ -57,6 +67,7 @@ def with_older_flag(df: DataFrame, key: str, version: list[str], flag: str) -> D
         .filter(F.col("_n") > 1)
         .drop("_n")
     )
+    repeated = shuffled_apart(repeated, "_match")
     stand_in = -F.pmod(F.xxhash64(F.struct(*version)), F.lit(1 << 40)) - 1
     return (
         df.withColumn("_probe", F.coalesce(F.col(key), stand_in))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledger.functions.rules import more_reasons
-from ledger.operators.lookup import newest_per_key, with_match_flag, with_older_flag
+from ledger.operators.lookup import newest_per_key, shuffled_apart, with_match_flag, with_older_flag
 
 SUPERSEDED = "SUPERSEDED_BY_LATER_VERSION"
 UNKNOWN_CUSTOMER = "UNKNOWN_CUSTOMER_REFERENCE"
@@ -132,7 +132,7 @@ def flag_payments(payments: DataFrame, orders: DataFrame, wrong: DataFrame) -> D
     has_order = F.col("t_order_id").isNotNull()
     joined = (
         payments.withColumn("_probe", F.coalesce(F.col("t_order_id"), stand_in))
-        .join(state, F.col("_probe") == F.col("_order"), "left")
+        .join(shuffled_apart(state, "_order"), F.col("_probe") == F.col("_order"), "left")
     )
     return _append(
         joined,
