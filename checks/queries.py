@@ -506,9 +506,12 @@ def q_lake_inventory(spark, sf):
 
 
 def q_file_digests(spark, sf):
+    """Per table: rows of the first run's files, whether all have a digest, and whether the rerun left them alone."""
     before, after, _ = lake(spark, sf)["digests"]
-    return inventory.compare_digests(before, after).join(after.select("path", "table_name", "data_rows", "bytes", "sha256"), "path").select(
-        "table_name", "data_rows", "bytes", "sha256", "unchanged"
+    return (
+        inventory.compare_digests(before, after).join(after, "path", "left").groupBy("table_name")
+        .agg(F.sum("data_rows").alias("data_rows"), F.bool_and(F.length("sha256") == 64).alias("digested"),
+             F.bool_and("unchanged").alias("unchanged"))
     )
 
 

@@ -275,13 +275,14 @@ def affected_orders(orders: DataFrame, payments: DataFrame) -> DataFrame:
 def incremental_reconciliation(t: Tables, affected: DataFrame) -> DataFrame:
     """Orders per class, for affected orders only.
 
-    Orders and payments are cut to the affected ones before versions and classes are worked out.
+    Orders and payments are cut to the affected ones before latest payments and classes are worked
+    out.  The cut payments are shuffled apart so that each task first reduces an order's attempts to one.
     """
     ids = shuffled_apart(affected.select("order_id"), "order_id")
     cut = {
         **t,
         "orders": t["orders"].join(ids, "order_id", "left_semi"),
-        "payments": t["payments"].join(ids, "order_id", "left_semi"),
+        "payments": shuffled_apart(t["payments"].join(ids, "order_id", "left_semi"), "order_id"),
     }
     return (
         classified_orders(cut).groupBy(F.col("quality_result").alias("reconciliation_result"))

@@ -30,6 +30,15 @@ def expected_amount() -> Column:
     return F.col("quantity") * F.col("unit_price")
 
 
+def paid_exactly() -> Column:
+    """The payment equals the expected amount.
+
+    Written as a difference so that Spark does not take the amount for a second join key, which would
+    shuffle both sides again on (order, amount) although they are already together by order.
+    """
+    return F.col("payment_amount") - expected_amount() == 0
+
+
 def _rows() -> Column:
     return F.count(F.lit(1))
 
@@ -54,7 +63,7 @@ def _paid_in_full(t: Tables) -> DataFrame:
         "order_id", "customer_id", "product_id", "quantity", "unit_price", "created_at"
     )
     paid = _latest(t).filter(F.col("payment_status") == "successful").select("order_id", "payment_amount")
-    return kept.join(paid, "order_id").filter(F.col("payment_amount") == expected_amount())
+    return kept.join(paid, "order_id").filter(paid_exactly())
 
 
 def _confirmed(t: Tables) -> DataFrame:

@@ -134,9 +134,10 @@ def read_source(spark: SparkSession, source: dict, table: str) -> DataFrame:
     """One table of the source system.
 
     ``{"format": "parquet", "path": root}`` reads ``<root>/<table>`` (or ``<table>.parquet``).
-    ``{"format": "jdbc", "url": ..., "bounds": {table: (low, high)}, "partitions": n, ...}`` reads the
-    database in ``n`` parallel key ranges; the bounds only place the ranges, rows outside them
-    are read too.  Other entries go to the driver as options.  Filters and columns reach either source.
+    ``{"format": "jdbc", "url": ..., "partitions": n, "bounds": {table: (low, high)}, ...}`` reads the
+    database in ``n`` parallel key ranges.  Bounds only place the ranges, rows outside them are read
+    too; where none are given, the lowest and highest key are asked from the database first, one row per table.
+    Other entries go to the driver as options.  Filters and columns reach either source.
     """
     kind = source.get("format", "jdbc")
     if kind != "jdbc":
@@ -147,10 +148,21 @@ def read_source(spark: SparkSession, source: dict, table: str) -> DataFrame:
         if path is None:
             raise FileNotFoundError(f"no {table} below {root}")
         return spark.read.format(kind).load(path).select(*columns(table))
+    bounds = source.get("bounds", {}).get(table) or key_bounds(spark, source, table)
+    source = {**source, "bounds": {table: bounds}}
     reader = spark.read.format("jdbc").options(**jdbc_options(source, table))
     return reader.load().select(*columns(table))
 
 
+def key_bounds(spark: SparkSession, source: dict, table: str) -> tuple[int, int] | None:
+    """Lowest and highest key of a database table; None if it is empty."""
+    options = jdbc_options({**source, "bounds": {}}, table)
+    key, name = KEYS[table], options.pop("dbtable")
+    options["query"] = f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {name}"
+    row = spark.read.format("jdbc").options(**options).load().first()
+    return None if row["low"] is None else (row["low"], row["high"] + 1)
+
+
 def jdbc_options(source: dict, table: str) -> dict[str, str]:
     given = {k: str(v) for k, v in source.items() if k not in ("format", "bounds", "partitions", "schema")}
     options = {"dbtable": f"{source.get('schema', 'public')}.{table}", "fetchsize": "10000", **given}

@@ -174,6 +174,16 @@ def test_reports_read_narrow_and_filter_early(spark):
     assert "ReadSchema: struct<>" in plan(reports.kpi_summary(t)) or "struct<>" in plan(reports.table_counts(t))
 
 
+def test_latest_payments_are_not_shuffled_twice(spark):
+    t = adapter.model(spark, SF)
+    with no_broadcast(spark):
+        text = plan(reports.confirmed_totals(t))
+        # Orders by product, customer and order; products; customers; payments; the total.
+        assert text.count("Exchange") == 7
+        cut = inc.incremental_reconciliation(t, t["payments"].select("order_id").distinct())
+        assert plan(cut).count("WindowGroupLimit") == 2
+
+
 def test_totals_do_not_depend_on_the_join_strategy(spark):
     t = adapter.model(spark, SF)
     want = [r.asDict() for r in reports.order_quality_classes(t).collect()]
