@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledger.operators.lookup import with_dense_rank, with_match_flag
 from ledger.operators.relate import latest_payment
+from ledger.session import stage
 
 Tables = dict[str, DataFrame]
 
@@ -43,8 +44,19 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
+# Entry that a batch of reports adds to its tables, see ``share_latest``.
+LATEST = "latest_payments"
+
+
+def share_latest(t: Tables, path: str) -> Tables:
+    """The tables with the latest payments written once, for several reports over the same tables."""
+    return {**t, LATEST: stage(_latest(t), path)}
+
+
 def _latest(t: Tables) -> DataFrame:
     """Narrow latest payment per order."""
+    if LATEST in t:
+        return t[LATEST]
     return latest_payment(
         t["payments"].select("payment_id", "order_id", "payment_amount", "payment_status", "payment_time")
     )
@@ -185,7 +197,7 @@ def outstanding_orders(t: Tables) -> DataFrame:
 def table_counts(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, [
         df.agg(_rows().alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in t.items()
+        for name, df in t.items() if name != LATEST
     ]).orderBy("table_name")
 
 

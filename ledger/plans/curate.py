@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledger.operators import quality, relate
 from ledger.operators.validate import VALIDATORS
-from ledger.schemas import KEYS, TABLES
+from ledger.schemas import KEYS, TABLES, columns, timestamps
 from ledger.session import path_exists, remove_scratch, scratch, stage, together
 from ledger.sources.raw import read_raw, read_raw_versions
 from ledger.sources.sinks import layer_path, write_curated, write_rejected
@@ -96,8 +96,13 @@ def raw_to_curated(
     work = scratch(spark, "curate")
     read = read_raw_versions if history else read_raw
     judged = judge({table: read(spark, raw, table) for table in TABLES}, work)
-    # Both layers, the summary and the histogram read the judged rows.
-    final = together(spark, lambda table: stage(judged[table], f"{work}/judged/{table}"), TABLES)
+    # Both layers, the summary and the histogram read the judged rows; of the typed columns only the
+    # timestamps are written.
+    def settle(table: str) -> DataFrame:
+        times = [f"t_{c}" for c in timestamps(table)]
+        return stage(judged[table].select(*columns(table), *times, "reasons"), f"{work}/judged/{table}")
+
+    final = together(spark, settle, TABLES)
 
     def write(table: str) -> None:
         write_curated(final[table], targets[table, curated], table, overwrite)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,15 +11,24 @@ from ledger.operators import incremental as inc
 from ledger.schemas import TABLES
 from ledger.session import together
 from ledger.sources.control import FIELDS, MARKS, read_watermarks, write_watermarks
-from ledger.sources.raw import read_source
+from ledger.sources.raw import read_source, source_window
 from ledger.sources.sinks import write_raw_batch, write_raw_full
 
 
-def _bounds(df: DataFrame) -> dict[str, dict]:
-    """Window bounds as text, four rows."""
-    marks = [c for c in df.columns if c.endswith("watermark")]
-    rows = df.select(*[F.col(c).cast("string").alias(c) if c in marks else F.col(c) for c in df.columns]).collect()
-    return {r["table_name"]: r.asDict() for r in rows}
+def _windows(spark: SparkSession, source: dict, old: dict[str, str] | None = None) -> dict[str, tuple[str, int]]:
+    """``(upper end as text, rows)`` per table, above ``old`` if given: one job, four rows."""
+    parts = [
+        source_window(spark, source, table, old and inc.mark_text(old[table])).select(
+            F.lit(table).alias("table_name"), F.col("new_watermark").cast("timestamp").cast("string").alias("upper"),
+            F.col("expected_rows").cast("bigint").alias("rows"),
+        )
+        for table in TABLES
+    ]
+    found = {r["table_name"]: (r["upper"], r["rows"]) for r in reduce(DataFrame.unionByName, parts).collect()}
+    if old:
+        # Nothing above the old boundary leaves it where it is.
+        return {t: (upper or inc.mark_text(old[t]), rows) for t, (upper, rows) in found.items()}
+    return found
 
 
 def control_of(spark: SparkSession, uppers: dict[str, str], run_id: str) -> DataFrame:
@@ -38,19 +49,19 @@ def full_load(spark: SparkSession, source: dict, root: str, run_id: str) -> Data
     arrives meanwhile belongs to the first incremental run.  Watermarks are written only if every
     count agrees.  Returns ``(table_name, copied_rows, expected_rows, matched)``.
     """
-    t = tables_of(spark, source)
-    found = _bounds(inc.table_uppers(t))
-    uppers = {table: found[table]["new_watermark"] for table in TABLES}
+    found = _windows(spark, source)
+    uppers = {table: found[table][0] for table in TABLES}
     empty = [table for table, upper in uppers.items() if upper is None]
     if empty:
         raise inc.LoadError("EMPTY_SOURCE", f"no updated_at in {', '.join(empty)}")
+    t = tables_of(spark, source)
 
     def copy(table: str) -> int:
         rows = t[table].filter(F.col("updated_at") <= F.lit(uppers[table]).cast(t[table].schema["updated_at"].dataType))
         return write_raw_full(rows, root, table)
 
     copied = together(spark, copy, TABLES)
-    expected = {table: found[table]["expected_rows"] for table in TABLES}
+    expected = {table: found[table][1] for table in TABLES}
     inc.guard_counts(copied, expected, "FULL_LOAD_ROW_COUNT_MISMATCH")
     write_watermarks(control_of(spark, uppers, run_id), root, run_id)
     return inc.compare_counts(copied, expected, spark)
@@ -65,16 +76,16 @@ def incremental_load(spark: SparkSession, source: dict, root: str, run_id: str)
     """
     current = read_watermarks(spark, root).first()
     old = {table: current[f"{table}_watermark"] for table in TABLES}
+    found = _windows(spark, source, old)
+    new = {table: found[table][0] for table in TABLES}
     t = tables_of(spark, source)
-    found = _bounds(inc.window_lookup(t, old))
-    new = {table: found[table]["new_watermark"] for table in TABLES}
 
     def copy(table: str) -> int:
         rows = t[table].filter(inc.in_window(t[table], old[table], new[table]))
         return write_raw_batch(rows, root, table, new[table], run_id)
 
     copied = together(spark, copy, TABLES)
-    expected = {table: found[table]["expected_rows"] for table in TABLES}
+    expected = {table: found[table][1] for table in TABLES}
     inc.guard_counts(copied, expected, "INCREMENTAL_ROW_COUNT_MISMATCH")
     write_watermarks(control_of(spark, new, run_id), root, run_id)
     rows = [

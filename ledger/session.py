@@ -63,10 +63,10 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def together(spark: SparkSession, work: Callable, items: Iterable[str]) -> dict:
+def together(spark: SparkSession, work: Callable, items: Iterable[str], at_once: int = 4) -> dict:
     """``work(item)`` for a few items at once, so that the jobs of one fill the idle slots of another."""
     items = list(items)
-    with ThreadPoolExecutor(len(items)) as pool:
+    with ThreadPoolExecutor(at_once) as pool:
         runs = {i: pool.submit(inheritable_thread_target(spark)(work), i) for i in items}
         return {i: run.result() for i, run in runs.items()}
 

@@ -174,3 +174,21 @@ def jdbc_options(source: dict, table: str) -> dict[str, str]:
             numPartitions=str(source.get("partitions", 64)),
         )
     return options
+
+
+def source_window(spark: SparkSession, source: dict, table: str, old: str | None = None) -> DataFrame:
+    """One row ``(new_watermark, expected_rows)`` of a source table, above ``old`` if given.
+
+    A database works both numbers out itself; Spark's reader would fetch the column to aggregate it.
+    """
+    if source.get("format", "jdbc") != "jdbc":
+        df = read_source(spark, source, table)
+        if old is not None:
+            df = df.filter(F.col("updated_at") > F.lit(old).cast(df.schema["updated_at"].dataType))
+        return df.agg(F.max("updated_at").alias("new_watermark"), F.count(F.lit(1)).alias("expected_rows"))
+    options = jdbc_options({**source, "bounds": {}}, table)
+    where = "" if old is None else f" WHERE updated_at > TIMESTAMP WITH TIME ZONE '{old}+00'"
+    options["query"] = (
+        f"SELECT MAX(updated_at) AS new_watermark, COUNT(*) AS expected_rows FROM {options.pop('dbtable')}{where}"
+    )
+    return spark.read.format("jdbc").options(**options).load()

@@ -10,6 +10,7 @@ from checks import adapter
 from ledger.operators import incremental as inc
 from ledger.operators import relate, reports
 from ledger.operators.lookup import newest_per_key, with_dense_rank, with_match_flag, with_older_flag
+from ledger.plans.report import write_reports
 from ledger.schemas import KEYS
 from ledger.session import shared_root
 
@@ -155,6 +156,15 @@ def test_reports_rank_alike_in_ranges(spark):
         assert sorted(map(str, report(t, one_task_values=5, ranges=7).collect())) == sorted(map(str, report(t).collect()))
 
 
+def test_ranked_rows_stay_spread(spark):
+    df = spark.range(0, 1000, 1, 4).select("id", (F.col("id") % 10).cast("decimal(18,2)").alias("v"))
+    with no_broadcast(spark):
+        text = plan(with_dense_rank(df, "v", "r"))
+    # Only the distinct values meet in one task.
+    assert text.count("Exchange SinglePartition") == 1
+    assert text.count("Exchange hashpartitioning") == 3
+
+
 def test_window_bounds_reach_the_scan(spark):
     df = adapter.raw(spark, SF)["orders"]
     text = plan(inc.window_bounds(df, "2001-06-30 23:59:59"))
@@ -174,6 +184,15 @@ def test_reports_read_narrow_and_filter_early(spark):
     assert "ReadSchema: struct<>" in plan(reports.kpi_summary(t)) or "struct<>" in plan(reports.table_counts(t))
 
 
+def test_report_batch(spark, tmp_path):
+    t = adapter.model(spark, SF)
+    names = ["kpi_summary", "table_counts", "payment_outcomes", "customer_lifetime_spend"]
+    assert write_reports(spark, t, str(tmp_path / "out"), names) == names
+    for name in names:
+        got = spark.read.parquet(f"{tmp_path}/out/{name}").collect()
+        assert sorted(map(str, got)) == sorted(map(str, reports.REPORTS[name](t).collect()))
+
+
 def test_latest_payments_are_not_shuffled_twice(spark):
     t = adapter.model(spark, SF)
     with no_broadcast(spark):
