@@ -18,7 +18,6 @@ from ledger.schemas import (
     PAYMENT_STATUSES,
     REFERENCES,
     UNIQUE,
-    columns,
 )
 
 # Which parser each field of a table goes through, in field order.

@@ -13,7 +13,7 @@ from ledger.operators import inventory, quality
 from ledger.plans import curate, load
 from ledger.schemas import KEYS, TABLES, columns, typed_schema
 from ledger.sources.control import read_watermark_history, read_watermarks
-from ledger.sources.raw import jdbc_options, locate_raw, read_batch, read_raw_versions, read_staged
+from ledger.sources.raw import jdbc_options, read_batch, read_raw_versions, read_staged
 from ledger.sources.sinks import reload_tables, watermark_folder, write_raw_batch, write_raw_full
 
 
