@@ -5,9 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledger.llm import decontaminate, mixing, sharding, simhash, url_filter
+from ledger.llm import (
+    decontaminate,
+    katz,
+    language_id,
+    mixing,
+    sharding,
+    simhash,
+    spot_signatures,
+    token_counts,
+    token_store,
+    url_filter,
+)
 from ledger.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,17 +36,42 @@ def query(run: Query) -> Query:
     return shipped
 
 
+@query
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "similarity", "distance", "start_word")
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents"))
