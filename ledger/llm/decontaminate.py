@@ -100,28 +100,31 @@ def _least_shared(m: Column) -> Column:
     return F.ceil(m * SIMILARITY - 1e-9)
 
 
-def _hits(docs: DataFrame, items: DataFrame, slice_shingles: int) -> DataFrame:
-    """Places where documents and items share a shingle, of pairs that share enough of them."""
+def _cells(docs: DataFrame, items: DataFrame, slice_shingles: int) -> DataFrame:
+    """Places where documents and items share shingles, one row per half an item's length.
+
+    A row has the number of shared places in its cell, the first of them and the shingles around it: all of any
+    window of the item's size that holds this place.  They are taken where the document is read, so no text moves.
+    """
     shingles = cut(items.select("_item_key", "_m", F.posexplode("_sh").alias("_q", "_s")), "leak-items")
     total = shingles.count()
     slices = max(1, -(-total // slice_shingles))
     # With a shingle, the items that hold it: equal shingles of one item count once here.
     index = shingles.groupBy("_s", "_item_key", "_m").agg(F.count(F.lit(1)).alias("_q"))
     keyed = _with_shingles(docs.select(
-        document_key(named("doc_id"), named("text")).alias("_doc_key"), named("text").alias("_text")))
+        document_key(named("doc_id"), named("text")).alias("_doc_key"), named("doc_id").alias("_id"), named("text").alias("_text")))
     # The outer form: for the inner one Catalyst adds a filter that works out the shingles a second time, word by word.
-    positions = keyed.select("_doc_key", F.posexplode_outer("_sh").alias("_p", "_t"))
+    positions = keyed.select("_doc_key", "_id", "_sh", F.posexplode_outer("_sh").alias("_p", "_t"))
+    start = F.greatest(F.col("_p") - F.col("_m") + 1, F.lit(0))
+    around = F.slice("_sh", start + 1, F.least(F.col("_p") + F.col("_m"), F.size("_sh")) - start)
+    cell = F.floor(F.col("_p") / F.greatest(F.floor(F.col("_m") / 2), F.lit(1)))
     parts = []
     for i in range(slices):
         part = index if slices == 1 else index.filter(F.pmod(F.xxhash64("_s"), F.lit(slices)) == i)
-        parts.append(positions.join(F.broadcast(part), F.col("_t") == F.col("_s")).select("_doc_key", "_item_key", "_m", "_p", "_s"))
+        parts.append(positions.join(F.broadcast(part), F.col("_t") == F.col("_s")).select(
+            "_doc_key", "_id", "_item_key", "_m", cell.alias("_cell"), F.struct("_p", start.alias("_from"), around.alias("_around")).alias("_place")))
     hits = cut(reduce(DataFrame.union, parts), "leak-hits")
-    enough = (
-        hits.groupBy("_doc_key", "_item_key", "_m").agg(
-            F.count_distinct("_s").alias("_shared"), F.count(F.lit(1)).alias("_all"), F.min("_p").alias("_first"), F.max("_p").alias("_last"))
-        .filter(F.col("_all") >= _least_shared(F.col("_m")))
-    )
-    return enough
+    return hits.groupBy("_doc_key", "_id", "_item_key", "_m", "_cell").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_place"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS,
@@ -133,19 +136,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     if similarity < SIMILARITY:
         raise ValueError(f"the filters are lossless from {SIMILARITY} on")
     items = benchmark_items(benchmark)
-    pairs = cut(_hits(docs, items, slice_shingles), "leak-pairs")
-    held = docs.select(document_key(named("doc_id"), named("text")).alias("_of"), named("doc_id").alias("_id"), named("text").alias("_text"))
-    wanted = pairs.groupBy("_doc_key").agg(F.collect_set(F.struct("_m", "_first", "_last")).alias("_spans"))
-    # Only documents that still count; their shingles are worked out again from the text.
-    texts = cut(_with_shingles(held.join(wanted, F.col("_of") == F.col("_doc_key")).dropDuplicates(["_of"]).drop("_of")), "leak-texts")
-    span = F.explode("_spans").alias("_span")
-    starts = F.explode(F.sequence(F.col("_span._first") - F.col("_span._m") + 1, F.col("_span._last"))).alias("_start")
+    cells = cut(_cells(docs, items, slice_shingles), "leak-cells")
+    enough = cells.groupBy("_doc_key", "_item_key", "_m").agg(F.sum("_n").alias("_all")).filter(F.col("_all") >= _least_shared(F.col("_m")))
+    # A window that reaches the similarity lacks fewer places than a cell has, so it holds a shared place of each cell
+    # it covers, and it covers one: the windows around one place per cell are all that count.
+    places = cells.join(enough.select("_doc_key", "_item_key"), ["_doc_key", "_item_key"]).select(
+        "_doc_key", "_id", "_m", "_place._p", "_place._from", "_place._around")
+    starts = F.explode(F.sequence(F.col("_p") - F.col("_m") + 1, F.col("_p"))).alias("_start")
     windows = (
-        texts.select("_doc_key", "_sh", span).select("_doc_key", "_sh", F.col("_span._m").alias("_m"), starts)
-        .withColumn("_from", F.greatest("_start", F.lit(0)))
-        .withColumn("_win", F.slice("_sh", F.col("_from") + 1, F.least(F.col("_start") + F.col("_m"), F.size("_sh")) - F.col("_from")))
+        places.select("_doc_key", "_id", "_m", "_from", "_around", starts)
+        .withColumn("_skip", F.greatest("_start", F.lit(0)) - F.col("_from"))
+        .withColumn("_win", F.slice("_around", F.col("_skip") + 1, F.least(F.col("_start") + F.col("_m") - F.col("_from"), F.size("_around")) - F.col("_skip")))
         .filter(F.size("_win") >= _least_shared(F.col("_m")))
-        .select("_doc_key", "_m", "_start", "_win").dropDuplicates(["_doc_key", "_m", "_start"])
+        .select("_doc_key", "_id", "_m", "_start", "_win").dropDuplicates(["_doc_key", "_m", "_start"])
     )
     windows = cut(windows, "leak-windows")
     window_prints = _simhashes(windows, ["_doc_key", "_m", "_start"])
@@ -172,10 +175,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
         .withColumn("similarity", F.col("_both") / (F.size("_win") + F.col("_m") - F.col("_both")))
         .filter(F.col("similarity") >= similarity)
         .groupBy("_doc_key", "_item_key")
-        .agg(F.max(F.struct("similarity", -F.col("_distance"), -F.col("_start"), "_item")).alias("_best"))
+        .agg(F.max(F.struct("similarity", -F.col("_distance"), -F.col("_start"), "_item", "_id")).alias("_best"))
     )
-    return verified.join(texts.select("_doc_key", "_id"), "_doc_key").select(
-        F.col("_id").alias("doc_id"), F.col("_best._item").alias("item_id"), F.col("_best.similarity").alias("similarity"),
+    return verified.select(
+        F.col("_best._id").alias("doc_id"), F.col("_best._item").alias("item_id"), F.col("_best.similarity").alias("similarity"),
         (-F.col("_best.col2")).alias("distance"), (-F.col("_best.col3")).alias("start_word"), "_doc_key")
 
 
