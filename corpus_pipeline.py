@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledger.llm import decontaminate, mixing, sharding, simhash
+from ledger.llm import decontaminate, language_id, mixing, sharding, simhash
 from ledger.llm.common import cut, ship, table
 
 
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognisable language (no text, no letter) go."""
+    ship(spark)
+    return language_id.keep_identified(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id."""
     ship(spark)
@@ -33,6 +39,7 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", identified),
     ("simhash_near_dedup", near_dedup),
     ("benchmark_decontamination", decontamination),
     ("source_mixing", mixing_to_weights),
