@@ -16,6 +16,7 @@ from ledger.llm import (
     sharding,
     simhash,
     spot_signatures,
+    sql,
     token_counts,
     token_store,
     url_filter,
@@ -24,7 +25,11 @@ from ledger.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_source_mixing": sql.MIX,
+    "op9_extendible_sharding": sql.SHARDS,
+    "op10_url_filter": sql.urls(),
+}
 
 
 def query(run: Query) -> Query:
