@@ -17,17 +17,19 @@ their hashes; null ids come first; an empty table gives an empty store, read bac
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledger.llm.common import named
+from ledger.llm.token_counts import byte_characters
 from ledger.session import scratch
 
 END_ID = 0
@@ -37,15 +39,15 @@ DICT_BYTES = 64 << 10
 SAMPLE_DOCS = 2000
 SAMPLE_CHARS = 4000
 #: Pieces whose ids a worker remembers; beyond them it starts anew.
-MEMORY_PIECES = 300_000
-_PIECE = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+MEMORY_PIECES = 600_000
+_PIECE = re.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+""")
 
 
 class Encoder:
     """Ids of texts by a byte-level BPE file, with the ids of pieces remembered.
 
-    The merges never cross the pieces that the tokenizer's own pattern cuts, so the ids of a text are those of its pieces.  A text goes to the
-    library whole if it holds a special token or a character that the pattern here and the library's class differently.
+    The merges never cross the pieces that the tokenizer's own pattern cuts, so the ids of a text are those of its pieces; the library's merge
+    model gives them from the characters that stand for their bytes.  A text goes to the library whole if it holds a special token or a character that the pattern here and the library's class differently.
     """
 
     def __init__(self, path: str) -> None:
@@ -59,6 +61,8 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}
         self.classed: dict[str, bool] = {}
         self.end = np.array([END_ID], self.kind).tobytes()
+        self.code = {2: "H", 4: "I"}[self.width]
+        self.shown = byte_characters()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -77,15 +81,21 @@ class Encoder:
             return self.end
         if any(s in text for s in self.special) or not (text.isascii() or all(self._agrees(c) for c in set(text) if c > "\x7f")):
             return self.whole(text) + self.end
-        known, found = self.pieces, _PIECE.findall(text)
-        new = [p for p in set(found) if p not in known]
-        if new:
-            if len(known) + len(new) > MEMORY_PIECES:
-                known.clear()
-                new = list(set(found))
-            for piece in new:
-                known[piece] = self.whole(piece)
-        return b"".join([known[p] for p in found]) + self.end
+        found = _PIECE.findall(text)
+        try:
+            return b"".join(map(self.pieces.__getitem__, found)) + self.end
+        except KeyError:
+            return b"".join([self.piece(p) for p in found]) + self.end
+
+    def piece(self, piece: str) -> bytes:
+        """Serialized ids of one piece, remembered."""
+        known = self.pieces.get(piece)
+        if known is None:
+            if len(self.pieces) >= MEMORY_PIECES:
+                self.pieces.clear()
+            shown = piece.encode().decode("latin-1").translate(self.shown)
+            known = self.pieces[piece] = array(self.code, [t.id for t in self.library.model.tokenize(shown)]).tobytes()
+        return known
 
 
 _encoders: dict[str, Encoder] = {}
