@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructType
 
 from ledger.llm.common import named
 
@@ -198,7 +199,7 @@ def train(docs: DataFrame, folds: int = FOLDS, per_language: int = PER_LANGUAGE)
 
 def predict(docs: DataFrame, model: bytes) -> DataFrame:
     """``docs`` with ``_llm_lang`` and ``_llm_score``; needs only the column ``text``."""
-    schema = docs.schema
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with dots do not pass through Arrow
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,11 +207,10 @@ def predict(docs: DataFrame, model: bytes) -> DataFrame:
             texts = batch.column(at).to_pylist()
             langs, scores = _model(model).predict(texts) if model else ([NONE] * len(texts), [0.0] * len(texts))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "_llm_lang", "_llm_score"])
+                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "lang", "score"])
 
-    from pyspark.sql.types import DoubleType, StringType, StructType
-
-    return docs.mapInArrow(run, StructType(list(schema.fields)).add("_llm_lang", StringType()).add("_llm_score", DoubleType()))
+    schema = StructType(list(plain.schema.fields)).add("lang", StringType()).add("score", DoubleType())
+    return plain.mapInArrow(run, schema).toDF(*docs.columns, "_llm_lang", "_llm_score")
 
 
 def identify_languages(docs: DataFrame) -> DataFrame:
