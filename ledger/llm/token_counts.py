@@ -39,8 +39,9 @@ from ledger.llm.common import named
 LIMIT = 2048
 CHUNK = 256
 LANE_CHARS = 1 << 21
-SYMBOLS = 192
-MAX_STATES = 300_000
+SYMBOLS = 128
+MAX_STATES = 200_000
+_MORE_STATES = 1 << 14
 _EMIT_BITS = 9
 START, LETTERS, OTHERS, QUOTE, QUOTE_RV, QUOTE_L = range(6)
 
@@ -67,7 +68,13 @@ class WordMerges:
         for token in vocabulary:
             plain = token.removesuffix(mark)
             self.begins.update(plain[:i] for i in range(1, len(plain)))
-        self.neighbours: dict[tuple[str | None, str], bool] = {}
+        self.token = list(vocabulary)
+        self.number = {t: i for i, t in enumerate(self.token)}
+        self.forget()
+
+    def forget(self) -> None:
+        self.neighbours: dict[int, bool] = {}
+        self.shared: dict = {}
 
     def symbols(self, token: str) -> list[str]:
         if token.endswith(self.mark) and len(token) > len(self.mark):
@@ -87,35 +94,39 @@ class WordMerges:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def may_follow(self, before: str | None, token: str) -> bool:
-        key = (before, token)
-        if key not in self.neighbours:
-            if token not in self.vocabulary:
-                found = False
-            else:
-                first = [] if before is None else self.symbols(before)
-                found = self.merge(first + self.symbols(token)) == ([token] if before is None else [before, token])
-            self.neighbours[key] = found
-        return self.neighbours[key]
+    def may_follow(self, before: int, token: int) -> bool:
+        """Whether merging both tokens' symbols gives just these two; ``before`` is -1 at the start of a word."""
+        key = (before + 1) << 32 | token
+        found = self.neighbours.get(key)
+        if found is None:
+            parts = [self.token[t] for t in (before, token) if t >= 0]
+            found = self.neighbours[key] = self.merge([s for p in parts for s in self.symbols(p)]) == parts
+        return found
+
+    def share(self, value):
+        """One object for equal values: states have most of their parts in common."""
+        return self.shared.setdefault(value, value)
 
     def step(self, state: tuple, char: str) -> tuple[tuple, int]:
         """The state after one more byte character and the tokens emitted on the way."""
         entries, tail, _ = state
         last = closing = None
         for length, before, count in entries:
-            token = tail[len(tail) - length:] + char
-            if last is None and self.may_follow(before, token):
+            end = tail[len(tail) - length:] + char
+            token, marked = self.number.get(end), self.number.get(end + self.mark)
+            if last is None and token is not None and self.may_follow(before, token):
                 last = (0, token, count + 1)
-            if closing is None and self.may_follow(before, token + self.mark):
+            if closing is None and marked is not None and self.may_follow(before, marked):
                 closing = count + 1
         kept = [(n + 1, before, count) for n, before, count in entries if tail[len(tail) - n:] + char in self.begins]
         kept.append(last)
         base = min(closing, *(count for _, _, count in kept))  # never falls: new counts are old ones plus one
         longest = kept[0][0]
-        return (tuple((n, t, c - base) for n, t, c in kept), (tail + char)[len(tail) + 1 - longest:], closing - base), base
+        entries = self.share(tuple(self.share((n, t, c - base)) for n, t, c in kept))
+        return self.share((entries, self.share((tail + char)[len(tail) + 1 - longest:]), closing - base)), base
 
 
-EMPTY_WORD = (((0, None, 0),), "", 0)
+EMPTY_WORD = (((0, -1, 0),), "", 0)
 
 
 class Transducer:
@@ -137,6 +148,8 @@ class Transducer:
         self.forget()
 
     def forget(self) -> None:
+        """Start the tables anew, which bounds a worker's memory."""
+        self.words.forget()
         self.states: dict[tuple, int] = {}
         self.described: list[tuple] = []
         self.symbol_of = np.full(0x110000, -1, np.int16)
@@ -222,25 +235,29 @@ class Transducer:
             found = self.states[described] = len(self.described)
             self.described.append(described)
             if found == len(self.table):
-                self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
-                self.closing = np.concatenate([self.closing, np.zeros_like(self.closing)])
+                self.table = np.concatenate([self.table, np.full((_MORE_STATES, SYMBOLS), -1, np.int32)])
+                self.closing = np.concatenate([self.closing, np.zeros(_MORE_STATES, np.int64)])
             self.closing[found] = self.close(described)
         return found
 
-    def transition(self, state: int, char: str) -> tuple[int, int]:
+    def follow(self, state: int, char: str) -> tuple[int, int]:
         """Next state and emitted tokens for a character as it stands in the text."""
+        described, emitted = self.described[state], 0
+        for c in self.normalised(char):
+            described, more = self.move(described, c)
+            emitted += more
+        return self.state(described), emitted
+
+    def transition(self, state: int, char: str) -> tuple[int, int]:
+        """The same, remembered: for texts outside the table."""
         key = (state, char)
         found = self.steps.get(key)
         if found is None:
-            described, emitted = self.described[state], 0
-            for c in self.normalised(char):
-                described, more = self.move(described, c)
-                emitted += more
-            found = self.steps[key] = (self.state(described), emitted)
+            found = self.steps[key] = self.follow(state, char)
         return found
 
     def compile(self, state: int, symbol: int) -> int:
-        after, emitted = self.transition(state, self.characters[symbol])
+        after, emitted = self.follow(state, self.characters[symbol])
         if emitted >> _EMIT_BITS:
             raise OverflowError("a transition emits more tokens than the table holds")
         self.table[state, symbol] = after << _EMIT_BITS | emitted
@@ -296,7 +313,7 @@ class Transducer:
 
     def count_lanes(self, texts: list[str]) -> list[int]:
         """Many texts in normal form C and without special tokens."""
-        if len(self.described) > MAX_STATES:
+        if max(len(self.described), len(self.steps) // 4) > MAX_STATES:
             self.forget()
         points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         symbols = self.symbols(points)
