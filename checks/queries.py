@@ -124,6 +124,15 @@ def layers(spark: SparkSession, sf: str) -> dict:
     return _once(spark, sf, "layers", build)
 
 
+def history_layers(spark: SparkSession, sf: str) -> dict:
+    """The whole job over the full extract and the completed batches, published under a run id."""
+    def build():
+        out, root = scratch(spark, "history-layers"), lake(spark, sf)["root"]
+        summary = curate.raw_to_curated(spark, root, f"{out}/curated", f"{out}/rejected", history=True, run_id="inc-1")
+        return {"raw": root, "curated": f"{out}/curated", "rejected": f"{out}/rejected", "summary": summary}
+    return _once(spark, sf, "history-layers", build)
+
+
 def lake(spark: SparkSession, sf: str) -> dict:
     """A full load up to the marks, an incremental run with the rest, and a rerun without changes."""
     def build():
@@ -309,7 +318,8 @@ def q_window_lookup(spark, sf):
 
 def q_bounded_extract(spark, sf):
     t = _raw_tables(spark, sf)
-    return rows_of({n: inc.extract_window(df, MARKS[n], "2100-01-01", KEYS[n]) for n, df in t.items()})
+    upper = {r["table_name"]: r["new_watermark"] or MARKS[r["table_name"]] for r in inc.window_lookup(t, MARKS).collect()}
+    return rows_of({n: inc.extract_window(df, MARKS[n], upper[n], KEYS[n]) for n, df in t.items()})
 
 
 def q_full_load(spark, sf):
@@ -410,7 +420,9 @@ def q_new_watermark(spark, sf):
 def q_extraction_guard(spark, sf):
     t = _merged(spark, sf)
     expected = {r["table_name"]: r["row_count"] for r in reports.table_counts({n: _staged(spark, sf, n) for n, _ in CHANGED}).collect()}
-    return inc.extraction_guard({n: t[n] for n, _ in CHANGED}, adapter.MARK, "2100-01-01", expected)
+    changed = {n: t[n] for n, _ in CHANGED}
+    upper = _union([df.select("updated_at") for df in changed.values()]).agg(F.max("updated_at")).first()[0]
+    return inc.extraction_guard(changed, adapter.MARK, upper, expected)
 
 
 def _affected(spark, sf):
@@ -516,9 +528,32 @@ def q_file_digests(spark, sf):
 
 
 def q_verify_batch(spark, sf):
+    """The first run's batch against the rows past the marks, and against half of them, which must fail."""
     where = lake(spark, sf)
-    counts = {r["table_name"]: r["copied_rows"] for r in where["first"].collect()}
-    return inventory.verify_batch(spark, where["root"], where["marks"], "inc-1", counts)
+    past = _union([
+        df.filter(F.col("updated_at") > F.lit(MARKS[t]).cast(df.schema["updated_at"].dataType)).select(
+            F.lit(t).alias("table_name"), F.col(KEYS[t]).alias("key"), F.col("updated_at").cast("string").alias("updated_at"))
+        for t, df in _raw_tables(spark, sf).items()
+    ])
+    cases = {"all rows": past, "odd keys": past.filter("key % 2 = 1")}
+    return _union([
+        inventory.verify_batch(spark, where["root"], where["marks"], "inc-1", rows.withColumn("row_key", F.col("key").cast("string")))
+        .select(F.lit(case).alias("case_name"), "*")
+        for case, rows in cases.items()
+    ])
+
+
+def q_raw_to_curated_history(spark, sf):
+    return history_layers(spark, sf)["summary"]
+
+
+def q_validate_outputs_history(spark, sf):
+    """Per table, and a row with the overall status."""
+    where = history_layers(spark, sf)
+    found = quality.validate_outputs(spark, where["raw"], where["curated"], where["rejected"], history=True, run_id="inc-1")
+    return _union([found.select("table_name", "raw_rows", "curated_rows", "rejected_rows", "duplicate_curated_keys", "failures"),
+                   quality.overall_status(found).select(F.lit("overall").alias("table_name"), *[F.lit(None).cast("bigint").alias(c) for c in (
+                       "raw_rows", "curated_rows", "rejected_rows", "duplicate_curated_keys")], F.col("status").alias("failures"))])
 
 
 def q_rerun_idempotency(spark, sf):
@@ -561,7 +596,7 @@ QUERIES = {
     **{f"validate_{t}": _validated(t) for t in TABLES},
     "declared_constraint_audit": lambda spark, sf: validate.audit_constraints(adapter.raw(spark, sf)),
     "reject_superseded": lambda spark, sf: _reasons(collapsed(spark, sf)),
-    "layer_summary": lambda spark, sf: quality.layer_summary(judged(spark, sf)),
+    "layer_summary": lambda spark, sf: quality.layer_summary(adapter.text(spark, sf), judged(spark, sf)),
     "rejection_histogram": lambda spark, sf: quality.rejection_histogram(judged(spark, sf)),
     "raw_to_curated": lambda spark, sf: layers(spark, sf)["summary"],
     "reference_integrity": lambda spark, sf: quality.check_refs(adapter.model(spark, sf)),

@@ -137,8 +137,8 @@ def in_window(df: DataFrame, old: Mark, new: Mark) -> Column:
 
 
 def extract_window(df: DataFrame, old: Mark, new: Mark, key: str) -> DataFrame:
-    """Rows with ``old < updated_at <= new``, ordered by ``updated_at`` and key."""
-    return df.filter(in_window(df, old, new)).orderBy("updated_at", key)
+    """Rows with ``old < updated_at <= new``, each partition ordered by ``updated_at`` and key."""
+    return df.filter(in_window(df, old, new)).sortWithinPartitions("updated_at", key)
 
 
 def advance_watermarks(bounds: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledger.schemas import KEYS, TABLES, columns
-from ledger.sources.control import read_watermarks
+from ledger.schemas import KEYS, TABLES
+from ledger.sources.control import read_watermark_history
 from ledger.sources.raw import read_batch
 from ledger.sources.sinks import watermark_folder
 
@@ -28,25 +28,33 @@ def _files(spark: SparkSession, root: str, glob: str) -> DataFrame:
     )
 
 
-def _file_rows(spark: SparkSession, root: str, glob: str, multi_line: bool = True) -> DataFrame:
-    """``(path, header, data_rows)`` of delimited files with any header.
+def _headers(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """``(path, header, width)``: the first line of each file without its quotes, and its number of fields."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    placed = lines.select(F.col("_metadata.file_path").alias("path"), "value", place.alias("place"))
+    found = placed.groupBy("path").agg(F.min_by("value", "place").alias("line"))
+    fields = F.split("line", r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    return found.select("path", F.array_join(F.transform(fields, lambda f: F.btrim(f, F.lit('"'))), ",").alias("header"), F.size(fields).alias("width"))
 
-    Each file is parsed as rows of one text array-like line; the first row of a file is its header.
-    """
-    width = max(len(columns(t)) for t in TABLES) + 2
+
+def _parsed(spark: SparkSession, root: str, glob: str, multi_line: bool = True) -> tuple[DataFrame, list[str]]:
+    """Rows of delimited files with any header, headers included, as wide as the widest header."""
+    width = _headers(spark, root, glob).agg(F.max("width")).first()[0] or 1
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
     rows = (
         spark.read.schema(schema).option("header", False).option("quote", '"').option("escape", '"')
         .option("multiLine", multi_line).option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob).csv(root)
     )
-    fields = F.array_join(F.array(*schema.names), ",")
-    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    return (
-        rows.select(F.col("_metadata.file_path").alias("path"), fields.alias("fields"), place.alias("place"))
-        .groupBy("path")
-        .agg(F.min_by("fields", "place").alias("header"), (F.count(F.lit(1)) - 1).alias("data_rows"))
-    )
+    return rows, schema.names
+
+
+def _file_rows(spark: SparkSession, root: str, glob: str, multi_line: bool = True) -> DataFrame:
+    """``(path, header, data_rows)`` of delimited files with any header."""
+    rows, _ = _parsed(spark, root, glob, multi_line)
+    counts = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg((F.count(F.lit(1)) - 1).alias("data_rows"))
+    return _headers(spark, root, glob).select("path", "header").join(counts, "path")
 
 
 def _with_rows(files: DataFrame, rows: DataFrame) -> DataFrame:
@@ -57,10 +65,10 @@ def _with_rows(files: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def lake_inventory(spark: SparkSession, roots: list[str], glob: str = "*.csv") -> DataFrame:
-    """``(path, bytes, modified_at, header, data_rows)`` per file; contents are read once, as rows."""
+    """``(path, bytes, modified_at, header, data_rows)`` per file; files outside ``glob`` are listed without contents."""
     return _union([
         _with_rows(
-            _files(spark, root, glob).select(
+            _files(spark, root, "*").select(
                 "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified_at")
             ),
             _file_rows(spark, root, glob),
@@ -82,14 +90,9 @@ def file_digests(spark: SparkSession, root: str, glob: str = "*.csv", limit: int
     large = files.filter(F.col("length") > limit).select(
         "path", F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256")
     )
-    width = max(len(columns(t)) for t in TABLES) + 2
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    rows = (
-        spark.read.schema(schema).option("header", False).option("quote", '"').option("escape", '"')
-        .option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).csv(root)
-    )
+    rows, names = _parsed(spark, root, glob)
     per_file = rows.select(
-        F.col("_metadata.file_path").alias("path"), F.xxhash64(*schema.names).cast("decimal(38,0)").alias("h")
+        F.col("_metadata.file_path").alias("path"), F.xxhash64(*names).cast("decimal(38,0)").alias("h")
     ).groupBy("path").agg(
         (F.count(F.lit(1)) - 1).alias("data_rows"), F.sum("h").cast("string").alias("row_digest")
     )
@@ -112,35 +115,41 @@ def _folder(watermark: str | dict[str, str], table: str) -> str:
 
 
 def verify_batch(
-    spark: SparkSession, root: str, watermark: str | dict[str, str], run_id: str,
-    expected_rows: dict[str, int], expected_keys: dict[str, list] | None = None,
+    spark: SparkSession, root: str, watermark: str | dict[str, str], run_id: str, expected: DataFrame,
 ) -> DataFrame:
-    """One row per table: rows found, keys as expected, highest ``updated_at``, and the control row's run.
+    """One row per table: rows found and expected, those on one side only, and whether the control history has the run.
 
-    Keys are compared by counting those in and outside the expected list, which the caller supplies and
-    which is therefore small; the batch's own keys are never gathered.  Reading fails on a wrong header.
-    ``watermark`` is one boundary or one per table.
+    ``expected`` has ``(table_name, row_key, updated_at)`` as text, a row per expected row.  Both sides are counted per key and
+    time, so a missing, doubled or changed row shows.  ``control_ok``: exactly one control row names the run, and its
+    mark of the table is the batch's.  ``watermark`` is one boundary or one per table.  Reading fails on a wrong header.
     """
-    parts = []
-    for table in TABLES:
-        folder = _folder(watermark, table)
-        wanted = None if not expected_keys else expected_keys.get(table)
-        key = F.col(KEYS[table])
-        inside = key.isin([str(k) for k in wanted]) if wanted is not None else F.lit(True)
-        parts.append(
-            read_batch(spark, root, table, folder, run_id).agg(
-                F.count(F.lit(1)).alias("data_rows"), F.count_if(~inside).alias("unexpected_keys"),
-                F.min("updated_at").alias("first_updated_at"), F.max("updated_at").alias("last_updated_at"),
-            ).select(
-                F.lit(table).alias("table_name"), "data_rows",
-                F.lit(expected_rows[table]).cast("bigint").alias("expected_rows"), "unexpected_keys",
-                "first_updated_at", "last_updated_at",
-                ((F.col("data_rows") == expected_rows[table]) & (F.col("unexpected_keys") == 0)
-                 & (F.lit(len(wanted) if wanted is not None else expected_rows[table]) == F.col("data_rows"))).alias("rows_ok"),
-            )
-        )
-    current = read_watermarks(spark, root).first()["last_successful_run_id"]
-    return _union(parts).withColumn("control_ok", F.lit(current == run_id))
+    fields = ["table_name", "row_key", "updated_at"]
+    sides = batch_rows(spark, root, watermark, run_id).select(*fields, F.lit(1).alias("f"), F.lit(0).alias("e")).union(
+        expected.select(*fields, F.lit(0), F.lit(1)))
+    per_row = sides.groupBy(*fields).agg(F.sum("f").alias("f"), F.sum("e").alias("e"))
+    sums = per_row.groupBy("table_name").agg(
+        F.sum("f").alias("data_rows"), F.sum("e").alias("expected_rows"),
+        F.sum(F.greatest(F.col("e") - F.col("f"), F.lit(0))).alias("missing_rows"),
+        F.sum(F.greatest(F.col("f") - F.col("e"), F.lit(0))).alias("unexpected_rows"),
+        F.min(F.when(F.col("f") > 0, F.col("updated_at"))).alias("first_updated_at"),
+        F.max(F.when(F.col("f") > 0, F.col("updated_at"))).alias("last_updated_at"),
+    )
+    history = read_watermark_history(spark, root).filter(F.col("last_successful_run_id") == run_id)
+    control = _union([
+        history.agg(F.count(F.lit(1)).alias("control_rows"), F.max(f"{t}_watermark").alias("_mark")).select(
+            F.lit(t).alias("_table"), F.lit(_folder(watermark, t)).alias("_folder"), "control_rows", "_mark")
+        for t in TABLES
+    ])
+    counts = ["data_rows", "expected_rows", "missing_rows", "unexpected_rows"]
+    mark = F.date_format(F.col("_mark").cast("timestamp"), "yyyyMMdd'T'HHmmssSSSSSS'0Z'")
+    return (
+        control.join(sums, F.col("_table") == F.col("table_name"), "left")
+        .withColumn("table_name", F.col("_table"))
+        .fillna(0, counts)
+        .withColumn("rows_ok", (F.col("missing_rows") == 0) & (F.col("unexpected_rows") == 0))
+        .withColumn("control_ok", (F.col("control_rows") == 1) & F.coalesce(mark == F.col("_folder"), F.lit(False)))
+        .select("table_name", *counts, "first_updated_at", "last_updated_at", "rows_ok", "control_rows", "control_ok")
+    )
 
 
 def batch_rows(spark: SparkSession, root: str, watermark: str | dict[str, str], run_id: str) -> DataFrame:

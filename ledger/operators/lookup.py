@@ -81,55 +81,25 @@ def with_older_flag(df: DataFrame, key: str, version: list[str], flag: str) -> D
     )
 
 
-# Above this many distinct values a dense rank is computed in ranges instead of one task per group.
-ONE_TASK_VALUES = 1_000_000
-RANK_RANGES = 200
-
-
-def with_dense_rank(
-    df: DataFrame,
-    value: str,
-    rank: str,
-    group: str | None = None,
-    one_task_values: int = ONE_TASK_VALUES,
-    ranges: int = RANK_RANGES,
-) -> DataFrame:
+def with_dense_rank(df: DataFrame, value: str, rank: str, group: str | None = None) -> DataFrame:
     """Add ``rank``: dense rank of ``value``, highest first, overall or within ``group``.
 
-    ``df`` (already aggregated, one row per ranked thing) is written once.  Only distinct values
-    are ranked.  If there are few, a plain window does it; if there are many, they are cut into
-    value ranges at approximate quantiles, ranked inside each range, and shifted by the number of
-    distinct values in the higher ranges (at most ``ranges`` numbers per group).  The cuts only steer
-    the split: the ranks are exact wherever they fall.
+    Only distinct values are ranked, and only they are written.  They are dealt into ranges, numbered inside each range, and shifted
+    by the number of distinct values in the higher ranges: a table of one row per range and group.  The ranges only
+    steer the split; the ranks are exact wherever they fall.
     """
-    spark = df.sparkSession
-    df = stage(df, scratch(spark, "rank"))
-    keys = ([group] if group else []) + [value]
-    values = df.select(*keys).distinct()
-    if values.count() <= one_task_values:
-        window = Window.partitionBy(*([group] if group else [])).orderBy(F.col(value).desc())
-        ranked = values.withColumn(rank, F.dense_rank().over(window).cast("bigint"))
-    else:
-        # A driver value of bounded length; decimals are compared as such, not as doubles.
-        probs = [i / ranges for i in range(1, ranges)]
-        cuts = df.agg(F.percentile_approx(value, probs).alias("cuts")).first()["cuts"]
-        kind = df.schema[value].dataType
-        steps = F.array(*[F.lit(cut).cast(kind) for cut in sorted(set(cuts))])
-        band = F.size(F.filter(steps, lambda cut: cut >= F.col(value)))
-        values = values.withColumn("_band", band)
-        by = [group] if group else []
-        sizes = values.groupBy(*by, "_band").agg(F.count(F.lit(1)).alias("_size"))
-        higher = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-        shifts = sizes.select(*by, "_band", F.coalesce(F.sum("_size").over(higher), F.lit(0)).alias("_shift"))
-        inside = Window.partitionBy(*by, "_band").orderBy(F.col(value).desc())
-        ranked = (
-            values.withColumn("_inside", F.row_number().over(inside))
-            .join(shifts.withColumnsRenamed({k: f"_{k}" for k in by}).withColumnRenamed("_band", "_b"),
-                  on=[F.col("_band") == F.col("_b"),
-                      *[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]])
-            .select(*keys, (F.col("_inside") + F.col("_shift")).cast("bigint").alias(rank))
-        )
-    ranked = ranked.withColumnsRenamed({k: f"_{k}" for k in keys})
-    return df.join(ranked, on=[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(
-        *[f"_{k}" for k in keys]
+    by = [group] if group else []
+    keys = [*by, value]
+    values = df.select(*keys).distinct().repartitionByRange(*by, F.col(value).desc())
+    values = stage(values.withColumn("_band", F.spark_partition_id()), scratch(df.sparkSession, "rank"))
+    sizes = values.groupBy(*by, "_band").agg(F.count(F.lit(1)).alias("_size"))
+    higher = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select(
+        *[F.col(k).alias(f"_{k}") for k in by], F.col("_band").alias("_b"), F.coalesce(F.sum("_size").over(higher), F.lit(0)).alias("_shift"))
+    inside = Window.partitionBy(*by, "_band").orderBy(F.col(value).desc())
+    ranked = (
+        values.withColumn("_inside", F.row_number().over(inside))
+        .join(shifts, on=[F.col("_band") == F.col("_b"), *[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]])
+        .select(*[F.col(k).alias(f"_of_{k}") for k in keys], (F.col("_inside") + F.col("_shift")).cast("bigint").alias(rank))
     )
+    return df.join(ranked, on=[F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]).drop(*[f"_of_{k}" for k in keys])

@@ -133,10 +133,10 @@ def _product_revenue(t: Tables) -> DataFrame:
     return sums.join(t["products"].select("product_id", "product_name", "category"), "product_id")
 
 
-def product_performance(t: Tables, **rank_options) -> DataFrame:
+def product_performance(t: Tables) -> DataFrame:
     """Orders, units and revenue per product with its dense rank in the category (no customer test)."""
     ranked = with_dense_rank(
-        _product_revenue(t), "confirmed_revenue", "category_revenue_rank", group="category", **rank_options
+        _product_revenue(t), "confirmed_revenue", "category_revenue_rank", group="category"
     )
     return ranked.select(
         "category", "product_id", "product_name", "confirmed_orders", "units_sold", "confirmed_revenue",
@@ -144,7 +144,7 @@ def product_performance(t: Tables, **rank_options) -> DataFrame:
     ).orderBy("category", "category_revenue_rank", "product_id")
 
 
-def customer_performance(t: Tables, **rank_options) -> DataFrame:
+def customer_performance(t: Tables) -> DataFrame:
     """Orders and revenue per customer with the overall dense rank (customer and product exist)."""
     sums = (
         _paid_in_full(t)
@@ -153,7 +153,7 @@ def customer_performance(t: Tables, **rank_options) -> DataFrame:
         .agg(_rows().alias("confirmed_orders"), _money(F.sum("payment_amount")).alias("confirmed_revenue"))
     )
     named = sums.join(t["customers"].select("customer_id", "customer_name", "city", "state"), "customer_id")
-    return with_dense_rank(named, "confirmed_revenue", "customer_revenue_rank", **rank_options).select(
+    return with_dense_rank(named, "confirmed_revenue", "customer_revenue_rank").select(
         "customer_id", "customer_name", "city", "state", "confirmed_orders", "confirmed_revenue",
         "customer_revenue_rank",
     ).orderBy("customer_revenue_rank", "customer_id")

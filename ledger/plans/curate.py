@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledger.operators import quality, relate
@@ -35,8 +35,8 @@ def _with_final(wide: DataFrame, slim: DataFrame) -> DataFrame:
     )
 
 
-def judge(text_tables: dict[str, DataFrame], work: str) -> dict[str, DataFrame]:
-    """All rows of the four tables with their final ``reasons``.
+def judge(text_tables: dict[str, DataFrame], work: str, seen: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    """All rows of the four tables with their final ``reasons``; ``seen`` gets the rows read of each.
 
     ``text_tables`` hold the text fields and ``_seq``.  The typed rows are written below ``work`` once: the text is
     parsed once, ``_seq`` is frozen and each row gets a number.  Versions, references and amounts
@@ -45,8 +45,12 @@ def judge(text_tables: dict[str, DataFrame], work: str) -> dict[str, DataFrame]:
     spark = next(iter(text_tables.values())).sparkSession
 
     def type_rows(table: str) -> DataFrame:
-        rows = VALIDATORS[table](text_tables[table]).withColumn("_row", F.monotonically_increasing_id())
-        return stage(rows, f"{work}/typed/{table}")
+        read = Observation()
+        rows = VALIDATORS[table](text_tables[table].observe(read, F.count(F.lit(1)).alias("rows")))
+        out = stage(rows.withColumn("_row", F.monotonically_increasing_id()), f"{work}/typed/{table}")
+        if seen is not None:
+            seen[table] = read.get["rows"]
+        return out
 
     typed = together(spark, type_rows, TABLES)
     slim = {
@@ -77,12 +81,15 @@ def raw_to_curated(
     history: bool = False,
     run_id: str | None = None,
     keep_work: bool = False,
+    escape: str = '"',
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Judge the raw files and write both layers; returns ``layer_summary``.
+    """Judge the raw files and write both layers; returns the rows of ``layer_summary``.
 
-    ``history`` takes the full extract and all incremental batches as versions instead of the full
+    ``history`` takes the full extract and all completed incremental batches as versions instead of the full
     extract alone.  With ``run_id`` the layers go to their published folders.  ``summary`` names
-    a folder for the JSON summary; the job raises if the layers do not reconcile.
+    a folder for the JSON summary; the job raises if the layers do not reconcile: rows are counted as they are
+    read and again as each layer is written, so a row lost or doubled in between shows.
     """
     if len({raw.rstrip("/"), curated.rstrip("/"), rejected.rstrip("/")}) != 3:
         raise ValueError("raw, curated and rejected folders must be distinct")
@@ -94,8 +101,20 @@ def raw_to_curated(
             if path_exists(spark, path):
                 raise FileExistsError(f"refusing to overwrite {path}")
     work = scratch(spark, "curate")
+    try:
+        return _curate(spark, raw, targets, curated, rejected, overwrite, summary, history, work, escape, multi_line)
+    finally:
+        if not keep_work:
+            remove_scratch(spark, work)
+
+
+def _curate(
+    spark: SparkSession, raw: str, targets: dict, curated: str, rejected: str, overwrite: bool, summary: str | None,
+    history: bool, work: str, escape: str, multi_line: bool,
+) -> DataFrame:
     read = read_raw_versions if history else read_raw
-    judged = judge({table: read(spark, raw, table) for table in TABLES}, work)
+    seen: dict[str, int] = {}
+    judged = judge({table: read(spark, raw, table, escape, multi_line) for table in TABLES}, work, seen)
     # Both layers, the summary and the histogram read the judged rows; of the typed columns only the
     # timestamps are written.
     def settle(table: str) -> DataFrame:
@@ -104,17 +123,16 @@ def raw_to_curated(
 
     final = together(spark, settle, TABLES)
 
-    def write(table: str) -> None:
-        write_curated(final[table], targets[table, curated], table, overwrite)
-        write_rejected(final[table], targets[table, rejected], table, overwrite)
+    def write(table: str) -> tuple[int, int]:
+        return (write_curated(final[table], targets[table, curated], table, overwrite),
+                write_rejected(final[table], targets[table, rejected], table, overwrite))
 
-    together(spark, write, TABLES)
-    result = quality.layer_summary(final).collect()  # one row per table
-    report = spark.createDataFrame(result)
+    written = together(spark, write, TABLES)
+    result = [(t, seen[t], *written[t], seen[t] == sum(written[t])) for t in TABLES]
+    report = spark.createDataFrame(
+        result, "table_name string, raw_rows bigint, curated_rows bigint, rejected_rows bigint, reconciled boolean")
     if summary:
         quality.write_summary(report, quality.rejection_histogram(final), summary)
-    elif not all(row["reconciled"] for row in result):
+    elif not all(row[-1] for row in result):
         raise ValueError("layers do not reconcile")
-    if not keep_work:
-        remove_scratch(spark, work)
     return report

@@ -39,6 +39,13 @@ def read_watermark_history(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(SCHEMA).option("header", True).csv(f"{path}/run_id=*")
 
 
+def completed_runs(spark: SparkSession, root: str) -> DataFrame:
+    """``_run`` and ``_done`` (microseconds): the runs that wrote a control row, one row per run."""
+    return read_watermark_history(spark, root).groupBy(F.col("last_successful_run_id").alias("_run")).agg(
+        F.unix_micros(F.max(F.col("completed_at").cast("timestamp"))).alias("_done")
+    )
+
+
 def read_watermarks(spark: SparkSession, root: str) -> DataFrame:
     """The current control row, exactly one."""
     history = read_watermark_history(spark, root)

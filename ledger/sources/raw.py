@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ledger.schemas import KEYS, columns, text_schema, typed_schema
 from ledger.session import path_exists
+from ledger.sources.control import completed_runs
 
 
 def csv_reader(spark: SparkSession, schema: T.StructType, escape: str = '"', multi_line: bool = True):
@@ -33,17 +34,20 @@ def csv_reader(spark: SparkSession, schema: T.StructType, escape: str = '"', mul
     )
 
 
-def _input_order(batch: Column):
-    """Batch, number of the part file, position in the file, row within the task.
+def _input_order(batch: Column, done: Column | None = None):
+    """Batch, completion of its run, part number, file of the part, position in the file, row within the task.
 
-    Increases with the input order: written part files are numbered in the order of the rows.  Only
-    numbers, since it travels with every row through shuffles.
+    Increases with the input order: written part files are numbered in the order of the rows, and a part
+    longer than the row cap is cut into files counted by ``-c000``, ``-c001``.  Only numbers, since it
+    travels with every row through shuffles.
     """
-    # "part-00012-...": a name without a number sorts first.
-    part = F.substring(F.col("_metadata.file_name"), 6, 5).try_cast("int")
+    # "part-00012-...-c001.csv": a name without a number sorts first.
+    name = F.col("_metadata.file_name")
     return F.struct(
         batch.alias("batch"),
-        part.alias("part"),
+        (F.lit(0).cast("bigint") if done is None else done).alias("done"),
+        F.regexp_extract(name, r"^part-([0-9]+)", 1).try_cast("bigint").alias("part"),
+        F.regexp_extract(name, r"-c([0-9]+)(?:[.]|$)", 1).try_cast("bigint").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
@@ -80,19 +84,23 @@ def read_raw(
     )
 
 
-def read_layer(spark: SparkSession, path: str, table: str, *extra: str) -> DataFrame:
+def read_layer(
+    spark: SparkSession, path: str, table: str, *extra: str, escape: str = '"', multi_line: bool = True
+) -> DataFrame:
     """A written layer of one table as text; ``extra`` names fields after the table's own."""
-    rows = csv_reader(spark, text_schema(table, *extra)).csv(path)
+    rows = csv_reader(spark, text_schema(table, *extra), escape, multi_line).csv(path)
     return rows.na.fill("")
 
 
 def read_raw_versions(
     spark: SparkSession, root: str, table: str, escape: str = '"', multi_line: bool = True
 ) -> DataFrame:
-    """The full extract and all incremental batches as versions of one table.
+    """The full extract and all completed incremental batches as versions of one table.
 
-    ``watermark`` and ``run_id`` come from the batch folders (``''`` for the full extract) and stay
-    text; filters on them prune folders.  ``_seq`` puts later batches after earlier ones.
+    A batch counts only if the control history names its run: a run stopped by its count guard leaves its folders
+    behind.  ``watermark`` and ``run_id`` come from the batch folders (``''`` for the full extract) and stay
+    text; filters on them prune folders.  ``_seq`` puts later batches after earlier ones, those of one watermark
+    in the order in which their runs completed.
     """
     full = locate_raw(spark, root, table)
     fields = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns(table)]
@@ -111,14 +119,19 @@ def read_raw_versions(
             .option("basePath", batches)
             .csv(batches)
             .select(*fields, "watermark", "run_id", _input_order(_batch_number(F.col("watermark"))).alias("_seq"))
+            .join(completed_runs(spark, root), F.col("run_id") == F.col("_run"))
+            .withColumn("_seq", F.col("_seq").withField("done", F.col("_done")))
+            .drop("_run", "_done")
         )
     return reduce(DataFrame.unionByName, parts)
 
 
-def read_batch(spark: SparkSession, root: str, table: str, watermark: str, run_id: str) -> DataFrame:
+def read_batch(
+    spark: SparkSession, root: str, table: str, watermark: str, run_id: str, escape: str = '"', multi_line: bool = True
+) -> DataFrame:
     """One watermark/run folder as text."""
     path = f"{root}/{table}/incremental/watermark={watermark}/run_id={run_id}"
-    return csv_reader(spark, text_schema(table)).csv(path).na.fill("")
+    return csv_reader(spark, text_schema(table), escape, multi_line).csv(path).na.fill("")
 
 
 def read_staged(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -45,7 +45,7 @@ def _write_csv(df: DataFrame, path: str, mode: str = "errorifexists", escape: st
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows as they pass.  Goes above any sort, whose sampling would count its input twice."""
+    """Count rows as they pass."""
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
@@ -78,12 +78,12 @@ def batch_path(root: str, table: str, watermark: datetime | str, run_id: str) ->
 def write_raw_batch(
     df: DataFrame, root: str, table: str, watermark: datetime | str, run_id: str, escape: str = '"'
 ) -> int:
-    """Write one bounded batch into its own folder, in the order of ``updated_at`` and key.
+    """Write one bounded batch into its own folder, each file in the order of ``updated_at`` and key.
 
-    The sort is a range partitioning, not a single task.  A batch without rows still leaves a file
-    with the header.  Returns the rows written.
+    Sorted inside the tasks that read the source, so the window is asked for once.  A batch without rows still
+    leaves a file with the header.  Returns the rows written.
     """
-    rows, seen = _counted(df.orderBy("updated_at", KEYS[table]))
+    rows, seen = _counted(df.sortWithinPartitions("updated_at", KEYS[table]))
     _write_csv(as_text(rows, table), batch_path(root, table, watermark, run_id), escape=escape)
     return seen.get["rows"]
 
@@ -103,12 +103,18 @@ def rejected_rows(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def write_curated(df: DataFrame, path: str, table: str, overwrite: bool = False) -> None:
-    _write_csv(curated_rows(df, table), path, "overwrite" if overwrite else "errorifexists")
+def write_curated(df: DataFrame, path: str, table: str, overwrite: bool = False) -> int:
+    """Returns the rows written, counted while writing."""
+    rows, seen = _counted(curated_rows(df, table))
+    _write_csv(rows, path, "overwrite" if overwrite else "errorifexists")
+    return seen.get["rows"]
 
 
-def write_rejected(df: DataFrame, path: str, table: str, overwrite: bool = False) -> None:
-    _write_csv(rejected_rows(df, table), path, "overwrite" if overwrite else "errorifexists")
+def write_rejected(df: DataFrame, path: str, table: str, overwrite: bool = False) -> int:
+    """Returns the rows written, counted while writing."""
+    rows, seen = _counted(rejected_rows(df, table))
+    _write_csv(rows, path, "overwrite" if overwrite else "errorifexists")
+    return seen.get["rows"]
 
 
 def layer_path(root: str, table: str, run_id: str | None = None) -> str:

@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import duckdb  # noqa: E402
 
-NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "benchmark", "pages"]
 
 
 def duck(sf_dir: str):
@@ -36,8 +36,21 @@ def difference(spark, con, sf_dir: str, name: str, query, sql: str) -> str | Non
         return f"columns {sorted(df.columns)} != {sorted(cols)}"
     if got != want:
         return f"{sum(got.values())} rows, wanted {sum(want.values())}; only Spark {list((got - want).items())[:3]}; only SQL {list((want - got).items())[:3]}"
-    types = {d[0]: str(d[1]) for d in cur.description}
-    return None if types else None
+    kinds = {d[0]: family(str(d[1])) for d in cur.description}
+    wrong = {f.name: (f.dataType.simpleString(), kinds[f.name]) for f in df.schema if family(f.dataType.simpleString()) not in (kinds[f.name], "null")}
+    return f"types {wrong}" if wrong and want else None
+
+
+def family(name: str) -> str:
+    """Kind of a column type in either engine."""
+    name = name.lower()
+    for kind, starts in {
+        "number": ("bigint", "int", "smallint", "tinyint", "hugeint", "long", "decimal", "double", "float", "number", "ubigint"),
+        "text": ("string", "varchar"), "time": ("timestamp", "date"), "boolean": ("bool",), "null": ("void", "null", '"null"'),
+    }.items():
+        if name.startswith(starts):
+            return kind
+    return name
 
 
 if __name__ == "__main__":

@@ -6,7 +6,8 @@ from pathlib import Path
 import pytest
 
 import handmade as h
-from ledger.operators.quality import validate_outputs
+from ledger.operators.quality import overall_status, validate_outputs
+from ledger.plans import curate
 from ledger.plans.curate import raw_to_curated
 from ledger.schemas import TABLES
 from ledger.sources.raw import read_layer, read_raw
@@ -18,7 +19,9 @@ def run(spark, tmp_path, **tables):
     out = f"{tmp_path}/curated", f"{tmp_path}/rejected"
     summary = raw_to_curated(spark, raw, *out, summary=f"{tmp_path}/summary")
     counts = {r["table_name"]: (r["raw_rows"], r["curated_rows"], r["rejected_rows"]) for r in summary.collect()}
-    checked = validate_outputs(spark, raw, *out).collect()
+    checked = validate_outputs(spark, raw, *out)
+    assert overall_status(checked).first()["status"] == "PASS"
+    checked = checked.collect()
     assert all(r["reconciled"] and r["failures"] == "" for r in checked)
     return counts
 
@@ -125,3 +128,12 @@ def test_reader_refuses_wrong_headers_and_skips_byte_order_mark(spark, tmp_path)
         read_layer(spark, str(path), "customers").count()
     with pytest.raises(FileNotFoundError, match="orders/orders.csv"):
         read_raw(spark, str(tmp_path / "nowhere"), "orders")
+
+
+@pytest.mark.parametrize("summary", [True, False])
+def test_a_lost_row_does_not_reconcile(spark, tmp_path, monkeypatch, summary):
+    raw = h.write(tmp_path / "raw", customers=[h.customer(1), h.customer(2)])
+    wrong = curate.write_curated
+    monkeypatch.setattr(curate, "write_curated", lambda df, *a: wrong(df.filter("customer_id <> '2'") if a[1] == "customers" else df, *a))
+    with pytest.raises(ValueError, match="do not reconcile"):
+        raw_to_curated(spark, raw, f"{tmp_path}/c", f"{tmp_path}/r", summary=f"{tmp_path}/s" if summary else None)

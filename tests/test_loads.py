@@ -13,7 +13,7 @@ from ledger.operators import inventory, quality
 from ledger.plans import curate, load
 from ledger.schemas import KEYS, TABLES, columns, typed_schema
 from ledger.sources.control import read_watermark_history, read_watermarks
-from ledger.sources.raw import jdbc_options, read_batch, read_raw_versions, read_staged
+from ledger.sources.raw import jdbc_options, read_batch, read_raw, read_raw_versions, read_source, read_staged
 from ledger.sources.sinks import reload_tables, watermark_folder, write_raw_batch, write_raw_full
 
 
@@ -82,15 +82,25 @@ def test_rerun_left_first_files_alone(spark, lake):
     assert not any(r["unchanged"] for r in inventory.compare_digests(broken, after).collect())
 
 
+def expected_rows(spark, keys: dict, at: str = NEW_AT):
+    return spark.createDataFrame(
+        [(t, str(k), at) for t, own in keys.items() for k in own], "table_name string, row_key string, updated_at string")
+
+
 def test_verify_batch(spark, lake):
-    good = inventory.verify_batch(
-        spark, lake["root"], NEW_AT, "run-1", dict.fromkeys(TABLES, 1),
-        {"customers": [2], "products": [2], "orders": [3], "payments": [2]},
-    ).collect()
-    assert all(r["rows_ok"] for r in good) and not any(r["control_ok"] for r in good)
-    bad = inventory.verify_batch(spark, lake["root"], NEW_AT, "run-2", dict.fromkeys(TABLES, 0), {"orders": [7]}).collect()
-    assert {r["table_name"]: r["rows_ok"] for r in bad} == {"customers": True, "products": True, "orders": False, "payments": True}
-    assert all(r["control_ok"] for r in bad)
+    keys = {"customers": [2], "products": [2], "orders": [3], "payments": [2]}
+
+    def verdicts(run, expected):
+        rows = inventory.verify_batch(spark, lake["root"], NEW_AT, run, expected).collect()
+        return {r["table_name"]: (r["rows_ok"], r["missing_rows"], r["unexpected_rows"], r["control_ok"]) for r in rows}
+
+    assert set(verdicts("run-1", expected_rows(spark, keys)).values()) == {(True, 0, 0, True)}
+    # A key that the batch lacks, one twice in the batch's place, another time, no expectation at all.
+    assert verdicts("run-1", expected_rows(spark, {**keys, "orders": [3, 4]}))["orders"] == (False, 1, 0, True)
+    assert verdicts("run-1", expected_rows(spark, {**keys, "orders": [4]}))["orders"] == (False, 1, 1, True)
+    assert verdicts("run-1", expected_rows(spark, keys, "2026-08-15 03:25:37.527344"))["payments"] == (False, 1, 1, True)
+    assert verdicts("run-1", expected_rows(spark, {}))["customers"] == (False, 0, 1, True)
+    assert set(verdicts("run-2", expected_rows(spark, {})).values()) == {(True, 0, 0, True)}
 
 
 def test_history_feeds_the_curated_layer(spark, lake):
@@ -99,6 +109,11 @@ def test_history_feeds_the_curated_layer(spark, lake):
     out = lake["tmp"]
     summary = curate.raw_to_curated(spark, lake["root"], f"{out}/c", f"{out}/r", history=True)
     assert {r["table_name"]: r["curated_rows"] for r in summary.collect()} == {"customers": 2, "products": 2, "orders": 3, "payments": 2}
+    checked = quality.validate_outputs(spark, lake["root"], f"{out}/c", f"{out}/r", history=True)
+    assert quality.overall_status(checked).first()["status"] == "PASS"
+    # Judged without the batches, the layers hold rows that the raw files lack.
+    checked = quality.validate_outputs(spark, lake["root"], f"{out}/c", f"{out}/r")
+    assert quality.overall_status(checked).first()["status"] == "FAIL"
 
 
 def test_failed_guard_leaves_the_boundary(spark, tmp_path, monkeypatch):
@@ -110,12 +125,43 @@ def test_failed_guard_leaves_the_boundary(spark, tmp_path, monkeypatch):
     with pytest.raises(inc.LoadError, match="INCREMENTAL_ROW_COUNT_MISMATCH"):
         load.incremental_load(spark, src, root, "bad")
     assert read_watermarks(spark, root).first()["last_successful_run_id"] == "full"
+    # What the failed run left behind is no version of anything.
+    assert {r["order_id"] for r in read_raw_versions(spark, root, "orders").collect()} == {"1", "2"}
     monkeypatch.undo()
     assert [r["copied_rows"] for r in load.incremental_load(spark, src, root, "good").collect()] == [1, 1, 1, 1]
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
         load.write_watermarks(read_watermarks(spark, root), root, "good")
 
 
+def test_last_row_in_input_order_wins(spark, tmp_path):
+    """Versions of one key with equal times over the files of one part, and over parts of more than five digits."""
+    header = ",".join(f'"{c}"' for c in columns("customers"))
+
+    def winner(names):
+        root = tmp_path / "-".join(names)
+        (root / "customers" / "customers.csv").mkdir(parents=True)
+        for i, name in enumerate(names):
+            row = {**{c: "x" for c in columns("customers")}, "customer_id": "1", "customer_name": f"v{i}"}
+            text = ",".join(f'"{row[c]}"' for c in columns("customers"))
+            # Larger files are packed first, so the earlier rows are longer.
+            (root / "customers" / "customers.csv" / name).write_text(header + "\n" + text.replace("x", "x" * (9 - i)) + "\n")
+        rows = read_raw(spark, str(root), "customers")
+        return rows.orderBy(F.col("_seq").desc()).first()["customer_name"]
+
+    assert winner(["part-00000-a-c000.csv", "part-00000-a-c001.csv", "part-00000-a-c002.csv"]) == "v2"
+    assert winner(["part-99999-a-c000.csv", "part-100000-a-c000.csv"]) == "v1"
+    assert winner(["part-00002-a-c000.csv", "part-00010-a-c000.csv"]) == "v1"
+
+
+def test_extract_reads_its_source_once(spark, tmp_path):
+    rows = source(spark, tmp_path / "s", **{**BASE, "orders": [h.order(i) for i in range(1, 101)]})
+    seen = spark.sparkContext.accumulator(0)
+    t = read_source(spark, rows, "orders")
+    counted = t.rdd.map(lambda r: (seen.add(1), r)[1]).toDF(t.schema)
+    assert write_raw_batch(counted, str(tmp_path / "raw"), "orders", NEW_AT, "r") == 100
+    assert seen.value == 100
+
+
 def test_window_never_goes_back(spark):
     df = typed(spark, "orders", [h.order(1)])
     row = inc.window_bounds(df, "2030-01-01 00:00:00").select(F.col("new_watermark").cast("string"), "expected_rows").first()
