@@ -303,9 +303,10 @@ def judged(body: str) -> str:
 
 
 def judged_history(body: str) -> str:
-    """The same cascade over the typed versions as the loads write them: as text, blanks for nulls."""
+    """The same cascade over the typed versions as the loads write them: as text, blanks for nulls, one per key and time."""
     plain = [
-        f"text_{t} AS (SELECT {', '.join(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in columns(t))}, _seq FROM raw_{t})" for t in TABLES]
+        f"text_{t} AS (SELECT {', '.join(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in columns(t))}, _seq "
+        f"FROM raw_{t} QUALIFY row_number() OVER (PARTITION BY {KEYS[t]}, updated_at ORDER BY _seq DESC) = 1)" for t in TABLES]
     return query(body, *[f"raw_{t}" for t in TABLES], extra=[*plain, *[c for t in TABLES for c in typed_cte(t)], *cascade()])
 
 

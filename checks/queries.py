@@ -12,6 +12,7 @@ from checks import adapter
 from checks.oracles import MARKS
 from ledger.operators import incremental as inc
 from ledger.operators import inventory, quality, relate, reports, validate
+from ledger.operators.lookup import newest_per_key
 from ledger.plans import curate, load
 from ledger.schemas import KEYS, TABLES, columns
 from ledger.session import scratch, stage, together
@@ -125,9 +126,18 @@ def layers(spark: SparkSession, sf: str) -> dict:
 
 
 def history_layers(spark: SparkSession, sf: str) -> dict:
-    """The whole job over the full extract and the completed batches, published under a run id."""
+    """The whole job over a full extract and a completed batch, published under a run id.
+
+    Of versions with equal times the last one is loaded: a source system has no order among them.
+    """
     def build():
-        out, root = scratch(spark, "history-layers"), lake(spark, sf)["root"]
+        before, after, root, out = (scratch(spark, f"history-{n}") for n in ("before", "after", "lake", "layers"))
+        for t, df in adapter.raw(spark, sf).items():
+            rows = newest_per_key(df.withColumn("_version", F.struct(KEYS[t], "updated_at")), "_version", F.col("_seq").desc()).select(*columns(t))
+            rows.filter(F.col("updated_at") <= F.lit(MARKS[t]).cast(df.schema["updated_at"].dataType)).write.parquet(f"{before}/{t}")
+            rows.write.parquet(f"{after}/{t}")
+        load.full_load(spark, {"format": "parquet", "path": before}, root, "full-0")
+        load.incremental_load(spark, {"format": "parquet", "path": after}, root, "inc-1")
         summary = curate.raw_to_curated(spark, root, f"{out}/curated", f"{out}/rejected", history=True, run_id="inc-1")
         return {"raw": root, "curated": f"{out}/curated", "rejected": f"{out}/rejected", "summary": summary}
     return _once(spark, sf, "history-layers", build)
