@@ -123,8 +123,7 @@ def _cells(docs: DataFrame, items: DataFrame, slice_shingles: int) -> DataFrame:
         part = index if slices == 1 else index.filter(F.pmod(F.xxhash64("_s"), F.lit(slices)) == i)
         parts.append(positions.join(F.broadcast(part), F.col("_t") == F.col("_s")).select(
             "_doc_key", "_id", "_item_key", "_m", cell.alias("_cell"), F.struct("_p", start.alias("_from"), around.alias("_around")).alias("_place")))
-    hits = cut(reduce(DataFrame.union, parts), "leak-hits")
-    return hits.groupBy("_doc_key", "_id", "_item_key", "_m", "_cell").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_place"))
+    return reduce(DataFrame.union, parts).groupBy("_doc_key", "_id", "_item_key", "_m", "_cell").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_place"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS,
