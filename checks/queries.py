@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -576,18 +575,21 @@ def q_rerun_idempotency(spark, sf):
 
 
 def q_run_counts(spark, sf):
-    """Run records are written from the counts of the two incremental runs, one document per run."""
+    """Run records written from the counts of the two incremental runs, one document per run."""
     where = lake(spark, sf)
     root = scratch(spark, "runs")
-    docs = []
+    title = F.initcap("table_name")
+    none = F.lit(None).cast("bigint")
+
+    def activity(name, copied, expected):
+        return F.struct(name.alias("activityName"), copied.alias("rowsCopied"), F.struct(expected.alias("expected_rows")).alias("firstRow"))
+
     for name, run in (("first", "inc-1"), ("second", "inc-2")):
-        acts = []
-        for r in where[name].collect():
-            title = r["table_name"].title()
-            acts.append({"activityName": f"Copy_{title}_Incremental_To_Raw", "rowsCopied": r["copied_rows"], "firstRow": None})
-            acts.append({"activityName": f"Lookup_{title}_Window", "rowsCopied": None, "firstRow": {"expected_rows": r["expected_rows"]}})
-        docs.append((run, json.dumps({"runId": run, "status": "Succeeded", "activities": acts}, indent=1),))
-    spark.createDataFrame(docs, "run string, value string").write.partitionBy("run").text(root)
+        both = F.array(
+            activity(F.concat(F.lit("Copy_"), title, F.lit("_Incremental_To_Raw")), F.col("copied_rows"), none),
+            activity(F.concat(F.lit("Lookup_"), title, F.lit("_Window")), none, F.col("expected_rows")))
+        document = F.struct(F.lit(run).alias("runId"), F.lit("Succeeded").alias("status"), F.flatten(F.collect_list(both)).alias("activities"))
+        where[name].agg(F.to_json(document).alias("value")).write.mode("append").text(root)
     return inventory.run_counts(inventory.read_runs(spark, root))
 
 
