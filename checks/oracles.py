@@ -521,10 +521,13 @@ def loads() -> dict[str, str]:
         f"FROM (SELECT {k}, count(*) AS n FROM raw_{t} GROUP BY 1) x" for t, k in both))
     q["late_payments_for_existing"] = change(
         "SELECT payment_id, order_id FROM staged_payments WHERE operation = 'new' AND order_id IN (SELECT order_id FROM base_orders)")
-    q["recovery_window_check"] = raw_query(" UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS total_rows, {_ts('max(updated_at)')} AS max_updated_at, count(*) FILTER (WHERE {PAST[t]}) AS recovery_rows, "
-        f"CAST(0 AS BIGINT) AS expected_rows, count(*) FILTER (WHERE {PAST[t]}) AS unexpected_rows, count(*) FILTER (WHERE {PAST[t]}) = 0 AS safe FROM {v}"
-        for t, v in RAW.items()))
+    cases = {"stored marks": PAST, "latest times": {t: f"updated_at > (SELECT max(updated_at) FROM {v})" for t, v in RAW.items()}}
+    tables = " UNION ALL ".join(
+        f"SELECT '{case}' AS case_name, '{t}' AS table_name, count(*) AS total_rows, {_ts('max(updated_at)')} AS max_updated_at, "
+        f"count(*) FILTER (WHERE {past[t]}) AS recovery_rows, CAST(0 AS BIGINT) AS expected_rows, count(*) FILTER (WHERE {past[t]}) AS unexpected_rows, "
+        f"count(*) FILTER (WHERE {past[t]}) = 0 AS safe FROM {v}" for case, past in cases.items() for t, v in RAW.items())
+    q["recovery_window_check"] = raw_query(
+        f"SELECT * FROM ({tables}) a UNION ALL SELECT case_name, 'overall', NULL, NULL, NULL, NULL, NULL, bool_and(safe) FROM ({tables}) b GROUP BY case_name")
     q["recovery_unexpected_ids"] = raw_query(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, {KEYS[t]} AS row_id FROM {v} WHERE {PAST[t]}" for t, v in RAW.items()))
     q["postinsert_checks"] = report(" UNION ALL ".join(

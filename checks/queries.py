@@ -457,12 +457,20 @@ def q_late_payments_for_existing(spark, sf):
     ).select("payment_id", "order_id")
 
 
-NOTHING_EXPECTED = {t: ([-1], "1900-01-01") for t in TABLES}
+NOTHING_EXPECTED = {t: ([], "1900-01-01") for t in TABLES}
 
 
 def q_recovery_window_check(spark, sf):
-    check = inc.recovery_check(_raw_tables(spark, sf), MARKS, NOTHING_EXPECTED)
-    return check.withColumn("max_updated_at", _utc("max_updated_at")).withColumn("safe", F.col("recovery_rows") == 0)
+    """No row is expected past the boundary: false at the stored marks, true at the latest times; with the overall verdict."""
+    t = _raw_tables(spark, sf)
+    latest = {r["table_name"]: r["new_watermark"] for r in inc.window_lookup(t, dict.fromkeys(TABLES, "1900-01-01")).collect()}
+    parts = []
+    for case, marks in (("stored marks", MARKS), ("latest times", latest)):
+        check = inc.recovery_check(t, marks, NOTHING_EXPECTED)
+        named = check.withColumn("max_updated_at", _utc("max_updated_at")).select(F.lit(case).alias("case_name"), "*")
+        overall = inc.safe_to_reset(check).select(F.lit(case).alias("case_name"), F.lit("overall").alias("table_name"), F.col("safe_to_reset").alias("safe"))
+        parts += [named, overall]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def q_recovery_unexpected_ids(spark, sf):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -60,7 +61,7 @@ if __name__ == "__main__":
     sf_dir = f"/root/testdata/sf{sys.argv[1]}"
     only = sys.argv[2:]
     spark = build_session("compare", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g",
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="ledger-"), "spark.driver.memory": "12g",
         "spark.log.level": "ERROR", "spark.ui.showConsoleProgress": "false",
     })
     con, oracles, bad = duck(sf_dir), oracle_sql(), []
