@@ -121,10 +121,11 @@ def _sampled_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
                 blob = b""
         yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["dictionary"])
 
-    text = named("text")
+    # A hash threshold lets through about four times the sample, so what meets in one task does not grow with the table.
+    text, share = named("text"), min(1.0, 4 * SAMPLE_DOCS / max(docs.count(), 1))
     sample = (
-        docs.select(text.alias("_text"), F.xxhash64(named("doc_id"), text).alias("_h"))
-        .filter(F.col("_text").isNotNull() & (F.length("_text") <= SAMPLE_CHARS))
+        docs.select(text.alias("_text"), F.pmod(F.xxhash64(named("doc_id"), text), F.lit(1 << 40)).alias("_h"))
+        .filter((F.col("_h") <= int(share * (1 << 40))) & F.col("_text").isNotNull() & (F.length("_text") <= SAMPLE_CHARS))
         .orderBy("_h").limit(SAMPLE_DOCS).select("_text")
     )
     found = sample.coalesce(1).mapInArrow(train, "dictionary binary").first()
