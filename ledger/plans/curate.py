@@ -47,7 +47,9 @@ def judge(text_tables: dict[str, DataFrame], work: str, seen: dict[str, int] | N
     def type_rows(table: str) -> DataFrame:
         read = Observation()
         rows = VALIDATORS[table](text_tables[table].observe(read, F.count(F.lit(1)).alias("rows")))
-        out = stage(rows.withColumn("_row", F.monotonically_increasing_id()), f"{work}/typed/{table}")
+        # Of the typed columns only what later steps read is written.
+        needed = dict.fromkeys([*columns(table), "_seq", *SLIM[table], *[f"t_{c}" for c in timestamps(table)], "reasons"])
+        out = stage(rows.select(*needed, F.monotonically_increasing_id().alias("_row")), f"{work}/typed/{table}")
         if seen is not None:
             seen[table] = read.get["rows"]
         return out
@@ -60,10 +62,11 @@ def judge(text_tables: dict[str, DataFrame], work: str, seen: dict[str, int] | N
         )
         for table in TABLES
     }
+    # Each slim table feeds several of the steps below.
+    slim.update(together(spark, lambda table: stage(slim[table], f"{work}/slim/{table}"), ["customers", "products"]))
     orders = relate.unknown_customer(slim["orders"], slim["customers"])
     orders = relate.unknown_product(orders, slim["products"])
     slim.update(orders=orders)
-    # Both feed several of the steps below.
     slim.update(together(spark, lambda table: stage(slim[table], f"{work}/slim/{table}"), ["orders", "payments"]))
     wrong = stage(relate.amount_mismatches(slim["orders"], slim["payments"]), f"{work}/mismatches")
     slim["orders"] = relate.flag_orders(slim["orders"], wrong)
