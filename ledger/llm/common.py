@@ -24,8 +24,13 @@ HASH_BITS = 60
 _shipped: set[str] = set()
 
 
+#: Rows handed to Python at a time: texts are long, and both sides hold a batch in memory.
+BATCH_ROWS = "1000"
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers of the session, once; they may run where it is not installed."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parents[1]

@@ -53,10 +53,12 @@ class Grams:
         self.codes = np.full(0x110000, -1, np.int8)
         for i, char in enumerate(letters):
             self.codes[ord(char)] = i + 2
+        # Numbers of n-grams from 1 on, 0 for those that are no feature; two bytes each where that is enough.
         self.tables, self.width = [], 0
+        kind = np.uint16 if sum(map(len, keys)) < 1 << 16 else np.int32
         for n, known in enumerate(keys, 1):
-            numbers = np.full(CODES**n, -1, np.int32)
-            numbers[known] = self.width + np.arange(len(known), dtype=np.int32)
+            numbers = np.zeros(CODES**n, kind)
+            numbers[known] = self.width + 1 + np.arange(len(known))
             self.tables.append(numbers)
             self.width += len(known)
 
@@ -82,15 +84,14 @@ class Grams:
 
     def presence(self, texts: list[str]) -> np.ndarray:
         """A row per text, a column per n-gram: whether it occurs.  Texts of any length are read in slices."""
-        out = np.zeros((len(texts), self.width), bool)
+        out = np.zeros((len(texts), self.width + 1), bool)
         for row, text in zip(out, texts, strict=True):
             codes = self.coded(text)
             for at in range(0, len(codes), BATCH_CHARS):
                 part = codes[at:at + BATCH_CHARS + GRAMS - 1]
                 for n, numbers in enumerate(self.tables, 1):
-                    found = numbers[self.packed(part, n)]
-                    row[found[found >= 0]] = True
-        return out
+                    row[numbers[self.packed(part, n)]] = True
+        return out[:, 1:]
 
 
 def _kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
