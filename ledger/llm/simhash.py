@@ -229,15 +229,15 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``_id``, ``_key``, ``_fp`` and ``_component`` (the smallest id reachable) of every row."""
+    """``_id``, ``_key``, ``_fp``, ``_root`` (the fingerprint that names the component) and ``_component`` (the smallest id reachable) of every row."""
     rows = cut(fingerprints(docs), "simhash-rows")
     entries = cut(rows.groupBy("_fp").agg(F.min("_id").alias("_least")), "simhash-entries")
     roots = components(near_links(entries.select("_fp")))
     entries = entries.join(roots, F.col("_fp") == F.col("_node"), "left").select(
         "_fp", "_least", F.coalesce("_root", "_fp").alias("_root"))
     least = entries.groupBy(F.col("_root").alias("_of")).agg(F.min("_least").alias("_component"))
-    entries = entries.join(least, F.col("_root") == F.col("_of")).select(F.col("_fp").alias("_print"), "_component")
-    return rows.join(entries, F.col("_fp") == F.col("_print")).select("_id", "_key", "_fp", "_component")
+    entries = entries.join(least, F.col("_root") == F.col("_of")).select(F.col("_fp").alias("_print"), "_root", "_component")
+    return rows.join(entries, F.col("_fp") == F.col("_print")).select("_id", "_key", "_fp", "_root", "_component")
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:
@@ -250,10 +250,11 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each component, that of its smallest id (among equal ids, the smallest key); all columns kept.
 
-    A component without ids keeps the row with the smallest key.  Repeated rows count as copies.
+    A component without ids keeps the row with the smallest key.  Repeated rows count as copies.  Components that share their smallest id, or
+    have none, each keep a row.
     """
     rows = near_duplicates(docs)
-    first = rows.groupBy("_component").agg(
+    first = rows.groupBy("_root").agg(
         F.min(F.when(F.col("_id").eqNullSafe(F.col("_component")), F.col("_key"))).alias("_llm_keep"))
     first = cut(first.select("_llm_keep"), "simhash-kept")
     marked = docs.withColumn("_llm_key", document_key(named("doc_id"), named("text")))

@@ -85,6 +85,17 @@ def test_drop_keeps_one_of_each_group(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted({w[2] for w in want}, key=str)
 
 
+def test_drop_keeps_unrelated_rows_without_or_with_one_id(spark):
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(40)]
+    rows = [(None if i % 2 else 7, t) for i, t in enumerate(texts)]
+    copies = [(None, texts[1]), (None, texts[1] + " "), (9, texts[0]), (3, texts[3].upper())]
+    assert len(set(odd.roots(sorted({fingerprint(t) for t in texts}), lambda a, b: (a ^ b).bit_count() <= 3).values())) == 40
+    kept = [(r.doc_id, r.text.lower().strip()) for r in simhash.drop_near_duplicates(odd.plain(spark, rows + copies)).collect()]
+    # Of the copies only the one with an id, in a component that had none, is kept for its component.
+    assert sorted(kept, key=str) == sorted([(3 if i == 3 else d, t) for i, (d, t) in enumerate(rows)], key=str)
+
+
 def test_empty(spark):
     empty = odd.documents(spark).limit(0)
     assert found(empty) == []
