@@ -41,6 +41,10 @@ _LETTER = regex.compile(r"\p{L}")
 NONE = "und"
 
 
+def lettered(text: str | None) -> bool:
+    return bool(text and _LETTER.search(text))
+
+
 def fold(doc_id: Column, folds: int = FOLDS) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
@@ -146,9 +150,9 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         langs, scores = [NONE] * len(texts), [0.0] * len(texts)
-        lettered = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
-        for at in range(0, len(lettered), BATCH_TEXTS):
-            rows = lettered[at:at + BATCH_TEXTS]
+        told = [i for i, t in enumerate(texts) if lettered(t)]
+        for at in range(0, len(told), BATCH_TEXTS):
+            rows = told[at:at + BATCH_TEXTS]
             presence = self.grams.presence([texts[i] for i in rows])
             size = np.sqrt(np.maximum(presence.sum(1), 1))
             outputs = presence.astype(np.float32) @ self.matrix / size[:, None] + self.bias
@@ -198,15 +202,18 @@ def train(docs: DataFrame, folds: int = FOLDS, per_language: int = PER_LANGUAGE)
     return bytes(sample.repartition(1).mapInArrow(run, "model binary").first()["model"])
 
 
-def predict(docs: DataFrame, model: bytes) -> DataFrame:
-    """``docs`` with ``_llm_lang`` and ``_llm_score``; needs only the column ``text``."""
+def predict(docs: DataFrame, model: bytes, unlearned: str = NONE) -> DataFrame:
+    """``docs`` with ``_llm_lang`` and ``_llm_score``; needs only the column ``text``.
+
+    Without a model, texts that hold a letter get ``unlearned``.
+    """
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with dots do not pass through Arrow
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            langs, scores = _model(model).predict(texts) if model else ([NONE] * len(texts), [0.0] * len(texts))
+            langs, scores = _model(model).predict(texts) if model else ([unlearned if lettered(t) else NONE for t in texts], [0.0] * len(texts))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "lang", "score"])
 
@@ -222,5 +229,9 @@ def identify_languages(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is known; all columns kept."""
-    return predict(docs, train(docs)).filter(F.col("_llm_lang") != NONE).select(*[named(c) for c in docs.columns])
+    """The rows of ``docs`` whose text holds a letter; all columns kept.
+
+    Only texts without a letter are ``und`` to a fitted model.  Where no model could be fitted (no label outside fold 0, or none on a text
+    with a letter), the same rule decides alone.
+    """
+    return predict(docs, train(docs), unlearned="").filter(F.col("_llm_lang") != NONE).select(*[named(c) for c in docs.columns])

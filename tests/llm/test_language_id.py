@@ -53,6 +53,20 @@ def test_nothing_to_learn_from(spark):
     assert language_id.identify_languages(odd.documents(spark).limit(0)).count() == 0
 
 
+def test_stage_without_labels_keeps_texts_with_a_letter(spark):
+    lettered = sorted((str((r[0], r[1])) for r in odd.rows() if any(c.isalpha() for c in r[1] or "")))
+    docs = odd.documents(spark)
+    # No label at all, labels in fold 0 only, labels on texts without a letter only.
+    labels = ["CAST(NULL AS STRING)", "CASE WHEN pmod(crc32(CAST(COALESCE(CAST(doc_id AS STRING), '') AS BINARY)), 5) = 0 THEN lang END",
+              "CASE WHEN doc_id IN (4, 6, 12) THEN lang END"]
+    for label in labels:
+        given = docs.selectExpr("doc_id", "text", f"{label} AS lang")
+        assert language_id.train(given) == b""
+        kept = language_id.keep_identified(given)
+        assert kept.columns == given.columns
+        assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == lettered
+
+
 def test_collapsed_matrix_equals_the_kernel_machine():
     """The one matrix gives what landmarks, Nyström map and ridge weights give one after another."""
     rng = np.random.default_rng(1)
