@@ -33,8 +33,8 @@ LANDMARKS = 64
 RIDGE = 1e-4
 SHARPNESS = 6.0
 GRAMS = 4
-#: Six bits a character: blank, any other letter, and the 62 most frequent letters of the sample.
-CODES = 64
+#: The most keys of one n-gram length that are looked up in a table.
+TABLE = 1 << 24
 BATCH_CHARS = 1 << 19
 BATCH_TEXTS = 64
 _LETTER = regex.compile(r"\p{L}")
@@ -50,21 +50,32 @@ def fold(doc_id: Column, folds: int = FOLDS) -> Column:
 
 
 class Grams:
-    """Codes of characters and numbers of n-grams."""
+    """Codes of characters and numbers of n-grams.
+
+    ``letters`` are all letters of the training sample, of any script, each with a code of its own; letters outside it are in no feature and share
+    code 1.  The first characters of a feature are a feature themselves, so an n-gram is keyed by the number of its beginning and its last
+    code; that stays below 2^63 for any alphabet.  Keys are looked up in a table where a small one holds all of them, else by binary search.
+    """
 
     def __init__(self, letters: str, keys: list[np.ndarray]) -> None:
-        self.letters, self.keys = letters, keys
-        self.codes = np.full(0x110000, -1, np.int8)
-        for i, char in enumerate(letters):
-            self.codes[ord(char)] = i + 2
-        # Numbers of n-grams from 1 on, 0 for those that are no feature; two bytes each where that is enough.
-        self.tables, self.width = [], 0
-        kind = np.uint16 if sum(map(len, keys)) < 1 << 16 else np.int32
-        for n, known in enumerate(keys, 1):
-            numbers = np.zeros(CODES**n, kind)
-            numbers[known] = self.width + 1 + np.arange(len(known))
-            self.tables.append(numbers)
-            self.width += len(known)
+        self.letters = letters
+        self.base = len(letters) + 2
+        self.codes = np.full(0x110000, -1, np.int32)
+        self.codes[[ord(char) for char in letters]] = np.arange(2, self.base)
+        self.levels: list[tuple[np.ndarray, np.ndarray | None]] = []
+        self.width = 0
+        for known in keys:
+            self.add(known)
+
+    def add(self, known: np.ndarray) -> None:
+        """The features one character longer than those so far, as sorted keys."""
+        room, numbers = ((len(self.levels[-1][0]) if self.levels else 0) + 1) * self.base, None
+        if room <= TABLE:
+            # Numbers of n-grams from 1 on, 0 for those that are no feature; two bytes each where that is enough.
+            numbers = np.zeros(room, np.uint16 if len(known) < 1 << 16 else np.int32)
+            numbers[known] = 1 + np.arange(len(known))
+        self.levels.append((known, numbers))
+        self.width += len(known)
 
     def coded(self, text: str) -> np.ndarray:
         """Character codes with a blank at both ends; runs of other characters become one blank."""
@@ -76,26 +87,47 @@ class Grams:
         codes = np.concatenate(([0], codes, [0])).astype(np.int64)
         return codes[np.concatenate(([True], (codes[1:] != 0) | (codes[:-1] != 0)))]
 
-    @staticmethod
-    def packed(codes: np.ndarray, n: int) -> np.ndarray:
-        size = len(codes) - n + 1
-        if size <= 0:
-            return np.zeros(0, np.int64)
-        key = codes[:size].copy()
-        for i in range(1, n):
-            key = key * CODES + codes[i:i + size]
-        return key
+    def keys(self, codes: np.ndarray, begin: np.ndarray | None, n: int) -> np.ndarray:
+        """Keys of the n-grams at every place, given the numbers of those one shorter (0: no feature)."""
+        return codes if begin is None else begin[:max(0, len(codes) - n + 1)].astype(np.int64) * self.base + codes[n - 1:]
+
+    def numbered(self, codes: np.ndarray) -> Iterator[np.ndarray]:
+        """For each length the number of the n-gram at every place, 0 where it is no feature."""
+        begin = None
+        for n, (known, numbers) in enumerate(self.levels, 1):
+            key = self.keys(codes, begin, n)
+            if numbers is not None:
+                found = numbers[key]
+            elif len(known):
+                place = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                found = np.where(known[place] == key, place + 1, 0)
+            else:
+                found = np.zeros(len(key), np.int64)
+            # What begins with no feature is none: its key would be that of a blank beginning otherwise.
+            begin = found if begin is None else np.where(begin[:len(found)] > 0, found, 0)
+            yield begin
+
+    def longer(self, codes: np.ndarray) -> np.ndarray:
+        """Distinct keys one character longer than the features so far."""
+        begin = None
+        for begin in self.numbered(codes):
+            pass
+        key = self.keys(codes, begin, len(self.levels) + 1)
+        return np.unique(key if begin is None else key[begin[:len(key)] > 0])
 
     def presence(self, texts: list[str]) -> np.ndarray:
         """A row per text, a column per n-gram: whether it occurs.  Texts of any length are read in slices."""
-        out = np.zeros((len(texts), self.width + 1), bool)
+        out = np.zeros((len(texts), self.width), bool)
         for row, text in zip(out, texts, strict=True):
             codes = self.coded(text)
             for at in range(0, len(codes), BATCH_CHARS):
-                part = codes[at:at + BATCH_CHARS + GRAMS - 1]
-                for n, numbers in enumerate(self.tables, 1):
-                    row[numbers[self.packed(part, n)]] = True
-        return out[:, 1:]
+                part, offset = codes[at:at + BATCH_CHARS + GRAMS - 1], 0
+                for (known, _), found in zip(self.levels, self.numbered(part), strict=True):
+                    held = np.zeros(len(known) + 1, bool)
+                    held[found] = True
+                    row[offset:offset + len(known)] |= held[1:]
+                    offset += len(known)
+        return out
 
 
 def _kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -111,20 +143,15 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: f
     known = sorted(set(langs))
     if not known:
         return b""
-    counts: dict[str, int] = {}
-    for text in texts:
-        for char in text.lower():
-            if char.isalpha():
-                counts[char] = counts.get(char, 0) + 1
-    letters = "".join(sorted(counts, key=lambda c: (-counts[c], c))[:CODES - 2])
-    coder = Grams(letters, [])
+    letters = "".join(sorted({char for text in texts for char in text.lower() if char.isalpha()}))
     chosen = [i for lang in known for i in [j for j, own in enumerate(langs) if own == lang][:landmarks]]
     least = min(2, len(chosen))
-    keys = []
-    for n in range(1, GRAMS + 1):
-        found, often = np.unique(np.concatenate([np.unique(Grams.packed(coder.coded(texts[i]), n)) for i in chosen]), return_counts=True)
+    grams, keys = Grams(letters, []), []
+    coded = [grams.coded(texts[i]) for i in chosen]
+    for _ in range(GRAMS):
+        found, often = np.unique(np.concatenate([grams.longer(codes) for codes in coded]), return_counts=True)
         keys.append(found[often >= least])
-    grams = Grams(letters, keys)
+        grams.add(keys[-1])
     presence = grams.presence(texts)
     marks = presence[chosen]
     values, vectors = np.linalg.eigh(_kernel(marks, marks))

@@ -67,6 +67,47 @@ def test_stage_without_labels_keeps_texts_with_a_letter(spark):
         assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == lettered
 
 
+def test_languages_in_several_scripts():
+    """Alphabets of hundreds of letters beside frequent small ones: rare scripts are told apart by their own letters."""
+    rng = np.random.default_rng(2)
+    letters = {
+        "en": [chr(c) for c in range(0x61, 0x7B)], "el": [chr(c) for c in range(0x3B1, 0x3C2)], "ru": [chr(c) for c in range(0x430, 0x450)],
+        "ja": [chr(c) for c in range(0x3041, 0x3097)], "ko": [chr(c) for c in range(0xAC00, 0xAC00 + 400)], "zh": [chr(c) for c in range(0x4E00, 0x4E00 + 400)],
+        "zz": [chr(c) for c in range(0x4E00 + 400, 0x4E00 + 800)],
+    }
+    words = {lang: ["".join(rng.choice(own, 3)) for _ in range(60)] for lang, own in letters.items()}
+
+    def texts(n: int, seed: int) -> tuple[list[str], list[str]]:
+        pick = np.random.default_rng(seed)
+        langs = [lang for lang in letters for _ in range(n)]
+        return [" ".join(pick.choice(words[lang], 400 if lang in ("en", "el", "ru") else 25)) for lang in langs], langs
+
+    given, langs = texts(20, 3)
+    blob = language_id.fit(given, langs, landmarks=10)
+    more, want = texts(10, 4)
+    got, _ = language_id.Model(blob).predict(more)
+    assert got == want
+
+
+def test_binary_search_equals_the_table(monkeypatch):
+    given = ["the house of the cat", "das haus und der hund", "дом и кот", "the cat", "der hund", "кот и дом"]
+    langs = ["en", "de", "ru"] * 2
+    codes = "".join(sorted({c for t in given for c in t if c.isalpha()}))
+    blob = language_id.fit(given, langs, landmarks=2)
+    tables = language_id.Model(blob)
+    monkeypatch.setattr(language_id, "TABLE", 0)
+    assert language_id.fit(given, langs, landmarks=2) == blob
+    searched = language_id.Model(blob)
+    more = [*given, "the дом und x", "", "q", "猫"]
+    assert searched.grams.letters == codes
+    assert (searched.grams.presence(more) == tables.grams.presence(more)).all()
+    # The columns are the n-grams that two texts hold.
+    spaced = [f" {t} " for t in given]
+    for n in range(1, language_id.GRAMS + 1):
+        held = [{t[i:i + n] for i in range(len(t) - n + 1)} for t in spaced]
+        assert len(tables.grams.levels[n - 1][0]) == sum(sum(g in h for h in held) >= 2 for g in set().union(*held))
+
+
 def test_collapsed_matrix_equals_the_kernel_machine():
     """The one matrix gives what landmarks, Nyström map and ridge weights give one after another."""
     rng = np.random.default_rng(1)
