@@ -26,8 +26,11 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 DAMPING = 0.85
+#: Rounds the SQL writes out; the operator goes on until the ranks stand still.
 ROUNDS = 12
 ROUNDS_PER_CUT = 4
+#: Ranks stand still when ``ROUNDS_PER_CUT`` rounds change none by more than this share of it.
+TOLERANCE = 1e-6
 PARENT_WEIGHT = 0.1
 #: Attribute value of a link that names a host.
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'\s>]+)"""
@@ -91,12 +94,13 @@ def host_edges(pages: DataFrame, parent_weight: float = PARENT_WEIGHT) -> DataFr
     return links.union(ties).groupBy("_src", "_dst").agg(F.sum("_weight").alias("_weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank of both kinds at once: ``_kind``, ``host``, ``_rank``.
 
     ``seeds`` has ``_kind``, ``host``, ``_seed`` summing to 1 per kind.  Kind ``trust`` follows the edges, kind ``distrust``
     their reverse.  What reaches a host without edges stays out of the next round; only comparisons of
-    the two scores matter.
+    the two scores matter.  Rounds go on until none of the ranks grows by more than ``tolerance`` of itself; a host reached for
+    the first time grows by all of it, so every host that a path from a seed leads to has a score, however long the path.
     """
     both = edges.select(F.lit("trust").alias("_kind"), "_src", "_dst", "_weight").union(
         edges.select(F.lit("distrust"), F.col("_dst"), F.col("_src"), F.col("_weight")))
@@ -107,16 +111,22 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         "url-steps")
     seeds = cut(seeds, "url-seeds")
     base = seeds.select("_kind", "host", (F.col("_seed") * (1 - damping)).alias("_rank"))
-    ranks = base
-    for i in range(rounds):
-        moved = (
-            steps.join(ranks.select("_kind", F.col("host").alias("_src"), "_rank"), ["_kind", "_src"])
-            .select("_kind", "host", (F.col("_rank") * F.col("_share")).alias("_rank"))
-        )
-        ranks = moved.union(base).groupBy("_kind", "host").agg(F.sum("_rank").alias("_rank"))
-        if (i + 1) % ROUNDS_PER_CUT == 0:
-            ranks = cut(ranks, "url-ranks")
-    return ranks
+    ranks = cut(base, "url-ranks")
+    while True:
+        before = ranks.select("_kind", "host", F.lit(0.0).alias("_rank"), F.col("_rank").alias("_old"))
+        for i in range(ROUNDS_PER_CUT):
+            moved = (
+                steps.join(ranks.select("_kind", F.col("host").alias("_src"), "_rank"), ["_kind", "_src"])
+                .select("_kind", "host", (F.col("_rank") * F.col("_share")).alias("_rank"))
+            ).union(base)
+            last = i + 1 == ROUNDS_PER_CUT
+            rows = moved.withColumn("_old", F.lit(0.0)).union(before) if last else moved
+            ranks = rows.groupBy("_kind", "host").agg(*[F.sum(c).alias(c) for c in rows.columns[2:]])
+        ranks = cut(ranks, "url-ranks")
+        grown = ranks.filter(F.col("_rank") > 0).agg(F.max((F.col("_rank") - F.col("_old")) / F.col("_rank"))).first()[0]
+        ranks = ranks.drop("_old")
+        if (grown or 0.0) <= tolerance:
+            return ranks
 
 
 def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES) -> DataFrame:

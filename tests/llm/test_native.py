@@ -1,6 +1,7 @@
 """Mixing, sharding and url judging: their SQL over given and odd tables, and what must hold whatever the table."""
 
 import duckdb
+import numpy as np
 import odd
 import pytest
 
@@ -148,6 +149,31 @@ def test_urls_by_hand(spark):
     assert got[15] == ("", "", None, "allow")
 
 
+def test_scores_reach_the_end_of_a_long_chain(spark):
+    chain = [(i, f"http://h{i}.test/", f'<a href="http://h{i + 1}.test/">') for i in range(24)] + [(24, "http://h24.test/", None), (25, "http://alone.test/", None)]
+    df = spark.createDataFrame(chain, "page_id bigint, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(df, (("block", "h24.test", "/"),)).collect()}
+    assert got == {**dict.fromkeys(range(25), "block"), 25: "allow"}
+
+
+def test_ranks_equal_the_solved_equations(spark):
+    rng = np.random.default_rng(4)
+    weights = np.where(rng.random((30, 30)) < 0.08, rng.integers(1, 9, (30, 30)), 0) * (1 - np.eye(30))
+    edges = [(f"h{a}", f"h{b}", float(weights[a, b])) for a, b in np.argwhere(weights).tolist()]
+    seeds = [("trust", "h0", 0.25), ("trust", "h1", 0.75), ("distrust", "h2", 1.0)]
+    ranks = url_filter.propagate(spark.createDataFrame(edges, "_src string, _dst string, _weight double"),
+                                 spark.createDataFrame(seeds, "_kind string, host string, _seed double"))
+    got = {(r["_kind"], r.host): r["_rank"] for r in ranks.collect()}
+    for kind, matrix in (("trust", weights), ("distrust", weights.T)):
+        shares = matrix / np.maximum(matrix.sum(1, keepdims=True), 1)
+        start = np.zeros(30)
+        for k, host, seed in seeds:
+            start[int(host[1:])] += seed * (k == kind)
+        want = np.linalg.solve(np.eye(30) - url_filter.DAMPING * shares.T, (1 - url_filter.DAMPING) * start)
+        for i in range(30):
+            assert got.get((kind, f"h{i}"), 0.0) == pytest.approx(want[i], rel=1e-5, abs=1e-15)
+
+
 def test_empty(spark):
     docs = odd.documents(spark).limit(0)
     assert mixing.plan_mix(docs).count() == mixing.mix(docs).count() == 0
