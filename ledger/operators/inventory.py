@@ -78,10 +78,10 @@ def lake_inventory(spark: SparkSession, roots: list[str], glob: str = "*.csv") -
 
 
 def file_digests(spark: SparkSession, root: str, glob: str = "*.csv", limit: int = DIGEST_BYTES) -> DataFrame:
-    """``(path, bytes, sha256, data_rows, row_digest)`` per file.
+    """``(path, bytes, sha256, data_rows, row_digest, order_digest)`` per file.
 
-    ``sha256`` covers the file's bytes and is null above ``limit`` bytes; ``row_digest`` does not depend on row
-    order and works for any size.
+    ``sha256`` covers the file's bytes and is null above ``limit`` bytes.  ``row_digest`` does not depend on row order and
+    ``order_digest``, the sum of row hashes times their places in the file, does; both work for any size.
     """
     files = _files(spark, root, glob)
     small = files.filter(F.col("length") <= limit).select(
@@ -91,10 +91,14 @@ def file_digests(spark: SparkSession, root: str, glob: str = "*.csv", limit: int
         "path", F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256")
     )
     rows, names = _parsed(spark, root, glob)
+    # One task reads a file from its first row to its last, so ids rise by one; less the file's first id they are places.
+    # 40 bits of a hash keep the sums inside 38 digits.
+    part, at = F.pmod("h", F.lit(1 << 40)).cast("decimal(13,0)"), F.col("id").cast("decimal(19,0)")
     per_file = rows.select(
-        F.col("_metadata.file_path").alias("path"), F.xxhash64(*names).cast("decimal(38,0)").alias("h")
+        F.col("_metadata.file_path").alias("path"), F.xxhash64(*names).alias("h"), F.monotonically_increasing_id().alias("id")
     ).groupBy("path").agg(
-        (F.count(F.lit(1)) - 1).alias("data_rows"), F.sum("h").cast("string").alias("row_digest")
+        (F.count(F.lit(1)) - 1).alias("data_rows"), F.sum(F.col("h").cast("decimal(38,0)")).cast("string").alias("row_digest"),
+        (F.sum(part * at) - F.sum(part) * F.min(at)).cast("string").alias("order_digest")
     )
     return small.unionByName(large).join(per_file, "path", "left").withColumn(
         "data_rows", F.coalesce("data_rows", F.lit(0))
@@ -104,7 +108,8 @@ def file_digests(spark: SparkSession, root: str, glob: str = "*.csv", limit: int
 def compare_digests(before: DataFrame, after: DataFrame) -> DataFrame:
     """``(path, unchanged)`` over the files of either side."""
     same = F.col("b.bytes").eqNullSafe(F.col("a.bytes")) & F.col("b.row_digest").eqNullSafe(F.col("a.row_digest")) \
-        & F.col("b.sha256").eqNullSafe(F.col("a.sha256")) & F.col("b.path").isNotNull() & F.col("a.path").isNotNull()
+        & F.col("b.order_digest").eqNullSafe(F.col("a.order_digest")) & F.col("b.sha256").eqNullSafe(F.col("a.sha256")) \
+        & F.col("b.path").isNotNull() & F.col("a.path").isNotNull()
     return before.alias("b").join(after.alias("a"), F.col("b.path") == F.col("a.path"), "full").select(
         F.coalesce("b.path", "a.path").alias("path"), same.alias("unchanged")
     )

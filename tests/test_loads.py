@@ -82,6 +82,27 @@ def test_rerun_left_first_files_alone(spark, lake):
     assert not any(r["unchanged"] for r in inventory.compare_digests(broken, after).collect())
 
 
+def test_reordered_rows_show_above_the_size_of_sha256(spark, tmp_path):
+    names = [f"f{i}.csv" for i in range(6)]
+    for i, name in enumerate(names):
+        (tmp_path / name).write_text("k,v\n" + "".join(f"{j},x{i}\n" for j in range(10, 40)))
+    (tmp_path / "quoted.csv").write_text('k,v\n1,"a\nb"\n2,c\n')
+    found = inventory.file_digests(spark, str(tmp_path), limit=0)
+    before = spark.createDataFrame(found.collect(), found.schema)
+    (tmp_path / "f2.csv").write_text("k,v\n" + "".join(f"{j},x2\n" for j in [11, 10, *range(12, 40)]))
+    # The files share tasks in another way now, and no place may change with that.
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        after = inventory.file_digests(spark, str(tmp_path), limit=0)
+        got = {r.path.rsplit("/", 1)[1]: r.unchanged for r in inventory.compare_digests(before, after).collect()}
+        assert all(r.sha256 is None for r in after.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert got == {**dict.fromkeys([*names, "quoted.csv"], True), "f2.csv": False}
+
+
 def expected_rows(spark, keys: dict, at: str = NEW_AT):
     return spark.createDataFrame(
         [(t, str(k), at) for t, own in keys.items() for k in own], "table_name string, row_key string, updated_at string")
