@@ -13,6 +13,8 @@ from ledger.llm import (
     katz,
     language_id,
     mixing,
+    page_wrappers,
+    periodic_runs,
     sharding,
     simhash,
     spot_signatures,
@@ -20,6 +22,7 @@ from ledger.llm import (
     token_counts,
     token_store,
     url_filter,
+    whitening,
 )
 from ledger.llm.common import ship, table
 
@@ -90,3 +93,19 @@ def op9_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periodic_runs.with_planted_repeats(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.find_runs(planted))
+
+
+@query
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_wrappers.extract_pages(table(spark, sf_dir, "pages"))
