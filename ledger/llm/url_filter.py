@@ -12,7 +12,9 @@ table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledger.llm.common import cut, lower_ascii, named
@@ -26,10 +28,9 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 DAMPING = 0.85
-#: Rounds the SQL writes out; the operator goes on until the ranks stand still.
+#: Rounds the SQL writes out; the operator goes on until the ranks are known.
 ROUNDS = 12
-ROUNDS_PER_CUT = 4
-#: Ranks stand still when ``ROUNDS_PER_CUT`` rounds change none by more than this share of it.
+#: Ranks are known when a bound on what is still to come is no more than this share of each.
 TOLERANCE = 1e-6
 PARENT_WEIGHT = 0.1
 #: Attribute value of a link that names a host.
@@ -99,8 +100,14 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tole
 
     ``seeds`` has ``_kind``, ``host``, ``_seed`` summing to 1 per kind.  Kind ``trust`` follows the edges, kind ``distrust``
     their reverse.  What reaches a host without edges stays out of the next round; only comparisons of
-    the two scores matter.  Rounds go on until none of the ranks grows by more than ``tolerance`` of itself; a host reached for
-    the first time grows by all of it, so every host that a path from a seed leads to has a score, however long the path.
+    the two scores matter.
+
+    Residuals are pushed: each round moves only what arrived in the round before, from the hosts where something did, and adds it to the
+    ranks.  Two rounds make a step.  As nothing is negative, if a step turns every host's residual into between ``low`` and ``high``
+    times itself, so does every later step: what is still to come then lies between geometric series of ``low`` and of ``high``.
+    Steps end once the gap between both is at most ``tolerance`` of each rank, and the middle is added; or, where residuals circle so that no factor is found,
+    once a step adds at most ``tolerance * (1 - damping) / damping`` of itself to each rank.  A host reached for the first
+    time has no factor and grows by all of its rank, so every host that a path from a seed leads to has a score, however long the path.
     """
     both = edges.select(F.lit("trust").alias("_kind"), "_src", "_dst", "_weight").union(
         edges.select(F.lit("distrust"), F.col("_dst"), F.col("_src"), F.col("_weight")))
@@ -109,24 +116,47 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tole
         both.join(out, ["_kind", "_src"])
         .select("_kind", "_src", F.col("_dst").alias("host"), (F.col("_weight") / F.col("_out") * damping).alias("_share")),
         "url-steps")
-    seeds = cut(seeds, "url-seeds")
-    base = seeds.select("_kind", "host", (F.col("_seed") * (1 - damping)).alias("_rank"))
-    ranks = cut(base, "url-ranks")
+
+    def moved(rows: DataFrame) -> DataFrame:
+        live = rows.filter(F.col("_new") > 0).select("_kind", F.col("host").alias("_src"), "_new")
+        return (
+            steps.join(live, ["_kind", "_src"])
+            .groupBy("_kind", "host").agg(F.sum(F.col("_new") * F.col("_share")).alias("_new"))
+        )
+
+    start = F.col("_seed") * (1 - damping)
+    ranks = cut(seeds.select("_kind", "host", start.alias("_rank"), start.alias("_new"), F.lit(0.0).alias("_mid")), "url-ranks")
+    kinds = ("trust", "distrust")
     while True:
-        before = ranks.select("_kind", "host", F.lit(0.0).alias("_rank"), F.col("_rank").alias("_old"))
-        for i in range(ROUNDS_PER_CUT):
-            moved = (
-                steps.join(ranks.select("_kind", F.col("host").alias("_src"), "_rank"), ["_kind", "_src"])
-                .select("_kind", "host", (F.col("_rank") * F.col("_share")).alias("_rank"))
-            ).union(base)
-            last = i + 1 == ROUNDS_PER_CUT
-            rows = moved.withColumn("_old", F.lit(0.0)).union(before) if last else moved
-            ranks = rows.groupBy("_kind", "host").agg(*[F.sum(c).alias(c) for c in rows.columns[2:]])
-        ranks = cut(ranks, "url-ranks")
-        grown = ranks.filter(F.col("_rank") > 0).agg(F.max((F.col("_rank") - F.col("_old")) / F.col("_rank"))).first()[0]
-        ranks = ranks.drop("_old")
-        if (grown or 0.0) <= tolerance:
-            return ranks
+        zero, new = F.lit(0.0), F.col("_new")
+        once = moved(ranks)
+        parts = [
+            ranks.select("_kind", "host", "_rank", new.alias("_old"), zero.alias("_mid"), zero.alias("_new")),
+            once.select("_kind", "host", new.alias("_rank"), zero.alias("_old"), new.alias("_mid"), zero.alias("_new")),
+            moved(once).select("_kind", "host", new.alias("_rank"), zero.alias("_old"), zero.alias("_mid"), new.alias("_new")),
+        ]
+        total = reduce(DataFrame.union, parts).groupBy("_kind", "host").agg(*[F.sum(c).alias(c) for c in ("_rank", "_old", "_mid", "_new")])
+        # Both rounds of a step count: of the first round's arrivals only the next step could tell the factor.
+        factor = F.when(F.col("_old") > 0, F.col("_new") / F.col("_old")).when(F.col("_new") > 0, F.lit(float("inf")))
+        share = F.when(F.col("_rank") > 0, (F.col("_mid") + F.col("_new")) / F.col("_rank"))
+        seen = Observation()
+        ranks = cut(total.observe(seen, *[
+            f(F.when(F.col("_kind") == kind, c)).alias(f"{name}_{kind}")
+            for kind in kinds for name, f, c in (("low", F.min, factor), ("high", F.max, factor), ("share", F.max, share))
+        ]), "url-ranks").drop("_old")
+        found, tails, known = seen.get, {}, True
+        for kind in kinds:
+            low, high, left = (found[f"{name}_{kind}"] or 0.0 for name in ("low", "high", "share"))
+            if not left:
+                continue
+            upper = high / (1 - high) if high < 1 else float("inf")
+            lower = low / (1 - low) if low < 1 else 0.0
+            # The arrivals of the first round follow those of the second at the same factors, one step on.
+            known &= left * (upper - lower) <= tolerance or left * damping / (1 - damping) <= tolerance
+            tails[kind] = (lower + upper) / 2 if upper < float("inf") else 0.0
+        if known:
+            tail = reduce(lambda c, kind: F.when(F.col("_kind") == kind, F.lit(tails[kind])).otherwise(c), tails, F.lit(0.0))
+            return ranks.select("_kind", "host", (F.col("_rank") + (F.col("_mid") + F.col("_new")) * tail).alias("_rank"))
 
 
 def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES) -> DataFrame:
