@@ -7,8 +7,8 @@ A store is a folder of two Parquet tables, so any file system that Spark writes
 (``shard``, ``block``), the offset index (``doc_ids``, ``offsets``, ``counts``) and ``payload``, the frames one after the other.  The index columns are read without
 the payloads, and a document is read by slicing its frame out of one payload.
 
-The dictionary is trained on the serialized ids of at most ``SAMPLE_DOCS`` documents of at most ``SAMPLE_CHARS`` characters (those with
-the smallest hashes): short documents are what it is for.  It changes sizes only, never contents.  Ids below 65,536 take two bytes.
+The dictionary is trained on the serialized ids of at most ``SAMPLE_DOCS`` documents (those with the smallest hashes), of longer ones on
+``SAMPLE_CHARS`` characters from a place that the hash picks: short documents are what it is for.  It changes sizes only, never contents.  Ids below 65,536 take two bytes.
 
 Defined results: null texts are empty and have the end id only; documents with equal ids follow each other in the order of
 their hashes; null ids come first; an empty table gives an empty store, read back as an empty result.
@@ -63,6 +63,8 @@ class Encoder:
         self.end = np.array([END_ID], self.kind).tobytes()
         self.code = {2: "H", 4: "I"}[self.width]
         self.shown = byte_characters()
+        #: ASCII characters around which the patterns cut differently: some separators count as white space here only.
+        self.differs = re.compile("[" + "".join(re.escape(c) for c in map(chr, range(128)) if not self._agrees(c)) + "]|(?!)")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -79,7 +81,7 @@ class Encoder:
         """The serialized ids of ``text`` with the end id."""
         if not text:
             return self.end
-        if any(s in text for s in self.special) or not (text.isascii() or all(self._agrees(c) for c in set(text) if c > "\x7f")):
+        if any(s in text for s in self.special) or self.differs.search(text) or not (text.isascii() or all(self._agrees(c) for c in set(text) if c > "\x7f")):
             return self.whole(text) + self.end
         found = _PIECE.findall(text)
         try:
@@ -125,7 +127,8 @@ def _sampled_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     text, share = named("text"), min(1.0, 4 * SAMPLE_DOCS / max(docs.count(), 1))
     sample = (
         docs.select(text.alias("_text"), F.pmod(F.xxhash64(named("doc_id"), text), F.lit(1 << 40)).alias("_h"))
-        .filter((F.col("_h") <= int(share * (1 << 40))) & F.col("_text").isNotNull() & (F.length("_text") <= SAMPLE_CHARS))
+        .filter((F.col("_h") <= int(share * (1 << 40))) & F.col("_text").isNotNull())
+        .withColumn("_text", F.substr("_text", (F.col("_h") % (F.greatest(F.length("_text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1).cast("int"), F.lit(SAMPLE_CHARS)))
         .orderBy("_h").limit(SAMPLE_DOCS).select("_text")
     )
     found = sample.coalesce(1).mapInArrow(train, "dictionary binary").first()

@@ -1,5 +1,6 @@
 """The binary token store: exact round trips."""
 
+import random
 import zlib
 
 import numpy as np
@@ -76,3 +77,23 @@ def test_pieces_give_the_librarys_ids(library, monkeypatch):
     encode = token_store.Encoder(PATH)
     for text in [odd.PROSE, " ''s it's  \n\n x", "a\u0085b\x1cc\u3000d", "日本語 ñ é", "<|endoftext|> <|endoftext", "١٢٣ Ⅻ ²", "\u0378 \U0010ffff"]:
         assert np.frombuffer(encode(text), encode.kind).tolist() == ids(library, text)
+
+
+def test_every_control_character_before_contractions_and_scripts(library):
+    encode, rng = token_store.Encoder(PATH), random.Random(3)
+    controls = [chr(i) for i in (*range(33), *range(127, 161), 0x1680, 0x180E, 0x200B, 0x2028, 0x3000, 0xFEFF)]
+    after = ["'t", "'re x", "'S", "a", "É", "日", "ب", "0", "٠", "½", "_", "\u0301", "🎉", " ", "\n", ""]
+    texts = [b + c + a for c in controls for a in after for b in ("", "x", " ", "1")]
+    pool = [*controls, *after, "'", "tsar", "  "]
+    texts += ["".join(rng.choices(pool, k=rng.randint(1, 8))) for _ in range(8000)]
+    for text in texts:
+        assert np.frombuffer(encode(text), encode.kind).tolist() == ids(library, text), repr(text)
+
+
+def test_long_documents_train_a_dictionary_too(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(300)]
+    docs = odd.plain(spark, [(i, " ".join(rng.choices(words, k=1500))) for i in range(60)])
+    path = scratch(spark, "tokens-long")
+    token_store.write_store(docs, path, PATH)
+    assert len(spark.read.parquet(f"{path}/dictionary").first()["dictionary"]) > 0
