@@ -53,25 +53,23 @@ def _with_shingles(rows: DataFrame) -> DataFrame:
 
 
 def _lanes(shingle: str) -> list[Column]:
-    """Sixteen sums of four 16-bit lanes each: how often each of the 64 bits is set."""
-    lanes = []
-    for k in range(16):
-        bits = [F.shiftleft(F.shiftrightunsigned(shingle, k + 16 * j).bitwiseAND(1), 16 * j) for j in range(4)]
-        lanes.append(F.sum(reduce(Column.bitwiseOR, bits)).alias(f"_lane{k}"))
-    return lanes
+    """Thirty-two sums of two 32-bit lanes each: how often each of the 64 bits is set."""
+    def bit(k: int) -> Column:
+        return F.shiftrightunsigned(shingle, k).bitwiseAND(1)
+    return [F.sum(bit(k).bitwiseOR(F.shiftleft(bit(k + 32), 32))).alias(f"_lane{k}") for k in range(32)]
 
 
 def _fingerprint(count: str) -> Column:
     bits = []
-    for k in range(16):
-        for j in range(4):
-            n = F.shiftrightunsigned(f"_lane{k}", 16 * j).bitwiseAND(0xFFFF)
-            bits.append(F.shiftleft((n * 2 > F.col(count)).cast("long"), k + 16 * j))
+    for k in range(32):
+        for j in range(2):
+            n = F.shiftrightunsigned(f"_lane{k}", 32 * j).bitwiseAND(0xFFFFFFFF)
+            bits.append(F.shiftleft((n * 2 > F.col(count)).cast("long"), k + 32 * j))
     return reduce(Column.bitwiseOR, bits)
 
 
 def _simhashes(windows: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` and ``_fp``; ``windows`` has the keys and ``_win``, at most 65,535 shingles."""
+    """``keys`` and ``_fp``; ``windows`` has the keys and ``_win``."""
     return (
         windows.select(*keys, F.explode("_win").alias("_s"))
         .groupBy(*keys).agg(F.count(F.lit(1)).alias("_count"), *_lanes("_s"))
@@ -140,18 +138,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     # A window that reaches the similarity lacks fewer places than a cell has, so it holds a shared place of each cell
     # it covers, and it covers one: the windows around one place per cell are all that count.
     places = cells.join(enough.select("_doc_key", "_item_key"), ["_doc_key", "_item_key"]).select(
-        "_doc_key", "_id", "_m", "_place._p", "_place._from", "_place._around")
+        "_doc_key", "_id", "_item_key", "_m", "_place._p", "_place._from", "_place._around")
     starts = F.explode(F.sequence(F.col("_p") - F.col("_m") + 1, F.col("_p"))).alias("_start")
     windows = (
-        places.select("_doc_key", "_id", "_m", "_from", "_around", starts)
+        places.select("_doc_key", "_id", "_item_key", "_m", "_from", "_around", starts)
         .withColumn("_skip", F.greatest("_start", F.lit(0)) - F.col("_from"))
         .withColumn("_win", F.slice("_around", F.col("_skip") + 1, F.least(F.col("_start") + F.col("_m") - F.col("_from"), F.size("_around")) - F.col("_skip")))
         .filter(F.size("_win") >= _least_shared(F.col("_m")))
-        .select("_doc_key", "_id", "_m", "_start", "_win").dropDuplicates(["_doc_key", "_m", "_start"])
+        .select("_doc_key", "_id", "_item_key", "_m", "_start", "_win").dropDuplicates(["_doc_key", "_item_key", "_start"])
     )
+    # A window is compared with the item whose shingles led to it: other items of its length have windows of their own.
     windows = cut(windows, "leak-windows")
-    window_prints = _simhashes(windows, ["_doc_key", "_m", "_start"])
-    item_prints = _simhashes(items.withColumn("_win", F.col("_sh")), ["_item_key", "_m"])
+    window_prints = _simhashes(windows, ["_doc_key", "_item_key", "_start"])
+    item_prints = _simhashes(items.withColumn("_win", F.col("_sh")), ["_item_key"])
     blocks = radius + 1
     edges = [64 * i // blocks for i in range(blocks + 1)]
 
@@ -159,16 +158,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
         values = [F.shiftrightunsigned("_fp", edges[i]).bitwiseAND((1 << (edges[i + 1] - edges[i])) - 1) for i in range(blocks)]
         return prints.select("*", F.posexplode(F.array(*values)).alias("_block", "_value"))
 
-    theirs = blocked(item_prints).withColumnsRenamed({"_m": "_item_m", "_fp": "_item_fp", "_block": "_item_block", "_value": "_item_value"})
+    theirs = blocked(item_prints).withColumnRenamed("_fp", "_item_fp")
     candidates = (
         blocked(window_prints)
-        .join(theirs, (F.col("_m") == F.col("_item_m")) & (F.col("_block") == F.col("_item_block")) & (F.col("_value") == F.col("_item_value")))
+        .join(theirs, ["_item_key", "_block", "_value"])
         .withColumn("_distance", F.bit_count(F.col("_fp").bitwiseXOR(F.col("_item_fp"))))
         .filter(F.col("_distance") <= radius)
-        .select("_doc_key", "_m", "_start", "_item_key", "_distance").distinct()
+        .select("_doc_key", "_item_key", "_start", "_distance").distinct()
     )
     verified = (
-        candidates.join(windows, ["_doc_key", "_m", "_start"])
+        candidates.join(windows, ["_doc_key", "_item_key", "_start"])
         .join(items.select("_item_key", "_item", "_sh"), "_item_key")
         .withColumn("_both", F.size(F.array_intersect(_numbered(F.col("_win")), _numbered(F.col("_sh")))))
         .withColumn("similarity", F.col("_both") / (F.size("_win") + F.col("_m") - F.col("_both")))
@@ -178,7 +177,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     )
     return verified.select(
         F.col("_best._id").alias("doc_id"), F.col("_best._item").alias("item_id"), F.col("_best.similarity").alias("similarity"),
-        (-F.col("_best.col2")).alias("distance"), (-F.col("_best.col3")).alias("start_word"), "_doc_key")
+        (-F.col("_best.col2")).alias("distance"), F.greatest(-F.col("_best.col3"), F.lit(0)).alias("start_word"), "_doc_key")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -86,3 +86,20 @@ def test_empty(spark):
     assert d.find_leaks(docs.limit(0), bench).count() == 0
     assert d.find_leaks(docs, bench.limit(0)).count() == 0
     assert d.drop_leaks(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_long_item_and_places_at_the_start(spark):
+    """An item of 70,000 words is counted without overflow; a passage cut at a text's start begins at its first word."""
+    rng = random.Random(13)
+    long = " ".join(str(rng.randrange(10 ** 6)) for _ in range(70_000))
+    passage = [f"p{i}" for i in range(60)]
+    docs = odd.plain(spark, [(1, " ".join(passage[8:] + ["then"] * 3)), (2, "x " * 50), (3, long[:5000])])
+    items = spark.createDataFrame([(1, long), (2, " ".join(passage))], "item_id bigint, text string")
+    assert [(r.doc_id, r.item_id, r.start_word) for r in d.find_leaks(docs, items).collect()] == [(1, 2, 0)]
+
+
+def test_items_of_one_length_meet_their_own_windows_only(spark):
+    rng = random.Random(17)
+    items = [(i, " ".join(f"i{i}w{rng.randrange(99)}" for _ in range(40))) for i in range(60)]
+    docs = [(i, "before it " + items[i][1] + " after it " + items[(i + 1) % 60][1]) for i in range(60)]
+    check(spark, docs, items)
