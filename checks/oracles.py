@@ -360,6 +360,9 @@ def relations() -> dict[str, str]:
         f"SELECT '{t}' AS table_name, count(*) AS raw_rows, count(*) FILTER (WHERE r = '') AS curated_rows, count(*) FILTER (WHERE r <> '') AS rejected_rows, "
         f"count(*) FILTER (WHERE r = '') - count(DISTINCT CASE WHEN r = '' THEN {KEYS[t]} END) AS duplicate_curated_keys, '' AS failures FROM f_{t}"
         for t in TABLES) + " UNION ALL SELECT 'overall', NULL, NULL, NULL, NULL, 'PASS'")
+    found["curated_after_batches"] = judged_history(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CASE WHEN r = '' THEN 'curated' ELSE 'rejected' END AS layer, {KEYS[t]} AS row_key, r AS rejection_reason FROM f_{t}"
+        for t in TABLES))
     found["latest_payment"] = report(
         f"SELECT order_id, payment_id, CAST(payment_amount AS {D}) AS payment_amount, payment_status, payment_time FROM lp")
     found["latest_versions"] = query(" UNION ALL ".join(
@@ -429,6 +432,9 @@ def quality() -> dict[str, str]:
 
 MARKS = {"customers": "1995-02-28 00:00:00", "products": "1995-01-20 00:00:00",
          "orders": "2001-09-30 23:59:59", "payments": "2001-06-30 23:59:59"}
+#: A second boundary between the marks and the last rows.
+MIDDLE = {"customers": "1995-03-15 00:00:00", "products": "1995-01-25 00:00:00",
+          "orders": "2001-11-15 00:00:00", "payments": "2001-10-15 00:00:00"}
 RAW = {t: f"raw_{t}" for t in TABLES}
 PAST = {t: f"updated_at > TIMESTAMP '{m}'" for t, m in MARKS.items()}
 
@@ -495,6 +501,7 @@ def loads() -> dict[str, str]:
     q["upsert_merge"] = change(" UNION ALL ".join([
         rows_of({"orders": "base_orders", "payments": "base_payments"}, {t: f"{k} NOT IN (SELECT {k} FROM staged_{t})" for t, k in both}),
         rows_of({"orders": "staged_orders", "payments": "staged_payments"})]))
+    q["upsert_merge_sink"] = q["upsert_merge"]
     q["staged_change_scan"] = change(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, operation, {k} AS row_key, {row_text(t)} AS row_text FROM staged_{t}" for t, k in both))
     q["new_watermark"] = change(
@@ -546,6 +553,7 @@ def files() -> dict[str, str]:
     q["raw_csv_scan"] = query(rows_of(text_views), *text_views.values())
     q["source_table_scan"] = report(rows_of(MODEL))
     q["raw_full_sink"] = report(rows_of(MODEL))
+    q["reloaded_tables"] = report(rows_of(MODEL))
     q["truncate_reload"] = report(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {v}" for t, v in MODEL.items()))
     top = {t: f"(SELECT strftime(max(updated_at), '%Y%m%dT%H%M%S') || '0000000Z' FROM raw_{t})" for t in TABLES}
     q["raw_incremental_sink"] = raw_query(" UNION ALL ".join(
@@ -566,6 +574,16 @@ def files() -> dict[str, str]:
     q["file_digests"] = raw_query(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS data_rows, true AS digested, true AS unchanged FROM raw_{t} WHERE {PAST[t]}" for t in TABLES))
     calm = " AND ".join(f"(SELECT count(*) FROM raw_{t} WHERE updated_at > (SELECT max(updated_at) FROM raw_{t})) = 0" for t in TABLES)
+    steps = []
+    for run, low, high in (("full-0", None, MARKS), ("inc-1", MARKS, MIDDLE), ("inc-2", MIDDLE, None)):
+        for t in TABLES:
+            until = "true" if high is None else f"updated_at <= TIMESTAMP '{high[t]}'"
+            since = "true" if low is None else f"updated_at > TIMESTAMP '{low[t]}'"
+            # The loads hand over one row per key and time.
+            steps.append(
+                f"SELECT '{run}' AS run_id, '{t}' AS table_name, count(*) FILTER (WHERE {since}) AS new_rows, count(*) AS raw_rows, count(*) AS layer_rows "
+                f"FROM (SELECT DISTINCT {KEYS[t]}, updated_at FROM raw_{t} WHERE {until}) x")
+    q["kept_layer_steps"] = raw_query(" UNION ALL ".join(steps))
     q["rerun_idempotency"] = raw_query(" UNION ALL ".join(
         f"SELECT '{name}' AS check_name, {calm} AS passed" for name in (
             "first_run_files_unchanged", "second_run_files_separate_and_empty", "first_run_files_located",

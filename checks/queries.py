@@ -8,16 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import adapter
-from checks.oracles import MARKS
+from checks.oracles import MARKS, MIDDLE
 from ledger.operators import incremental as inc
 from ledger.operators import inventory, quality, relate, reports, validate
 from ledger.operators.lookup import newest_per_key
-from ledger.plans import curate, load
+from ledger.plans import curate, keep_curated, load
 from ledger.schemas import KEYS, TABLES, columns
 from ledger.session import scratch, stage, together
-from ledger.sources import control, raw, sinks
+from ledger.sources import control, keyed, raw, sinks
 
 MONEY = "decimal(18,2)"
+#: Buckets of the kept layers: about one per million rows of the largest table in use, a few here.
+KEPT_BUCKETS = 16
 CHANGED = (("orders", "order_id"), ("payments", "payment_id"))
 
 
@@ -142,6 +144,24 @@ def history_layers(spark: SparkSession, sf: str) -> dict:
     return _once(spark, sf, "history-layers", build)
 
 
+def kept_layers(spark: SparkSession, sf: str) -> dict:
+    """The layers kept batch by batch: a full extract up to the marks, a batch up to the middle marks, a batch with the rest."""
+    def build():
+        root, state = scratch(spark, "kept-lake"), scratch(spark, "kept-state")
+        steps = []
+        for name, marks in (("full-0", MARKS), ("inc-1", MIDDLE), ("inc-2", None)):
+            source = scratch(spark, f"kept-{name}")
+            for t, df in adapter.raw(spark, sf).items():
+                rows = newest_per_key(df.withColumn("_version", F.struct(KEYS[t], "updated_at")), "_version", F.col("_seq").desc()).select(*columns(t))
+                past = F.lit(True) if marks is None else F.col("updated_at") <= F.lit(marks[t]).cast(df.schema["updated_at"].dataType)
+                rows.filter(past).write.parquet(f"{source}/{t}")
+            run = load.full_load if name == "full-0" else load.incremental_load
+            run(spark, {"format": "parquet", "path": source}, root, name)
+            steps.append(keep_curated.update_layers(spark, root, state, KEPT_BUCKETS).select(F.lit(name).alias("run_id"), "*"))
+        return {"state": state, "steps": _union(steps)}
+    return _once(spark, sf, "kept-layers", build)
+
+
 def lake(spark: SparkSession, sf: str) -> dict:
     """A full load up to the marks, an incremental run with the rest, and a rerun without changes."""
     def build():
@@ -507,6 +527,17 @@ def q_truncate_reload(spark, sf):
     return sinks.reload_tables(spark, src, dst)
 
 
+def q_reloaded_tables(spark, sf):
+    """Rows that readers meet after two reloads, the first of the base state, the second of the current one."""
+    dst = scratch(spark, "reload-twice")
+    for state in (adapter.base(spark, sf), adapter.model(spark, sf)):
+        src = scratch(spark, "reload-from")
+        for t, df in state.items():
+            sinks.write_raw_full(df, src, t)
+        sinks.reload_tables(spark, src, dst)
+    return rows_of(sinks.reloaded_tables(spark, dst))
+
+
 def q_raw_incremental_sink(spark, sf):
     where = lake(spark, sf)
     parts = {}
@@ -573,6 +604,32 @@ def q_validate_outputs_history(spark, sf):
                        "raw_rows", "curated_rows", "rejected_rows", "duplicate_curated_keys")], F.col("status").alias("failures"))])
 
 
+def q_curated_after_batches(spark, sf):
+    """Every row of the kept layers with its reasons, after three steps."""
+    return _union([
+        df.select(F.lit(t).alias("table_name"), F.when(F.size("reasons") == 0, "curated").otherwise("rejected").alias("layer"),
+                  F.col(KEYS[t]).alias("row_key"), F.array_join("reasons", ";").alias("rejection_reason"))
+        for t, df in keep_curated.current_rows(spark, kept_layers(spark, sf)["state"]).items()
+    ])
+
+
+def q_kept_layer_steps(spark, sf):
+    """Rows that each step took in, all raw rows so far, and the rows in both layers after it."""
+    return kept_layers(spark, sf)["steps"].select(
+        "run_id", "table_name", "new_rows", "raw_rows", (F.col("curated_rows") + F.col("rejected_rows")).alias("layer_rows"))
+
+
+def q_upsert_merge_sink(spark, sf):
+    """The staged batch merged into keyed tables: all rows afterwards."""
+    t, found = adapter.base(spark, sf), {}
+    for n, k in CHANGED:
+        root, staged = scratch(spark, f"keyed-{n}"), _staged(spark, sf, n).select(*columns(n))
+        keyed.create_keyed(t[n].select(*columns(n)), root, k, rows_per_file=5000)
+        keyed.merge_keyed(spark, root, staged, k, rows_per_file=5000)
+        found[n] = keyed.read_keyed(spark, root, staged.schema)
+    return rows_of(found)
+
+
 def q_rerun_idempotency(spark, sf):
     where = lake(spark, sf)
     before, after, second = where["digests"]

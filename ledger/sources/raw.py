@@ -93,25 +93,30 @@ def read_layer(
 
 
 def read_raw_versions(
-    spark: SparkSession, root: str, table: str, escape: str = '"', multi_line: bool = True
+    spark: SparkSession, root: str, table: str, escape: str = '"', multi_line: bool = True, runs: DataFrame | None = None
 ) -> DataFrame:
     """The full extract and all completed incremental batches as versions of one table.
 
     A batch counts only if the control history names its run: a run stopped by its count guard leaves its folders
     behind.  ``watermark`` and ``run_id`` come from the batch folders (``''`` for the full extract) and stay
     text; filters on them prune folders.  ``_seq`` puts later batches after earlier ones, those of one watermark
-    in the order in which their runs completed.
+    in the order in which their runs completed.  ``runs`` (``_run``) names the batches to read instead of all, ``''`` for
+    the full extract.
     """
-    full = locate_raw(spark, root, table)
     fields = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns(table)]
-    parts = [
-        csv_reader(spark, text_schema(table), escape, multi_line).csv(full).select(
-            *fields, F.lit("").alias("watermark"), F.lit("").alias("run_id"),
-            _input_order(F.lit(-(1 << 62))).alias("_seq"),
+    parts = []
+    if runs is None or not runs.filter(F.col("_run") == "").isEmpty():
+        parts.append(
+            csv_reader(spark, text_schema(table), escape, multi_line).csv(locate_raw(spark, root, table)).select(
+                *fields, F.lit("").alias("watermark"), F.lit("").alias("run_id"),
+                _input_order(F.lit(-(1 << 62))).alias("_seq"),
+            )
         )
-    ]
     batches = f"{root}/{table}/incremental"
     if path_exists(spark, batches):
+        wanted = completed_runs(spark, root)
+        if runs is not None:
+            wanted = wanted.join(runs, "_run", "left_semi")
         # Folder names hold text; the reader's schema fixes the types of the partition columns.
         schema = text_schema(table, "watermark", "run_id")
         parts.append(
@@ -119,10 +124,13 @@ def read_raw_versions(
             .option("basePath", batches)
             .csv(batches)
             .select(*fields, "watermark", "run_id", _input_order(_batch_number(F.col("watermark"))).alias("_seq"))
-            .join(completed_runs(spark, root), F.col("run_id") == F.col("_run"))
+            .join(wanted, F.col("run_id") == F.col("_run"))
             .withColumn("_seq", F.col("_seq").withField("done", F.col("_done")))
             .drop("_run", "_done")
         )
+    if not parts:
+        empty = spark.createDataFrame([], text_schema(table, "watermark", "run_id"))
+        return empty.withColumn("_seq", F.lit(None).cast("struct<batch:bigint,done:bigint,part:bigint,file:bigint,block:bigint,row:bigint>"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -7,6 +7,7 @@ rows with those of another run.
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from ledger.schemas import (
     timestamps,
     typed_schema,
 )
+from ledger.session import together
+from ledger.sources.manifest import next_number, read_manifest, write_manifest
 from ledger.sources.raw import csv_reader, locate_raw
 
 ROWS_PER_FILE = 2_000_000
@@ -136,20 +139,27 @@ def _typed(table: str, field: T.StructField):
 def reload_tables(spark: SparkSession, src: str, dst: str) -> DataFrame:
     """Replace the four tables below ``dst`` by the files below ``src``; returns their counts.
 
-    All headers are checked and all rows typed before the first table is replaced: each table is
-    written to ``<dst>/.incoming`` first, and only then are the tables overwritten from there.
+    Headers are checked and rows typed while each table is written, once, to a folder of its own.  A manifest that names all four
+    folders comes last: readers (``reloaded_tables``) meet the old set or the new one, also if the job stops between two tables.
     """
-    incoming = f"{dst}/.incoming"
-    for table in TABLES:
+    number, run = next_number(spark, dst), uuid4().hex[:8]
+
+    def load(table: str) -> tuple[str, str, int]:
         strings = csv_reader(spark, text_schema(table)).csv(locate_raw(spark, src, table))
-        typed = strings.select(*[_typed(table, f) for f in typed_schema(table).fields])
-        typed.write.mode("overwrite").parquet(f"{incoming}/{table}")
-    for table in TABLES:
-        spark.read.schema(typed_schema(table)).parquet(f"{incoming}/{table}").write.mode(
-            "overwrite"
-        ).parquet(f"{dst}/{table}")
-    from ledger.operators.reports import table_counts
-
-    return table_counts({
-        table: spark.read.schema(typed_schema(table)).parquet(f"{dst}/{table}") for table in TABLES
-    })
+        rows, seen = _counted(strings.select(*[_typed(table, f) for f in typed_schema(table).fields]))
+        folder = f"{table}/load={number}-{run}"
+        rows.write.mode("errorifexists").parquet(f"{dst}/{folder}")
+        return table, folder, seen.get["rows"]
+
+    loaded = together(spark, load, TABLES)
+    write_manifest(spark.createDataFrame(list(loaded.values()), "table_name string, folder string, rows bigint"), dst, number)
+    return read_manifest(spark, dst).select("table_name", F.col("rows").alias("row_count"))
+
+
+def reloaded_tables(spark: SparkSession, dst: str) -> dict[str, DataFrame]:
+    """The tables of the last finished reload."""
+    current = read_manifest(spark, dst)
+    if current is None:
+        raise FileNotFoundError(f"no loaded tables below {dst}")
+    folders = {r["table_name"]: r["folder"] for r in current.collect()}
+    return {t: spark.read.schema(typed_schema(t)).parquet(f"{dst}/{folders[t]}") for t in TABLES}

@@ -14,7 +14,8 @@ from ledger.plans import curate, load
 from ledger.schemas import KEYS, TABLES, columns, typed_schema
 from ledger.sources.control import read_watermark_history, read_watermarks
 from ledger.sources.raw import jdbc_options, read_batch, read_raw, read_raw_versions, read_source, read_staged
-from ledger.sources.sinks import reload_tables, watermark_folder, write_raw_batch, write_raw_full
+from ledger.sources import sinks
+from ledger.sources.sinks import reload_tables, reloaded_tables, watermark_folder, write_raw_batch, write_raw_full
 
 
 def typed(spark, table, rows):
@@ -259,7 +260,32 @@ def test_reload_replaces_and_checks(spark, tmp_path):
     h.write(tmp_path / "bad", orders=[h.order(1, q="")])
     with pytest.raises(Exception, match="quantity is blank"):
         reload_tables(spark, str(tmp_path / "bad"), dst)
-    assert spark.read.parquet(f"{dst}/orders").count() == 2
+    assert reloaded_tables(spark, dst)["orders"].count() == 2
+
+
+def test_a_reload_that_stops_between_tables_leaves_the_old_set(spark, tmp_path, monkeypatch):
+    src, more, dst = str(tmp_path / "src"), str(tmp_path / "more"), str(tmp_path / "dst")
+    for name, rows in BASE.items():
+        write_raw_full(typed(spark, name, rows), src, name)
+        write_raw_full(typed(spark, name, rows + NEW[name]), more, name)
+    with pytest.raises(FileNotFoundError):
+        reloaded_tables(spark, dst)
+    reload_tables(spark, src, dst)
+    parse = sinks._typed
+
+    def stop(table, field):
+        if table == "payments":
+            raise RuntimeError("stopped")
+        return parse(table, field)
+
+    monkeypatch.setattr(sinks, "_typed", stop)
+    with pytest.raises(RuntimeError, match="stopped"):
+        reload_tables(spark, more, dst)
+    monkeypatch.undo()
+    assert len(list(Path(dst).glob("orders/load=*"))) == 2  # the new orders are there, but nobody reads them
+    assert {t: df.count() for t, df in reloaded_tables(spark, dst).items()} == {t: len(rows) for t, rows in BASE.items()}
+    assert {r[0]: r[1] for r in reload_tables(spark, more, dst).collect()} == {t: len(BASE[t]) + 1 for t in TABLES}
+    assert {t: df.count() for t, df in reloaded_tables(spark, dst).items()} == {t: len(BASE[t]) + 1 for t in TABLES}
 
 
 def test_manifest(spark):
