@@ -64,7 +64,7 @@ class Encoder:
         self.code = {2: "H", 4: "I"}[self.width]
         self.shown = byte_characters()
         #: ASCII characters around which the patterns cut differently: some separators count as white space here only.
-        self.differs = re.compile("[" + "".join(re.escape(c) for c in map(chr, range(128)) if not self._agrees(c)) + "]|(?!)")
+        self.differs = [c for c in map(chr, range(128)) if not self._agrees(c)]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -81,7 +81,7 @@ class Encoder:
         """The serialized ids of ``text`` with the end id."""
         if not text:
             return self.end
-        if any(s in text for s in self.special) or self.differs.search(text) or not (text.isascii() or all(self._agrees(c) for c in set(text) if c > "\x7f")):
+        if any(s in text for s in self.special) or any(c in text for c in self.differs) or not (text.isascii() or all(self._agrees(c) for c in set(text) if c > "\x7f")):
             return self.whole(text) + self.end
         found = _PIECE.findall(text)
         try:
