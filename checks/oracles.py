@@ -408,11 +408,14 @@ def constraint_audit() -> str:
 def quality() -> dict[str, str]:
     q = {}
     parts = []
-    for t, v in MODEL.items():
-        parts.append(f"SELECT '{t}_rows' AS check_name, count(*) AS expected, count(*) AS actual, true AS passed FROM {v}")
-        for c in [KEYS[t], *{"customers": ["email"], "products": ["product_name"]}.get(t, [])]:
-            parts.append(f"SELECT '{t}_{c}_distinct', count(*), count(DISTINCT {c}), count(*) = count(DISTINCT {c}) FROM {v}")
-    q["expected_counts"] = report(" UNION ALL ".join(parts))
+    # Expected are the keys of the versioned tables.
+    for case, tables in (("current", MODEL), ("before the batch", {**MODEL, "orders": "base_orders", "payments": "base_payments"})):
+        for t, v in tables.items():
+            wanted = f"(SELECT count(DISTINCT {KEYS[t]}) FROM raw_{t})"
+            parts.append(f"SELECT '{case}' AS case_name, '{t}_rows' AS check_name, {wanted} AS expected, count(*) AS actual, {wanted} = count(*) AS passed FROM {v}")
+            for c in [KEYS[t], *{"customers": ["email"], "products": ["product_name"]}.get(t, [])]:
+                parts.append(f"SELECT '{case}', '{t}_{c}_distinct', count(*), count(DISTINCT {c}), count(*) = count(DISTINCT {c}) FROM {v}")
+    q["expected_counts"] = query(" UNION ALL ".join(parts), *MODEL.values(), "base_orders", "base_payments")
     q["reference_integrity"] = report(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS field, count(*) FILTER (WHERE {c} NOT IN (SELECT {k} FROM {p})) AS missing_rows FROM {MODEL[t]}"
         for t, c, k, p in (("orders", "customer_id", "customer_id", "raw_customers"), ("orders", "product_id", "product_id", "raw_products"),
@@ -484,12 +487,18 @@ def loads() -> dict[str, str]:
         return query(body, *staged, extra=extra)
 
     both = (("orders", "order_id"), ("payments", "payment_id"))
-    q["batch_preconditions"] = change(" UNION ALL ".join([
-        *[f"SELECT '{t}_rows' AS check_name, CAST(count(*) AS VARCHAR) AS expected, CAST(count(*) AS VARCHAR) AS actual, true AS passed FROM {v}"
-          for t, v in (("orders", "base_orders"), ("payments", "base_payments"))],
-        "SELECT 'orders_ids_free', '0', CAST(count(*) AS VARCHAR), count(*) = 0 FROM base_orders WHERE order_id IN (11, 12, 13)",
-        "SELECT 'customers_email_free', '0', CAST(count(*) AS VARCHAR), count(*) = 0 FROM raw_customers WHERE email IN ('incremental.test@example.test')",
-        f"SELECT 'stored_watermark', '{MARK}.000000', '{MARK}.000000', true"]))
+    # Against the state after the batch its new keys are taken and the counts have grown.
+    checks = []
+    for case, state, mark in (("before", "base", f"TIMESTAMP '{MARKS['payments']}'"), ("after", "cur", "(SELECT max(updated_at) FROM raw_payments)")):
+        for t, k in both:
+            wanted = f"(SELECT count(DISTINCT {k}) FROM raw_{t} WHERE updated_at <= TIMESTAMP '{MARK}')"
+            taken = f"count(*) FILTER (WHERE {k} IN (SELECT {k} FROM staged_{t} WHERE operation = 'new'))"
+            checks += [
+                f"SELECT '{case}' AS case_name, '{t}_rows' AS check_name, CAST({wanted} AS VARCHAR) AS expected, CAST(count(*) AS VARCHAR) AS actual, "
+                f"{wanted} = count(*) AS passed FROM {state}_{t}",
+                f"SELECT '{case}', '{t}_ids_free', '0', CAST({taken} AS VARCHAR), {taken} = 0 FROM {state}_{t}"]
+        checks.append(f"SELECT '{case}', 'stored_watermark', '{MARK}.000000', strftime({mark}, '%Y-%m-%d %H:%M:%S.%f'), {mark} = TIMESTAMP '{MARK}'")
+    q["batch_preconditions"] = change(" UNION ALL ".join(checks))
     q["staged_operation_counts"] = change(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, operation, count(*) AS row_count FROM staged_{t} GROUP BY 2" for t, _ in both))
     # Against the state after the batch every new row conflicts.
@@ -528,19 +537,50 @@ def loads() -> dict[str, str]:
         f"FROM (SELECT {k}, count(*) AS n FROM raw_{t} GROUP BY 1) x" for t, k in both))
     q["late_payments_for_existing"] = change(
         "SELECT payment_id, order_id FROM staged_payments WHERE operation = 'new' AND order_id IN (SELECT order_id FROM base_orders)")
-    cases = {"stored marks": PAST, "latest times": {t: f"updated_at > (SELECT max(updated_at) FROM {v})" for t, v in RAW.items()}}
-    tables = " UNION ALL ".join(
-        f"SELECT '{case}' AS case_name, '{t}' AS table_name, count(*) AS total_rows, {_ts('max(updated_at)')} AS max_updated_at, "
-        f"count(*) FILTER (WHERE {past[t]}) AS recovery_rows, CAST(0 AS BIGINT) AS expected_rows, count(*) FILTER (WHERE {past[t]}) AS unexpected_rows, "
-        f"count(*) FILTER (WHERE {past[t]}) = 0 AS safe FROM {v}" for case, past in cases.items() for t, v in RAW.items())
+    latest = {t: f"updated_at > (SELECT max(updated_at) FROM {v})" for t, v in RAW.items()}
+    tables = []
+    for case, past, kept in (("stored marks", PAST, "false"), ("latest times", latest, "false"), ("the batch", PAST, "true"), ("odd keys of the batch", PAST, "{k} % 2 = 1")):
+        for t, v in RAW.items():
+            wanted = kept.format(k=KEYS[t])
+            tables.append(
+                f"SELECT '{case}' AS case_name, '{t}' AS table_name, count(*) AS total_rows, {_ts('max(updated_at)')} AS max_updated_at, "
+                f"count(*) FILTER (WHERE {past[t]}) AS recovery_rows, count(*) FILTER (WHERE {past[t]} AND {wanted}) AS expected_rows, "
+                f"count(*) FILTER (WHERE {past[t]} AND NOT ({wanted})) AS unexpected_rows, CAST(0 AS BIGINT) AS missing_rows, "
+                f"count(*) FILTER (WHERE {past[t]} AND NOT ({wanted})) = 0 AS safe FROM {v}")
+    tables = " UNION ALL ".join(tables)
     q["recovery_window_check"] = raw_query(
-        f"SELECT * FROM ({tables}) a UNION ALL SELECT case_name, 'overall', NULL, NULL, NULL, NULL, NULL, bool_and(safe) FROM ({tables}) b GROUP BY case_name")
+        f"SELECT * FROM ({tables}) a UNION ALL SELECT case_name, 'overall', NULL, NULL, NULL, NULL, NULL, NULL, bool_and(safe) FROM ({tables}) b GROUP BY case_name")
+    uneven = " AND ".join(f"(SELECT count(*) FROM raw_{t} WHERE {PAST[t]} AND {KEYS[t]} % 2 = 0) = 0" for t in TABLES)
+
+    def boundary(case: str, restored: str) -> str:
+        marks = ", ".join(
+            f"CASE WHEN {restored} THEN '{MARKS[t]}.000000' ELSE (SELECT {_ts('max(updated_at)')} FROM raw_{t}) END AS {t}_watermark" for t in TABLES)
+        return f"SELECT '{case}' AS case_name, {marks}, CASE WHEN {restored} THEN 'reset-1' ELSE 'run-1' END AS last_successful_run_id"
+
+    q["restored_boundary"] = raw_query(f"{boundary('odd keys of the batch', uneven)} UNION ALL {boundary('the batch', 'true')}")
     q["recovery_unexpected_ids"] = raw_query(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, {KEYS[t]} AS row_id FROM {v} WHERE {PAST[t]}" for t, v in RAW.items()))
-    q["postinsert_checks"] = report(" UNION ALL ".join(
-        f"SELECT '{t}_rows' AS check_name, count(*) AS expected, count(*) AS actual, true AS passed FROM {v} UNION ALL "
-        f"SELECT '{t}_row_exact', CAST(1 AS BIGINT), count(*) FILTER (WHERE {KEYS[t]} = (SELECT min({KEYS[t]}) FROM {v})), "
-        f"count(*) FILTER (WHERE {KEYS[t]} = (SELECT min({KEYS[t]}) FROM {v})) = 1 FROM {v}" for t, v in MODEL.items()))
+    checks = []
+    for case, state in (("merged", "cur"), ("not merged", "base")):
+        for t, k in both:
+            same = " AND ".join(f"s.{c} IS NOT DISTINCT FROM c.{c}" for c in columns(t))
+            wanted = (f"(SELECT count(DISTINCT {k}) FROM raw_{t} WHERE updated_at <= TIMESTAMP '{MARK}') + "
+                      f"(SELECT count(*) FROM staged_{t} WHERE operation = 'new')")
+            exact = f"(SELECT count(*) FROM staged_{t} s JOIN {state}_{t} c ON {same})"
+            other = f"((SELECT count(*) FROM {state}_{t} WHERE {k} IN (SELECT {k} FROM staged_{t})) - {exact})"
+            for kind, expected, actual in (("rows", wanted, f"(SELECT count(*) FROM {state}_{t})"), ("rows_exact", f"(SELECT count(*) FROM staged_{t})", exact), ("rows_not_as_staged", "CAST(0 AS BIGINT)", other)):
+                checks.append(f"SELECT '{case}' AS case_name, '{t}_{kind}' AS check_name, {expected} AS expected, {actual} AS actual, {expected} = {actual} AS passed")
+    q["postinsert_checks"] = change(" UNION ALL ".join(checks))
+    first = """chosen AS (SELECT p.payment_id, o.order_id, o.customer_id, o.product_id FROM staged_payments p JOIN cur_orders o USING (order_id)
+      WHERE p.operation = 'new' AND o.customer_id IS NOT NULL AND o.product_id IS NOT NULL ORDER BY p.payment_id LIMIT 1)"""
+    times = """times AS (SELECT c.updated_at AS a, pr.updated_at AS b, o.updated_at AS c, p.updated_at AS d FROM chosen x
+      LEFT JOIN raw_customers c ON c.customer_id = x.customer_id LEFT JOIN raw_products pr ON pr.product_id = x.product_id
+      JOIN cur_orders o ON o.order_id = x.order_id JOIN cur_payments p ON p.payment_id = x.payment_id)"""
+    q["postinsert_report"] = change(f"""SELECT {', '.join(f"(SELECT count(*) FROM {v}) AS {t}" for t, v in MODEL.items())},
+        coalesce(a = b AND b = c AND c = d, false) AS same_timestamp, a IS NOT NULL AND b IS NOT NULL AS relationships_valid,
+        (SELECT count(*) FROM facts WHERE confirmed AND linked) AS confirmed_orders,
+        (SELECT CAST(coalesce(sum(paid), 0) AS {D}) FROM facts WHERE confirmed AND linked) AS confirmed_revenue FROM times""",
+        extra=[LP, FACTS.format(orders="cur_orders", latest="lp"), first, times])
     return q
 
 
@@ -571,9 +611,33 @@ def files() -> dict[str, str]:
         f"count(*) FILTER (WHERE NOT ({kept})) AS unexpected_rows, CAST(min(updated_at) AS VARCHAR) AS first_updated_at, CAST(max(updated_at) AS VARCHAR) AS last_updated_at, "
         f"count(*) FILTER (WHERE NOT ({kept})) = 0 AS rows_ok, CAST(1 AS BIGINT) AS control_rows, true AS control_ok "
         f"FROM raw_{t} WHERE {PAST[t]}" for t in TABLES for case, kept in (("all rows", "true"), ("odd keys", f"{KEYS[t]} % 2 = 1"))))
+    top_rows = f"(SELECT count(*) FROM raw_{{t}} WHERE updated_at > (SELECT max(updated_at) FROM raw_{{t}}))"
     q["file_digests"] = raw_query(" UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS data_rows, true AS digested, true AS unchanged FROM raw_{t} WHERE {PAST[t]}" for t in TABLES))
-    calm = " AND ".join(f"(SELECT count(*) FROM raw_{t} WHERE updated_at > (SELECT max(updated_at) FROM raw_{t})) = 0" for t in TABLES)
+        f"SELECT 'after the rerun' AS case_name, '{t}' AS table_name, count(*) AS data_rows, count(*) > 0 AS digested, {top_rows.format(t=t)} = 0 AS unchanged "
+        f"FROM raw_{t} WHERE {PAST[t]} UNION ALL "
+        f"SELECT 'the rerun''s files', '{t}', {top_rows.format(t=t)}, count(*) > 0, {top_rows.format(t=t)} = count(*) FROM raw_{t} WHERE {PAST[t]}" for t in TABLES))
+    counts = {t: f"(SELECT count(*) FROM raw_{t} WHERE {PAST[t]})" for t in TABLES}
+    keys = {t: f"(SELECT count(DISTINCT {KEYS[t]}) FROM raw_{t} WHERE {PAST[t]})" for t in TABLES}
+    zero = "CAST(0 AS BIGINT)"
+    q["rerun_proof"] = raw_query(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {counts[t]} AS rows_before, {keys[t]} AS keys_before, {counts[t]} AS rows_after, {keys[t]} AS keys_after, "
+        f"{top_rows.format(t=t)} AS changed_keys, {top_rows.format(t=t)} AS changed_files, {zero} AS misplaced_files, {top_rows.format(t=t)} AS rerun_rows, "
+        f"{zero} AS misplaced_rerun_files, count(*) AS source_rows_before, count(*) AS source_rows_after, CAST(1 AS BIGINT) AS first_control_rows, "
+        f"CAST(1 AS BIGINT) AS rerun_control_rows, 'inc-2' AS last_successful_run_id, max(updated_at) = (SELECT max(updated_at) FROM raw_{t} WHERE {PAST[t]}) AS watermark_ok, "
+        f"{top_rows.format(t=t)} = 0 AS passed FROM raw_{t}" for t in TABLES))
+    calm = " AND ".join(f"{top_rows.format(t=t)} = 0" for t in TABLES)
+    # What each case exchanges, and the verdict that must then fail, from the rows themselves.
+    odd = " AND ".join(f"(SELECT count(*) FROM raw_{t} WHERE {PAST[t]} AND {KEYS[t]} % 2 = 0) = 0" for t in TABLES)
+    grown = " AND ".join(f"{counts[t]} = 0" for t in TABLES)
+    moved = " AND ".join(f"(SELECT max(updated_at) FROM raw_{t}) = TIMESTAMP '{MARKS[t]}'" for t in TABLES)
+    verdicts = ("first_run_files_unchanged", "second_run_files_separate_and_empty", "first_run_files_located", "run_ids_unique", "watermarks_as_expected", "source_unchanged")
+    hit = {"as run": {}, "odd keys only": {"first_run_files_unchanged": odd}, "earlier source": {"source_unchanged": grown}, "stored marks": {"watermarks_as_expected": moved}}
+    q["rerun_idempotency"] = raw_query(" UNION ALL ".join(
+        f"SELECT '{case}' AS case_name, '{name}' AS check_name, {' AND '.join([calm, *(own.values() if name == 'status' else [own[name]] if name in own else [])])} AS passed"
+        for case, own in hit.items() for name in (*verdicts, "status")))
+    q["changed_batch_keys"] = raw_query(" UNION ALL ".join(
+        f"SELECT DISTINCT '{t}' AS table_name, CAST({KEYS[t]} AS VARCHAR) AS row_key, CASE WHEN {KEYS[t]} % 2 = 1 THEN 'removed' ELSE 'changed' END AS change "
+        f"FROM raw_{t} WHERE {PAST[t]} AND ({KEYS[t]} % 2 = 1 OR {KEYS[t]} % 3 = 0)" for t in TABLES))
     steps = []
     for run, low, high in (("full-0", None, MARKS), ("inc-1", MARKS, MIDDLE), ("inc-2", MIDDLE, None)):
         for t in TABLES:
@@ -584,10 +648,6 @@ def files() -> dict[str, str]:
                 f"SELECT '{run}' AS run_id, '{t}' AS table_name, count(*) FILTER (WHERE {since}) AS new_rows, count(*) AS raw_rows, count(*) AS layer_rows "
                 f"FROM (SELECT DISTINCT {KEYS[t]}, updated_at FROM raw_{t} WHERE {until}) x")
     q["kept_layer_steps"] = raw_query(" UNION ALL ".join(steps))
-    q["rerun_idempotency"] = raw_query(" UNION ALL ".join(
-        f"SELECT '{name}' AS check_name, {calm} AS passed" for name in (
-            "first_run_files_unchanged", "second_run_files_separate_and_empty", "first_run_files_located",
-            "run_ids_unique", "watermarks_as_expected", "source_unchanged")))
     q["run_counts"] = raw_query(" UNION ALL ".join(
         f"SELECT run_id, 'Succeeded' AS status, '{t}' AS table_name, CASE run_id WHEN 'inc-1' THEN n ELSE 0 END AS copied_rows, "
         f"CASE run_id WHEN 'inc-1' THEN n ELSE 0 END AS expected_rows FROM (SELECT count(*) AS n FROM raw_{t} WHERE {PAST[t]}) a, "

@@ -175,15 +175,15 @@ def lake(spark: SparkSession, sf: str) -> dict:
         sinks_control = load.control_of(spark, {t: MARKS[t] for t in TABLES}, "mark-0")
         control.write_watermarks(sinks_control, root, "mark-0")
         src = raw_source(spark, sf)
+        totals = stage(inc.source_counts(_raw_tables(spark, sf)), scratch(spark, "totals"))
         first = load.incremental_load(spark, src, root, "inc-1")
         marks = {r["table_name"]: r["new_watermark"] for r in first.collect()}
-        digests = [
-            stage(inventory.batch_digests(spark, root, marks, "inc-1"), scratch(spark, "digest"))
-        ]
+        kept = {
+            "files": stage(inventory.batch_digests(spark, root, marks, "inc-1"), scratch(spark, "digest")),
+            "rows": stage(inventory.batch_snapshot(spark, root, marks, "inc-1"), scratch(spark, "snapshot")), "totals": totals,
+        }
         second = load.incremental_load(spark, src, root, "inc-2")
-        digests.append(inventory.batch_digests(spark, root, marks, "inc-1"))
-        digests.append(inventory.batch_digests(spark, root, marks, "inc-2"))
-        return {"root": root, "full": full, "first": first, "second": second, "marks": marks, "digests": digests}
+        return {"root": root, "full": full, "first": first, "second": second, "marks": marks, "kept": kept, "before": before}
     return _once(spark, sf, "lake", build)
 
 
@@ -296,9 +296,12 @@ def q_latest_versions(spark, sf):
 
 
 def q_expected_counts(spark, sf):
-    t = adapter.model(spark, sf)
-    expected = {r["table_name"]: r["row_count"] for r in reports.table_counts(t).collect()}
-    return quality.check_counts(t, expected)
+    """The current tables and those before the batch against the keys of the versioned tables."""
+    expected = _key_counts(spark, sf)
+    return _union([
+        quality.check_counts(t, expected).select(F.lit(case).alias("case_name"), "*")
+        for case, t in (("current", adapter.model(spark, sf)), ("before the batch", adapter.base(spark, sf)))
+    ])
 
 
 def q_manifest_verify(spark, sf):
@@ -393,13 +396,26 @@ def _staged(spark, sf, name):
     return adapter.view(spark, sf, f"staged_{name}")
 
 
+def _key_counts(spark, sf, until: str | None = None) -> dict[str, int]:
+    """Keys of the versioned tables: what the tables of one row per key should hold, from the other side."""
+    found = {}
+    for n, df in adapter.raw(spark, sf).items():
+        past = F.lit(True) if until is None or n not in dict(CHANGED) else F.col("updated_at") <= F.lit(until).cast(df.schema["updated_at"].dataType)
+        found[n] = df.filter(past).agg(F.count_distinct(KEYS[n])).first()[0]
+    return found
+
+
 def q_batch_preconditions(spark, sf):
-    t = adapter.base(spark, sf)
-    expected = {r["table_name"]: r["row_count"] for r in reports.table_counts({n: t[n] for n, _ in CHANGED}).collect()}
-    return inc.batch_preconditions(
-        t, expected, stored=adapter.MARK, expected_mark=adapter.MARK, new_ids={"orders": [11, 12, 13]},
-        new_values={"customers": {"email": ["incremental.test@example.test"]}},
-    )
+    """Before the batch all holds; against the state after it, nothing but the boundary that was stored then."""
+    incoming = {n: _staged(spark, sf, n).filter("operation = 'new'") for n, _ in CHANGED}
+    counts = {n: c for n, c in _key_counts(spark, sf, adapter.MARK).items() if n in incoming}
+    history = {r["last_successful_run_id"]: r["payments_watermark"] for r in control.read_watermark_history(spark, lake(spark, sf)["root"]).collect()}
+    cases = (("before", adapter.base(spark, sf), "mark-0"), ("after", _merged(spark, sf), "inc-1"))
+    return _union([
+        inc.batch_preconditions({n: t[n] for n, _ in CHANGED}, counts, stored=history[run], expected_mark=adapter.MARK, incoming=incoming)
+        .select(F.lit(case).alias("case_name"), "*")
+        for case, t, run in cases
+    ])
 
 
 def q_staged_operation_counts(spark, sf):
@@ -477,16 +493,27 @@ def q_late_payments_for_existing(spark, sf):
     ).select("payment_id", "order_id")
 
 
-NOTHING_EXPECTED = {t: ([], "1900-01-01") for t in TABLES}
+def _nothing_expected(spark):
+    return spark.createDataFrame([], "table_name string, row_id bigint, updated_at timestamp")
+
+
+def _batch_expected(spark, sf):
+    """The first run's batch, as it lies in the lake: what is known to be past the stored marks."""
+    where = lake(spark, sf)
+    return inventory.batch_rows(spark, where["root"], where["marks"], "inc-1").select(
+        "table_name", F.col("row_key").cast("bigint").alias("row_id"), F.col("updated_at").cast("timestamp").alias("updated_at"))
 
 
 def q_recovery_window_check(spark, sf):
-    """No row is expected past the boundary: false at the stored marks, true at the latest times; with the overall verdict."""
+    """Rows past a boundary: none expected at the stored marks (false) and at the latest times (true), the batch expected (true) and half of it (false)."""
     t = _raw_tables(spark, sf)
     latest = {r["table_name"]: r["new_watermark"] for r in inc.window_lookup(t, dict.fromkeys(TABLES, "1900-01-01")).collect()}
+    none, batch = _nothing_expected(spark), _batch_expected(spark, sf)
     parts = []
-    for case, marks in (("stored marks", MARKS), ("latest times", latest)):
-        check = inc.recovery_check(t, marks, NOTHING_EXPECTED)
+    for case, marks, expected in (
+        ("stored marks", MARKS, none), ("latest times", latest, none), ("the batch", MARKS, batch), ("odd keys of the batch", MARKS, batch.filter("row_id % 2 = 1")),
+    ):
+        check = inc.recovery_check(t, marks, expected)
         named = check.withColumn("max_updated_at", _utc("max_updated_at")).select(F.lit(case).alias("case_name"), "*")
         overall = inc.safe_to_reset(check).select(F.lit(case).alias("case_name"), F.lit("overall").alias("table_name"), F.col("safe_to_reset").alias("safe"))
         parts += [named, overall]
@@ -494,14 +521,44 @@ def q_recovery_window_check(spark, sf):
 
 
 def q_recovery_unexpected_ids(spark, sf):
-    return inc.unexpected_rows(_raw_tables(spark, sf), MARKS, NOTHING_EXPECTED)
+    return inc.unexpected_rows(_raw_tables(spark, sf), MARKS, _nothing_expected(spark))
+
+
+def q_restored_boundary(spark, sf):
+    """The boundary after an attempt to go back to the marks: refused while half the batch is not expected, done when all of it is."""
+    t, batch, parts = _raw_tables(spark, sf), _batch_expected(spark, sf), []
+    for case, expected in (("odd keys of the batch", batch.filter("row_id % 2 = 1")), ("the batch", batch)):
+        root = scratch(spark, "restore")
+        control.write_watermarks(inc.initial_watermarks(t, "run-1"), root, "run-1")
+        try:
+            load.restore_watermarks(spark, root, "reset-1", MARKS, inc.recovery_check(t, MARKS, expected))
+        except inc.LoadError as refused:
+            assert refused.code == "RESET_NOT_SAFE"
+        parts.append(_control_view(control.read_watermarks(spark, root)).select(F.lit(case).alias("case_name"), "*"))
+    return _union(parts)
 
 
 def q_postinsert_checks(spark, sf):
-    t = adapter.model(spark, sf)
-    counts = {r["table_name"]: r["row_count"] for r in reports.table_counts(t).collect()}
-    first = {n: df.agg(F.min(KEYS[n])).first()[0] for n, df in t.items()}
-    return inc.postinsert_checks(t, counts, {n: {KEYS[n]: first[n]} for n in t})
+    """The batch in the merged state, where all holds, and in the state before it, where nothing does."""
+    staged = {n: _staged(spark, sf, n) for n, _ in CHANGED}
+    counts = _key_counts(spark, sf, adapter.MARK)
+    return _union([
+        inc.postinsert_checks(t, counts, staged).select(F.lit(case).alias("case_name"), "*")
+        for case, t in (("merged", _merged(spark, sf)), ("not merged", adapter.base(spark, sf)))
+    ])
+
+
+def q_postinsert_report(spark, sf):
+    """The report on the first new payment of the batch, its order, customer and product."""
+    t = _merged(spark, sf)
+    first = (
+        _staged(spark, sf, "payments").filter("operation = 'new'").join(t["orders"].select("order_id", "customer_id", "product_id"), "order_id")
+        .filter("customer_id is not null and product_id is not null").orderBy("payment_id").select("payment_id", "order_id", "customer_id", "product_id").first()
+    )
+    ids = {"customers": first["customer_id"], "products": first["product_id"], "orders": first["order_id"], "payments": first["payment_id"]}
+    kinds = "counts_after struct<customers: bigint, products: bigint, orders: bigint, payments: bigint>, test_ts timestamp, same_timestamp boolean, " \
+        "relationships_valid boolean, confirmed_orders bigint, confirmed_revenue decimal(18,2)"
+    return inc.postinsert_report(t, ids).select(F.from_json("report", kinds).alias("r")).select("r.counts_after.*", "r.*").drop("counts_after", "test_ts")
 
 
 def q_raw_csv_scan(spark, sf):
@@ -566,13 +623,18 @@ def q_lake_inventory(spark, sf):
 
 
 def q_file_digests(spark, sf):
-    """Per table: rows of the first run's files, whether all have a digest, and whether the rerun left them alone."""
-    before, after, _ = lake(spark, sf)["digests"]
-    return (
-        inventory.compare_digests(before, after).join(after, "path", "left").groupBy("table_name")
-        .agg(F.sum("data_rows").alias("data_rows"), F.bool_and(F.length("sha256") == 64).alias("digested"),
-             F.bool_and("unchanged").alias("unchanged"))
-    )
+    """Per table: rows of the first run's files, whether all have a digest, and whether they are unchanged: after the rerun, and
+    against the rerun's files in their place."""
+    where = lake(spark, sf)
+    before = where["kept"]["files"]
+    after, second = (inventory.batch_digests(spark, where["root"], where["marks"], run) for run in ("inc-1", "inc-2"))
+    table = F.regexp_extract("path", "/(customers|products|orders|payments)/incremental/", 1)
+    return _union([
+        inventory.compare_digests(before, other).join(other.drop("table_name"), "path", "left").groupBy(table.alias("table_name")).agg(
+            F.coalesce(F.sum("data_rows"), F.lit(0)).alias("data_rows"), F.bool_and(F.length("tree_sha256") == 64).alias("digested"),
+            F.bool_and("unchanged").alias("unchanged")).select(F.lit(case).alias("case_name"), "*")
+        for case, other in (("after the rerun", after), ("the rerun's files", second))
+    ])
 
 
 def q_verify_batch(spark, sf):
@@ -630,13 +692,37 @@ def q_upsert_merge_sink(spark, sf):
     return rows_of(found)
 
 
+def _rerun_proof(spark, sf, rows=None, totals=None, marks=None):
+    """The proof for the two incremental runs, or with one of its inputs exchanged."""
+    where = lake(spark, sf)
+    kept = where["kept"]
+    expected = spark.createDataFrame([(t, str((marks or where["marks"])[t])) for t in TABLES], "table_name string, watermark string")
+    return inventory.rerun_proof(
+        spark, where["root"], where["marks"], "inc-1", "inc-2", kept["files"], kept["rows"] if rows is None else rows,
+        kept["totals"] if totals is None else totals, inc.source_counts(_raw_tables(spark, sf)), expected)
+
+
+def q_rerun_proof(spark, sf):
+    return _rerun_proof(spark, sf)
+
+
 def q_rerun_idempotency(spark, sf):
+    """Verdicts on the runs as they were, and on what was kept of another batch, another source and another boundary, which must fail."""
+    where = lake(spark, sf)
+    odd = where["kept"]["rows"].filter("row_key % 2 = 1")
+    earlier = inc.source_counts(load.tables_of(spark, {"format": "parquet", "path": where["before"]}))
+    cases = {"as run": {}, "odd keys only": {"rows": odd}, "earlier source": {"totals": earlier}, "stored marks": {"marks": MARKS}}
+    return _union([
+        inventory.rerun_idempotency(_rerun_proof(spark, sf, **change)).select(F.lit(case).alias("case_name"), "*") for case, change in cases.items()
+    ])
+
+
+def q_changed_batch_keys(spark, sf):
+    """Keys by which the first run's rows differ from those without odd keys and with a doubled row for every third."""
     where = lake(spark, sf)
-    before, after, second = where["digests"]
-    current = control.read_watermarks(spark, where["root"]).first()
-    marks_ok = all(current[f"{t}_watermark"] == where["marks"][t] for t in TABLES) and current["last_successful_run_id"] == "inc-2"
-    again = {r["table_name"]: r["copied_rows"] for r in where["second"].collect()}
-    return inventory.rerun_idempotency(before, after, second, "inc-1", "inc-2", marks_ok, all(n == 0 for n in again.values()))
+    rows = where["kept"]["rows"]
+    other = rows.filter("row_key % 2 = 0").withColumn("copies", F.when(F.expr("row_key % 3 = 0"), F.col("copies") + 1).otherwise(F.col("copies")))
+    return inventory.changed_keys(rows, other)
 
 
 def q_run_counts(spark, sf):

@@ -8,8 +8,9 @@ columns and returns only a reason.  Nothing here leaves the JVM.
 Number texts follow the usual literal forms: an integer has an optional sign and digits that may be
 grouped by single underscores; a decimal may have an exponent.  Integers beyond 64 bits and
 decimals that do not fit 18 digits with 6 after the point are invalid.  Timestamps
-are ``yyyy-MM-dd``, optionally followed by ``T`` or a space, a time and an offset; other
-ISO 8601 shapes (basic dates, week dates) are invalid.
+are ISO 8601 dates (calendar or week dates, extended or basic), optionally followed by any one character, a time
+(hours, minutes, seconds and a fraction, all but the hours optional, extended or basic) and an offset of hours, minutes and seconds; the
+usual form ``yyyy-MM-dd[ T]HH:mm[:ss[.f]][offset]`` is read without the detour of the others.  Fractions are cut after six digits; offsets beyond 18 hours are invalid.
 """
 
 from __future__ import annotations
@@ -31,6 +32,14 @@ TIMESTAMP = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
     r"([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$"
 )
+# A time after its separator, with groups from n on: hours, colon, minutes, seconds, fraction, hours, colon, minutes, seconds of the offset.
+_TIME = (
+    r"(?:(?s:.)([0-9]{{2}})(?:(:?)([0-9]{{2}})(?:\{a}([0-9]{{2}}))?)?(?:[.,]([0-9]{{1,6}})[0-9]*)?"
+    r"(?:(Z|[+-][0-9]{{2}})(?:(:?)([0-9]{{2}})(?:\{b}([0-9]{{2}}))?)?)?)?$"
+)
+CALENDAR = r"^([0-9]{4})(-?)([0-9]{2})\2([0-9]{2})" + _TIME.format(a=6, b=11)
+#: Year, week, day of the week, and what follows.
+WEEK = r"^([0-9]{4})(-?)W([0-9]{2})(?:\2([1-7]))?((?s:[^0-9-].*)?)$"
 
 
 def stripped(name: str) -> Column:
@@ -58,9 +67,32 @@ def decimal_value(text: Column) -> Column:
     )
 
 
+def _usual_form(text: Column) -> Column:
+    """Another shape of a calendar date and time in the usual form, with the seconds and the offset filled in."""
+    parts = F.regexp_replace(F.replace(text, F.lit("Z"), F.lit("+00")), F.lit(CALENDAR), F.lit("$1-$3-$4 $5:$7:$8.$90|$10:$12:$13"))
+    zoned = F.replace(F.replace(parts, F.lit("|::"), F.lit("|+00::")), F.lit("|"), F.lit(""))
+    filled = F.regexp_replace(zoned, F.lit(r"(?<=[ :])(?=[:.]|$)"), F.lit("00"))
+    return F.replace(filled, F.lit("-00:00:00"), F.lit("+00:00:00"))
+
+
+def _by_calendar(text: Column) -> Column:
+    """A week date as the calendar date, with what follows; null where the year has no such week."""
+    part = lambda k: F.regexp_extract(text, WEEK, k)
+    year, week = part(1), part(3).cast("int")
+    fourth = F.try_to_date(F.concat(year, F.lit("-01-04")))
+    monday = F.date_add(fourth, (week - 1) * 7 - F.weekday(fourth))
+    day = F.date_add(monday, F.coalesce(F.nullif(part(4), F.lit("")).cast("int"), F.lit(1)) - 1)
+    there = (week > 0) & (F.year(F.date_add(monday, 3)) == year.cast("int"))
+    return F.when(there, F.concat(day.cast("string"), part(5)))
+
+
 def ts_value(text: Column) -> Column:
     """Instants; a text without an offset is UTC."""
-    return F.when(text.rlike(TIMESTAMP), text.try_cast("timestamp"))
+    return F.coalesce(
+        F.when(text.rlike(TIMESTAMP), text.try_cast("timestamp")),
+        F.when(text.rlike(CALENDAR), _usual_form(text).try_cast("timestamp")),
+        F.when(text.rlike(WEEK), _usual_form(_by_calendar(text)).try_cast("timestamp")),
+    )
 
 
 def parse_reason(name: str, kind: str, text: Column, typed: Column, required: bool = True) -> Column:

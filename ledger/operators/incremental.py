@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledger.operators.lookup import shuffled_apart
 from ledger.operators.reports import Tables, classified_orders, confirmed_totals, table_counts
-from ledger.schemas import KEYS, TABLES
+from ledger.schemas import KEYS, TABLES, UNIQUE, columns
 
 
 class LoadError(RuntimeError):
@@ -164,12 +164,12 @@ def upsert_control(control: DataFrame, row: DataFrame, replace: bool = True) ->
 
 def batch_preconditions(
     t: Tables, expected_counts: dict[str, int], stored: Mark | None = None,
-    expected_mark: Mark | None = None, new_ids: dict[str, list] | None = None,
-    new_values: dict[str, dict[str, list]] | None = None,
+    expected_mark: Mark | None = None, incoming: Tables | None = None,
 ) -> DataFrame:
     """``(check_name, expected, actual, passed)`` before a change batch.
 
-    Counts per table; the stored boundary, if given; ids and unique texts that must not exist yet.
+    Counts per table; the stored boundary, if given; and that no key and no unique text of the rows that the batch adds
+    (``incoming``, any number of them) exists yet.
     """
     parts = [
         df.agg(_rows().cast("string").alias("actual")).select(
@@ -178,22 +178,21 @@ def batch_preconditions(
         )
         for name, df in t.items() if name in expected_counts
     ]
-    for name, ids in (new_ids or {}).items():
-        parts.append(_absent(t[name], KEYS[name], ids, f"{name}_ids_free"))
-    for name, fields in (new_values or {}).items():
-        for field, values in fields.items():
-            parts.append(_absent(t[name], field, values, f"{name}_{field}_free"))
+    for name, rows in (incoming or {}).items():
+        parts.append(_absent(t[name], rows, KEYS[name], f"{name}_ids_free"))
+        parts += [_absent(t[name], rows, field, f"{name}_{field}_free") for field in UNIQUE.get(name, [])]
     if expected_mark is not None:
         spark = next(iter(t.values())).sparkSession
         parts.append(spark.range(1).select(
             F.lit("stored_watermark").alias("check_name"), F.lit(mark_text(expected_mark)).alias("expected"),
             F.lit(None if stored is None else mark_text(stored)).cast("string").alias("actual"),
         ))
-    return _union(parts).withColumn("passed", F.col("expected") == F.col("actual"))
+    return _union(parts).withColumn("passed", F.coalesce(F.col("expected") == F.col("actual"), F.lit(False)))
 
 
-def _absent(df: DataFrame, field: str, values: list, name: str) -> DataFrame:
-    return df.filter(F.col(field).isin(values)).agg(_rows().cast("string").alias("actual")).select(
+def _absent(df: DataFrame, incoming: DataFrame, field: str, name: str) -> DataFrame:
+    found = df.select(field).join(incoming.select(field).distinct(), field, "left_semi")
+    return found.agg(_rows().cast("string").alias("actual")).select(
         F.lit(name).alias("check_name"), F.lit("0").alias("expected"), "actual"
     )
 
@@ -325,87 +324,85 @@ def late_payments_for_existing(staged: DataFrame, base_orders: DataFrame) -> Dat
     return new.join(base_orders.select("order_id"), "order_id", "left_semi").select(*staged.columns)
 
 
-def recovery_check(
-    t: Tables, marks: dict[str, Mark], expected: dict[str, tuple[list[int], Mark]]
-) -> DataFrame:
+def _past_rows(t: Tables, marks: dict[str, Mark], expected: DataFrame) -> DataFrame:
+    """``(table_name, row_id, found, wanted)``: how often each key and time lies past the boundary, and how often it is expected there."""
+    found = _union([
+        df.filter(F.col("updated_at") > instant(df, marks[name])).select(
+            F.lit(name).alias("table_name"), F.col(KEYS[name]).cast("bigint").alias("row_id"), F.col("updated_at").cast("timestamp").alias("updated_at"),
+            F.lit(1).alias("found"), F.lit(0).alias("wanted"))
+        for name, df in t.items()
+    ])
+    wanted = expected.select(
+        "table_name", F.col("row_id").cast("bigint").alias("row_id"), F.col("updated_at").cast("timestamp").alias("updated_at"), F.lit(0).alias("found"), F.lit(1).alias("wanted"))
+    return found.union(wanted).groupBy("table_name", "row_id", "updated_at").agg(F.sum("found").alias("found"), F.sum("wanted").alias("wanted"))
+
+
+def recovery_check(t: Tables, marks: dict[str, Mark], expected: DataFrame) -> DataFrame:
     """Is everything past the old boundary exactly what is expected?
 
-    ``expected[table]`` is ``(ids, updated_at)`` of the rows that may lie past the boundary.  Per table: all
-    rows, highest time, rows past the boundary, expected ones and the number of unexpected ones
-    (:func:`unexpected_rows` names them).  ``safe`` is per table; :func:`safe_to_reset` combines them.
+    ``expected`` has ``(table_name, row_id, updated_at)``: a row for each that may lie past the boundary, any number of them.  Per
+    table: all rows, highest time, rows past the boundary, expected ones among them, unexpected ones
+    (:func:`unexpected_rows` names them) and expected ones that are not there.  ``safe`` is per table; :func:`safe_to_reset` combines them.
     """
-    parts = []
-    for name, df in t.items():
-        key = KEYS[name]
-        ids, at = expected[name]
-        past = F.col("updated_at") > instant(df, marks[name])
-        wanted = F.col(key).isin(ids) & (F.col("updated_at") == instant(df, at))
-        parts.append(
-            df.agg(
-                _rows().alias("total_rows"), F.max("updated_at").alias("max_updated_at"),
-                F.count_if(past).alias("recovery_rows"),
-                F.count_if(past & wanted).alias("expected_rows"),
-                F.count_if(past & ~wanted).alias("unexpected_rows"),
-            ).select(
-                F.lit(name).alias("table_name"), "total_rows", "max_updated_at", "recovery_rows",
-                "expected_rows", "unexpected_rows",
-                ((F.col("recovery_rows") == len(ids)) & (F.col("expected_rows") == len(ids))
-                 & (F.col("unexpected_rows") == 0)).alias("safe"),
-            )
-        )
-    return _union(parts)
+    totals = _union([
+        df.agg(_rows().alias("total_rows"), F.max("updated_at").alias("max_updated_at")).select(F.lit(name).alias("table_name"), "*")
+        for name, df in t.items()
+    ])
+    both = F.least("found", "wanted")
+    counts = ["recovery_rows", "expected_rows", "unexpected_rows", "missing_rows"]
+    past = _past_rows(t, marks, expected).groupBy("table_name").agg(*[
+        F.sum(c).alias(n) for n, c in zip(counts, (F.col("found"), both, F.col("found") - both, F.col("wanted") - both), strict=True)])
+    return totals.join(past, "table_name", "left").fillna(0, counts).withColumn(
+        "safe", (F.col("unexpected_rows") == 0) & (F.col("missing_rows") == 0))
 
 
-def unexpected_rows(
-    t: Tables, marks: dict[str, Mark], expected: dict[str, tuple[list[int], Mark]]
-) -> DataFrame:
+def unexpected_rows(t: Tables, marks: dict[str, Mark], expected: DataFrame) -> DataFrame:
     """``(table_name, row_id)`` of every row past the boundary that is not expected, sorted.
 
     One row each rather than one array, since nothing bounds how many there are.
     """
-    parts = []
-    for name, df in t.items():
-        key = KEYS[name]
-        ids, at = expected[name]
-        wanted = F.col(key).isin(ids) & (F.col("updated_at") == instant(df, at))
-        parts.append(
-            df.filter((F.col("updated_at") > instant(df, marks[name])) & ~wanted)
-            .select(F.lit(name).alias("table_name"), F.col(key).alias("row_id"))
-        )
-    return _union(parts).orderBy("table_name", "row_id")
+    over = _past_rows(t, marks, expected).filter(F.col("found") > F.col("wanted"))
+    return over.select("table_name", "row_id", F.explode(F.sequence(F.lit(1), (F.col("found") - F.col("wanted")).cast("int"))).alias("_n")).select(
+        "table_name", "row_id").orderBy("table_name", "row_id")
 
 
 def safe_to_reset(check: DataFrame) -> DataFrame:
     """One row: the verdict and the per-table details as JSON."""
-    detail = F.struct("total_rows", "max_updated_at", "recovery_rows", "expected_rows", "unexpected_rows")
+    detail = F.struct("total_rows", "max_updated_at", "recovery_rows", "expected_rows", "unexpected_rows", "missing_rows")
     return check.agg(
         F.bool_and("safe").alias("safe_to_reset"),
         F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("table_name", detail))))).alias("tables"),
     )
 
 
-def postinsert_checks(
-    t: Tables, expected_counts: dict[str, int], expected_rows: dict[str, dict]
-) -> DataFrame:
-    """``(check_name, expected, actual, passed)`` after a change.
+def postinsert_checks(t: Tables, counts_before: dict[str, int], staged: Tables) -> DataFrame:
+    """``(check_name, expected, actual, passed)`` after a change batch, against the batch itself.
 
-    Exact counts per table, and exactly one row with the given values per entry of ``expected_rows``.
+    ``staged`` has the batch's rows of each changed table with their ``operation``.  Per table: the rows before plus the new ones; how many staged rows are in
+    the table with every value exactly as staged; and rows under a staged key that are not as staged (a lost update, a second row of a key).
     """
     parts = []
-    for name, df in t.items():
-        wanted = reduce(lambda a, b: a & b, [
-            F.col(c).eqNullSafe(F.lit(None if v is None else str(v)).cast(df.schema[c].dataType))
-            for c, v in expected_rows[name].items()
-        ])
-        # One pass for both numbers.
-        parts.append(
-            df.agg(_rows().alias("n"), F.count_if(wanted).alias("m")).select(F.inline(F.array(
-                F.struct(F.lit(f"{name}_rows").alias("check_name"),
-                         F.lit(expected_counts[name]).cast("bigint").alias("expected"), F.col("n").alias("actual")),
-                F.struct(F.lit(f"{name}_row_exact").alias("check_name"),
-                         F.lit(1).cast("bigint").alias("expected"), F.col("m").alias("actual")),
-            )))
-        )
+    for name, rows in staged.items():
+        df, fields = t[name], columns(name)
+        typed = rows.select(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in fields])
+        keys = typed.select(KEYS[name]).distinct()
+        sides = df.select(*fields).join(keys, KEYS[name], "left_semi").select(*fields, F.lit(1).alias("f"), F.lit(0).alias("e")).union(
+            typed.select(*fields, F.lit(0), F.lit(1)))
+        per_row = sides.groupBy(*fields).agg(F.sum("f").alias("f"), F.sum("e").alias("e"))
+        exact = per_row.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in (
+            ("staged", F.col("e")), ("exact", F.least("f", "e")), ("other", F.greatest(F.col("f") - F.col("e"), F.lit(0))))])
+        new = rows.agg(F.count_if(F.col("operation") == "new").alias("new"))
+        total = df.agg(_rows().alias("rows"))
+        numbers = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [exact, new, total]).agg(
+            *[F.max(c).alias(c) for c in ("staged", "exact", "other", "new", "rows")])
+
+        def check(kind: str, expected: Column, actual: Column, name: str = name) -> Column:
+            return F.struct(F.lit(f"{name}_{kind}").alias("check_name"), expected.cast("bigint").alias("expected"), actual.cast("bigint").alias("actual"))
+
+        parts.append(numbers.select(F.inline(F.array(
+            check("rows", F.lit(counts_before[name]) + F.col("new"), F.col("rows")),
+            check("rows_exact", F.col("staged"), F.col("exact")),
+            check("rows_not_as_staged", F.lit(0), F.col("other"))))))
     return _union(parts).withColumn("passed", F.col("expected") == F.col("actual"))
 
 

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledger.schemas import KEYS, TABLES
+from ledger.schemas import KEYS, TABLES, columns
 from ledger.sources.control import read_watermark_history
 from ledger.sources.raw import read_batch
 from ledger.sources.sinks import watermark_folder
 
-# The binary reader holds one file in memory; larger files get a row digest only.
-DIGEST_BYTES = 1 << 30
+# A file's hash tree: lines in leaves, leaves and nodes in nodes.  Fixed, since digests are kept and compared.
+LEAF_LINES = 1 << 14
+NODE_FAN = 1 << 12
+NODE_LEVELS = 3
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -77,38 +79,76 @@ def lake_inventory(spark: SparkSession, roots: list[str], glob: str = "*.csv") -
     ])
 
 
-def file_digests(spark: SparkSession, root: str, glob: str = "*.csv", limit: int = DIGEST_BYTES) -> DataFrame:
-    """``(path, bytes, sha256, data_rows, row_digest, order_digest)`` per file.
+def _placed_lines(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """``(path, value, at)``: lines of the files with their number in the file, whatever tasks read which part of it.
 
-    ``sha256`` covers the file's bytes and is null above ``limit`` bytes.  ``row_digest`` does not depend on row order and
-    ``order_digest``, the sum of row hashes times their places in the file, does; both work for any size.
+    A task numbers its lines in reading order; the lines of the blocks before it in the file are counted per block and added.
     """
-    files = _files(spark, root, glob)
-    small = files.filter(F.col("length") <= limit).select(
-        "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
-    )
-    large = files.filter(F.col("length") > limit).select(
-        "path", F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256")
-    )
-    rows, names = _parsed(spark, root, glob)
-    # One task reads a file from its first row to its last, so ids rise by one; less the file's first id they are places.
-    # 40 bits of a hash keep the sums inside 38 digits.
-    part, at = F.pmod("h", F.lit(1 << 40)).cast("decimal(13,0)"), F.col("id").cast("decimal(19,0)")
-    per_file = rows.select(
-        F.col("_metadata.file_path").alias("path"), F.xxhash64(*names).alias("h"), F.monotonically_increasing_id().alias("id")
-    ).groupBy("path").agg(
-        (F.count(F.lit(1)) - 1).alias("data_rows"), F.sum(F.col("h").cast("decimal(38,0)")).cast("string").alias("row_digest"),
-        (F.sum(part * at) - F.sum(part) * F.min(at)).cast("string").alias("order_digest")
-    )
-    return small.unionByName(large).join(per_file, "path", "left").withColumn(
-        "data_rows", F.coalesce("data_rows", F.lit(0))
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("lineSep", "\n").text(root)
+    placed = lines.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value",
+        F.monotonically_increasing_id().alias("id"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        placed.groupBy("path", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+        .withColumn("shift", F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).drop("n", "first")
     )
+    return placed.join(blocks, ["path", "block"]).select("path", "value", (F.col("id") + F.col("shift")).alias("at"))
+
+
+def _leaves(lines: DataFrame) -> DataFrame:
+    """``(path, leaf, digest, quotes, even, odd)``: per leaf the digest of its lines in order, whether it has an odd number of
+    quotes, and the rows that end in it if it begins outside (``even``) or inside (``odd``) a quoted text."""
+    quotes = F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))), F.lit(2))
+    blank = F.btrim("value", F.lit("\r")) == ""
+    line = F.struct("at", F.unhex(F.sha2(F.col("value").cast("binary"), 256)).alias("digest"), quotes.alias("q"), blank.alias("blank"))
+    start = F.struct(F.lit(0).alias("q"), F.lit(0).cast("bigint").alias("even"), F.lit(0).cast("bigint").alias("odd"))
+
+    def step(state, one):
+        after = (state["q"] + one["q"]) % 2
+        # A blank line outside quotes is no row; inside, it is part of one.
+        outside = F.when((after == 0) & ~(one["blank"] & (state["q"] == 0)), 1).otherwise(0)
+        inside = F.when((after == 1) & ~(one["blank"] & (state["q"] == 1)), 1).otherwise(0)
+        return F.struct(after.cast("int").alias("q"), (state["even"] + outside).alias("even"), (state["odd"] + inside).alias("odd"))
+
+    grouped = lines.select("path", F.floor(F.col("at") / LEAF_LINES).alias("leaf"), line.alias("line")).groupBy("path", "leaf").agg(
+        F.sort_array(F.collect_list("line")).alias("lines"))
+    counts = F.aggregate("lines", start, step)
+    return grouped.withColumn("counts", counts).select(
+        "path", "leaf", _joined("lines").alias("digest"), F.col("counts.q").alias("quotes"), F.col("counts.even").alias("even"), F.col("counts.odd").alias("odd"))
+
+
+def _joined(ordered: str) -> Column:
+    """Digest of the digests in order."""
+    return F.unhex(F.sha2(F.unhex(F.array_join(F.transform(ordered, lambda x: F.hex(x["digest"])), "")), 256))
+
+
+def file_digests(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+    """``(path, bytes, tree_sha256, data_rows)`` per file.
+
+    ``tree_sha256`` is the root of a hash tree over the file's lines in order: SHA-256 of each line, of each ``LEAF_LINES`` lines' digests, and of
+    up to ``NODE_FAN`` digests on each of ``NODE_LEVELS`` levels above.  It takes in every byte but a last line break, which shows in ``bytes``, and does not depend on how
+    Spark splits the file, so files of any size are read by many tasks on one path.  ``data_rows`` counts the rows of texts with doubled
+    quotes, whose line breaks inside quotes end no row, less the header.
+    """
+    files = _files(spark, root, glob).select("path", F.col("length").alias("bytes"))
+    leaves = _leaves(_placed_lines(spark, root, glob))
+    before = Window.partitionBy("path").orderBy("leaf").rowsBetween(Window.unboundedPreceding, -1)
+    rows = leaves.select("path", "even", "odd", F.pmod(F.coalesce(F.sum("quotes").over(before), F.lit(0)), F.lit(2)).alias("begins")).groupBy("path").agg(
+        F.sum(F.when(F.col("begins") == 0, F.col("even")).otherwise(F.col("odd"))).alias("rows"))
+    nodes = leaves.select("path", F.col("leaf").alias("at"), "digest")
+    for _ in range(NODE_LEVELS):
+        nodes = nodes.groupBy("path", F.floor(F.col("at") / NODE_FAN).alias("up")).agg(
+            F.sort_array(F.collect_list(F.struct("at", "digest"))).alias("below")).select("path", F.col("up").alias("at"), _joined("below").alias("digest"))
+    found = nodes.select("path", F.lower(F.hex("digest")).alias("tree_sha256")).join(rows, "path")
+    return files.join(found, "path", "left").select(
+        "path", "bytes", F.coalesce("tree_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("tree_sha256"),
+        F.greatest(F.coalesce("rows", F.lit(0)) - 1, F.lit(0)).alias("data_rows"))
 
 
 def compare_digests(before: DataFrame, after: DataFrame) -> DataFrame:
     """``(path, unchanged)`` over the files of either side."""
-    same = F.col("b.bytes").eqNullSafe(F.col("a.bytes")) & F.col("b.row_digest").eqNullSafe(F.col("a.row_digest")) \
-        & F.col("b.order_digest").eqNullSafe(F.col("a.order_digest")) & F.col("b.sha256").eqNullSafe(F.col("a.sha256")) \
+    same = F.col("b.bytes").eqNullSafe(F.col("a.bytes")) & F.col("b.tree_sha256").eqNullSafe(F.col("a.tree_sha256")) \
         & F.col("b.path").isNotNull() & F.col("a.path").isNotNull()
     return before.alias("b").join(after.alias("a"), F.col("b.path") == F.col("a.path"), "full").select(
         F.coalesce("b.path", "a.path").alias("path"), same.alias("unchanged")
@@ -176,29 +216,110 @@ def batch_digests(spark: SparkSession, root: str, watermark: str | dict[str, str
     ])
 
 
-def rerun_idempotency(
-    before: DataFrame, after: DataFrame, second: DataFrame, first_id: str, second_id: str,
-    watermarks_ok: bool, source_ok: bool,
+def batch_snapshot(spark: SparkSession, root: str, watermark: str | dict[str, str], run_id: str) -> DataFrame:
+    """``(table_name, row_key, row_digest, copies)`` of a batch's rows as they lie in the lake now.
+
+    Kept before a rerun and taken again after it, it proves what the rerun left alone, down to single keys.
+    """
+    return _union([
+        read_batch(spark, root, t, _folder(watermark, t), run_id).select(
+            F.lit(t).alias("table_name"), F.col(KEYS[t]).alias("row_key"), F.sha2(F.to_json(F.struct(*columns(t))), 256).alias("row_digest"))
+        for t in TABLES
+    ]).groupBy("table_name", "row_key", "row_digest").agg(F.count(F.lit(1)).alias("copies"))
+
+
+SNAPSHOT_BUCKETS = 4096
+
+
+def changed_keys(before: DataFrame, after: DataFrame, buckets: int = SNAPSHOT_BUCKETS) -> DataFrame:
+    """``(table_name, row_key, change)`` with change ``added``, ``removed`` or ``changed``, over two snapshots.
+
+    Both are first added up per bucket of keys; only buckets that differ are compared key by key, so equal snapshots shuffle
+    one row per bucket and task.
+    """
+    bucket = F.pmod(F.xxhash64("row_key"), F.lit(buckets))
+    both = [df.withColumn("_bucket", bucket) for df in (before, after)]
+    # Two independent sums of hashes; each snapshot row is unique.
+    parts = [F.xxhash64("row_key", "row_digest", "copies").cast("decimal(38,0)"), F.xxhash64("copies", "row_digest", "row_key").cast("decimal(38,0)")]
+    sums = [df.groupBy("table_name", "_bucket").agg(*[F.sum(p).alias(f"_s{i}") for i, p in enumerate(parts)], F.sum("copies").alias("_n")) for df in both]
+    names = ["_s0", "_s1", "_n"]
+    signed = [sums[0].select("table_name", "_bucket", *names), sums[1].select("table_name", "_bucket", *[(-F.col(c)).alias(c) for c in names])]
+    differ = _union(signed).groupBy("table_name", "_bucket").agg(*[F.sum(c).alias(c) for c in names]).filter(
+        (F.col("_s0") != 0) | (F.col("_s1") != 0) | (F.col("_n") != 0)).select("table_name", "_bucket")
+    rows = _union([
+        df.join(differ, ["table_name", "_bucket"], "left_semi").select("table_name", "row_key", "row_digest", "copies", F.lit(side).alias("side"))
+        for df, side in zip(both, (-1, 1), strict=True)])
+    per_row = rows.groupBy("table_name", "row_key", "row_digest").agg(
+        F.sum(F.col("side") * F.col("copies")).alias("n"), F.count_if(F.col("side") < 0).alias("was"), F.count_if(F.col("side") > 0).alias("is"))
+    return per_row.groupBy("table_name", "row_key").agg(F.sum("was").alias("was"), F.sum("is").alias("is"), F.count_if(F.col("n") != 0).alias("off")).filter(
+        F.col("off") > 0).select("table_name", "row_key", F.when(F.col("was") == 0, "added").when(F.col("is") == 0, "removed").otherwise("changed").alias("change"))
+
+
+def rerun_proof(
+    spark: SparkSession, root: str, watermark: str | dict[str, str], first_id: str, second_id: str, before_files: DataFrame, before_rows: DataFrame,
+    source_before: DataFrame, source_after: DataFrame, expected_marks: DataFrame,
 ) -> DataFrame:
-    """Verdicts ``(check_name, passed)`` on a run followed by a rerun.
+    """Is a run unharmed by the rerun after it?  One row per table, all worked out from the lake and from what was kept before the rerun.
 
-    ``before`` and ``after`` are digests of the first run's files around the second run, ``second`` those
-    of the second run's files.
+    ``before_files`` are :func:`batch_digests` and ``before_rows`` the :func:`batch_snapshot` of the first run, taken before the rerun;
+    ``source_before`` and ``source_after`` have ``(table_name, source_rows)``, ``expected_marks`` ``(table_name, watermark)`` as text.
+    Counts of keys before and after, changed keys (:func:`changed_keys` names them), changed files, rows of the rerun's own files, misplaced files,
+    control rows of both runs, source totals, the current mark and who set it, and ``passed``.
     """
-    unchanged = compare_digests(before, after).agg(F.bool_and("unchanged").alias("passed")).select(
-        F.lit("first_run_files_unchanged").alias("check_name"), "passed"
-    )
-    separate = second.agg(
-        F.bool_and(F.contains("path", F.lit(f"run_id={second_id}")) & (F.col("data_rows") == 0)).alias("passed")
-    ).select(F.lit("second_run_files_separate_and_empty").alias("check_name"), "passed")
-    located = before.agg(F.bool_and(F.contains("path", F.lit(f"run_id={first_id}"))).alias("passed")).select(
-        F.lit("first_run_files_located").alias("check_name"), "passed"
-    )
-    fixed = before.sparkSession.createDataFrame(
-        [("run_ids_unique", first_id != second_id), ("watermarks_as_expected", watermarks_ok),
-         ("source_unchanged", source_ok)], "check_name string, passed boolean",
-    )
-    return _union([unchanged, separate, located, fixed]).withColumn("passed", F.coalesce("passed", F.lit(False)))
+    after_files = batch_digests(spark, root, watermark, first_id)
+    second = batch_digests(spark, root, watermark, second_id)
+    after_rows = batch_snapshot(spark, root, watermark, first_id)
+    history = read_watermark_history(spark, root)
+
+    def per_table(df: DataFrame, *cells: Column) -> DataFrame:
+        return df.groupBy("table_name").agg(*cells)
+
+    table_of = _union([before_files.select("path", "table_name"), after_files.select("path", "table_name")]).distinct()
+    files = compare_digests(before_files, after_files).join(table_of, "path")
+    first_folder, second_folder = F.lit(f"/run_id={first_id}/"), F.lit(f"/run_id={second_id}/")
+    current = history.agg(F.max_by(F.struct("*"), F.struct(F.col("completed_at").cast("timestamp"), "last_successful_run_id")).alias("c")).select("c.*")
+    marks = _union([current.select(F.lit(t).alias("table_name"), F.col(f"{t}_watermark").alias("current_watermark"), "last_successful_run_id") for t in TABLES])
+    runs = history.agg(*[F.count_if(F.col("last_successful_run_id") == r).alias(n) for r, n in ((first_id, "first_control_rows"), (second_id, "rerun_control_rows"))])
+    parts = [
+        per_table(before_rows, F.sum("copies").alias("rows_before"), F.count_distinct("row_key").alias("keys_before")),
+        per_table(after_rows, F.sum("copies").alias("rows_after"), F.count_distinct("row_key").alias("keys_after")),
+        per_table(changed_keys(before_rows, after_rows), F.count(F.lit(1)).alias("changed_keys")),
+        per_table(files, F.count_if(~F.col("unchanged")).alias("changed_files")),
+        per_table(before_files, F.count_if(~F.contains("path", first_folder)).alias("misplaced_files")),
+        per_table(second, F.sum("data_rows").alias("rerun_rows"), F.count_if(~F.contains("path", second_folder)).alias("misplaced_rerun_files")),
+        source_before.select("table_name", F.col("source_rows").alias("source_rows_before")),
+        source_after.select("table_name", F.col("source_rows").alias("source_rows_after")),
+        marks, _union([runs.select(F.lit(t).alias("table_name"), "*") for t in TABLES]), expected_marks.select("table_name", F.col("watermark").alias("expected_watermark")),
+    ]
+    out = spark.createDataFrame([(t,) for t in TABLES], "table_name string")
+    for part in parts:
+        out = out.join(part, "table_name", "left")
+    counts = [c for c, kind in out.dtypes if kind == "bigint"]
+    out = out.fillna(0, counts)
+    same_mark = F.col("current_watermark").cast("timestamp") == F.col("expected_watermark").cast("timestamp")
+    checks = [
+        F.col("rows_before") == F.col("rows_after"), F.col("keys_before") == F.col("keys_after"), F.col("source_rows_before") == F.col("source_rows_after"),
+        *[F.col(c) == 0 for c in ("changed_keys", "changed_files", "misplaced_files", "misplaced_rerun_files", "rerun_rows")],
+        F.col("first_control_rows") == 1, F.col("rerun_control_rows") == 1, F.col("last_successful_run_id") == second_id, same_mark,
+    ]
+    passed = reduce(lambda a, b: a & b, [F.coalesce(c, F.lit(False)) for c in checks])
+    return out.withColumn("watermark_ok", F.coalesce(same_mark, F.lit(False))).withColumn("passed", passed).select(
+        "table_name", *counts, "last_successful_run_id", "watermark_ok", "passed")
+
+
+def rerun_idempotency(proof: DataFrame) -> DataFrame:
+    """Verdicts ``(check_name, passed)`` over all tables of a :func:`rerun_proof`, and their conjunction as ``status``."""
+    checks = {
+        "first_run_files_unchanged": (F.col("changed_files") == 0) & (F.col("changed_keys") == 0) & (F.col("rows_before") == F.col("rows_after")),
+        "second_run_files_separate_and_empty": (F.col("rerun_rows") == 0) & (F.col("misplaced_rerun_files") == 0),
+        "first_run_files_located": F.col("misplaced_files") == 0,
+        "run_ids_unique": (F.col("first_control_rows") == 1) & (F.col("rerun_control_rows") == 1),
+        "watermarks_as_expected": F.col("watermark_ok"),
+        "source_unchanged": F.col("source_rows_before") == F.col("source_rows_after"),
+        "status": F.col("passed"),
+    }
+    sums = proof.agg(*[F.coalesce(F.bool_and(c), F.lit(False)).alias(n) for n, c in checks.items()])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("passed")) for n in checks])))
 
 
 # Names of the activities in run records.

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledger.session import scratch, stage
-
 
 def shuffled_apart(df: DataFrame, key: str) -> DataFrame:
     """Make the next join on the integer ``key`` shuffle ``df`` for itself.
@@ -81,22 +79,30 @@ def with_older_flag(df: DataFrame, key: str, version: list[str], flag: str) -> D
     )
 
 
+#: Ranges that the distinct values of a rank are dealt into.
+RANGES = 128
+
+
 def with_dense_rank(df: DataFrame, value: str, rank: str, group: str | None = None) -> DataFrame:
-    """Add ``rank``: dense rank of ``value``, highest first, overall or within ``group``.
+    """Add ``rank``: dense rank of ``value``, highest first and null last, overall or within ``group``.
 
-    Only distinct values are ranked, and only they are written.  They are dealt into ranges, numbered inside each range, and shifted
-    by the number of distinct values in the higher ranges: a table of one row per range and group.  The ranges only
-    steer the split; the ranks are exact wherever they fall.
+    Only distinct values are ranked.  They are dealt into ranges, numbered inside each range, and shifted
+    by the number of distinct values in the higher ranges: a table of one row per range and group.  The ranges are cut at the values with
+    the smallest hashes, a sample that tasks keep to its size and that comes out the same however often it is taken, so all parts of the plan agree
+    on it without a written copy.  The cuts only steer the split; the ranks are exact wherever they fall.
     """
     by = [group] if group else []
     keys = [*by, value]
-    values = df.select(*keys).distinct().repartitionByRange(*by, F.col(value).desc())
-    values = stage(values.withColumn("_band", F.spark_partition_id()), scratch(df.sparkSession, "rank"))
+    values = df.select(*keys).distinct()
+    sample = values.filter(F.col(value).isNotNull()).orderBy(F.xxhash64(value), *keys).limit(RANGES - 1)
+    cuts = sample.agg(F.sort_array(F.collect_set(value)).alias("cuts")).scalar()
+    band = F.when(F.col(value).isNull(), F.lit(RANGES)).otherwise(F.size(F.filter("_cuts", lambda c: c > F.col(value))))
+    values = values.withColumn("_cuts", cuts).withColumn("_band", band).drop("_cuts")
     sizes = values.groupBy(*by, "_band").agg(F.count(F.lit(1)).alias("_size"))
     higher = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
         *[F.col(k).alias(f"_{k}") for k in by], F.col("_band").alias("_b"), F.coalesce(F.sum("_size").over(higher), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy(*by, "_band").orderBy(F.col(value).desc())
+    inside = Window.partitionBy(*by, "_band").orderBy(F.col(value).desc_nulls_last())
     ranked = (
         values.withColumn("_inside", F.row_number().over(inside))
         .join(shifts, on=[F.col("_band") == F.col("_b"), *[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]])

@@ -11,7 +11,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on.  A skewed shuffle partition of a join is split by
-# AQE even when the split costs one more exchange above it.
+# AQE even when the split costs one more exchange above it.  A stage whose code comes out as one method too long for
+# the just-in-time compiler (8000 bytes) is generated in smaller methods instead.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -20,6 +21,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -1,6 +1,7 @@
 """Full load, windows, guards, reruns, upserts."""
 
 import json
+import shutil
 from datetime import datetime
 from pathlib import Path
 
@@ -45,8 +46,9 @@ def lake(spark, tmp_path_factory):
     src = source(spark, tmp / "s2", **{t: BASE[t] + NEW[t] for t in TABLES})
     one = load.incremental_load(spark, src, root, "run-1")
     before = inventory.batch_digests(spark, root, NEW_AT, "run-1").collect()
+    rows = inventory.batch_snapshot(spark, root, NEW_AT, "run-1").collect()
     two = load.incremental_load(spark, src, root, "run-2")
-    return {"tmp": tmp, "root": root, "src": src, "full": first, "one": one, "two": two, "before": before}
+    return {"tmp": tmp, "root": root, "src": src, "full": first, "one": one, "two": two, "before": before, "rows": rows}
 
 
 def test_full_load_counts(lake):
@@ -73,35 +75,90 @@ def test_batch_folders(spark, lake):
         assert len(texts) == 1 and texts[0].strip() == ",".join(f'"{c}"' for c in columns(table))
 
 
+def proof(spark, lake, **change):
+    files = inventory.batch_digests(spark, lake["root"], NEW_AT, "run-1")
+    rows = inventory.batch_snapshot(spark, lake["root"], NEW_AT, "run-1")
+    totals = inc.source_counts(load.tables_of(spark, lake["src"]))
+    given = {
+        "before_files": spark.createDataFrame(lake["before"], files.schema), "before_rows": spark.createDataFrame(lake["rows"], rows.schema),
+        "source_before": totals, "source_after": totals, "expected_marks": spark.createDataFrame([(t, NEW_AT) for t in TABLES], "table_name string, watermark string"),
+        "first_id": "run-1", "second_id": "run-2",
+    }
+    given.update({k: f(given[k]) if callable(f) else f for k, f in change.items()})
+    found = inventory.rerun_proof(spark, lake["root"], NEW_AT, **given)
+    return {r["table_name"]: r for r in found.collect()}, {r["check_name"]: r["passed"] for r in inventory.rerun_idempotency(found).collect()}
+
+
 def test_rerun_left_first_files_alone(spark, lake):
-    after = inventory.batch_digests(spark, lake["root"], NEW_AT, "run-1")
-    before = spark.createDataFrame(lake["before"], after.schema)
-    second = inventory.batch_digests(spark, lake["root"], NEW_AT, "run-2")
-    checks = inventory.rerun_idempotency(before, after, second, "run-1", "run-2", True, True)
-    assert all(r["passed"] for r in checks.collect()) and checks.count() == 6
-    broken = before.withColumn("row_digest", F.lit("1"))
-    assert not any(r["unchanged"] for r in inventory.compare_digests(broken, after).collect())
-
-
-def test_reordered_rows_show_above_the_size_of_sha256(spark, tmp_path):
-    names = [f"f{i}.csv" for i in range(6)]
-    for i, name in enumerate(names):
-        (tmp_path / name).write_text("k,v\n" + "".join(f"{j},x{i}\n" for j in range(10, 40)))
-    (tmp_path / "quoted.csv").write_text('k,v\n1,"a\nb"\n2,c\n')
-    found = inventory.file_digests(spark, str(tmp_path), limit=0)
-    before = spark.createDataFrame(found.collect(), found.schema)
-    (tmp_path / "f2.csv").write_text("k,v\n" + "".join(f"{j},x2\n" for j in [11, 10, *range(12, 40)]))
-    # The files share tasks in another way now, and no place may change with that.
-    spark.conf.set("spark.sql.files.openCostInBytes", "1")
-    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    tables, checks = proof(spark, lake)
+    assert len(checks) == 7 and all(checks.values()) and all(r["passed"] for r in tables.values())
+    assert {(r["rows_before"], r["keys_after"], r["rerun_rows"], r["changed_keys"]) for r in tables.values()} == {(1, 1, 0, 0)}
+    assert tables["orders"]["source_rows_after"] == 3
+
+
+@pytest.mark.parametrize(("change", "failed"), [
+    ({"before_files": lambda df: df.withColumn("tree_sha256", F.reverse("tree_sha256"))}, "first_run_files_unchanged"),
+    ({"before_rows": lambda df: df.withColumn("row_digest", F.lit("other"))}, "first_run_files_unchanged"),
+    ({"before_rows": lambda df: df.withColumn("row_key", F.lit("9"))}, "first_run_files_unchanged"),
+    ({"source_before": lambda df: df.withColumn("source_rows", F.col("source_rows") + 1)}, "source_unchanged"),
+    ({"source_after": lambda df: df.limit(0)}, "source_unchanged"),
+    ({"expected_marks": lambda df: df.withColumn("watermark", F.lit("2020-01-01 00:00:00"))}, "watermarks_as_expected"),
+    ({"before_files": lambda df: df.withColumn("path", F.replace("path", F.lit("run-1"), F.lit("run-0")))}, "first_run_files_located"),
+    ({"second_id": "run-1"}, "second_run_files_separate_and_empty"),
+])
+def test_every_verdict_can_fail(spark, lake, change, failed):
+    tables, checks = proof(spark, lake, **change)
+    assert not checks[failed] and not checks["status"] and not any(r["passed"] for r in tables.values())
+
+
+def test_changed_keys_are_named(spark, lake):
+    schema = "table_name string, row_key string, row_digest string, copies bigint"
+    before = [("orders", str(i), f"d{i}", 1) for i in range(500)] + [("payments", "1", "a", 1), ("payments", "1", "b", 1)]
+    after = [r for r in before if r[1] != "7"] + [("orders", "900", "new", 1)]
+    after = [(t, k, "other", n) if (t, k) == ("orders", "33") else (t, k, d, 2) if (t, k, d) == ("payments", "1", "b") else (t, k, d, n) for t, k, d, n in after]
+    found = inventory.changed_keys(spark.createDataFrame(before, schema), spark.createDataFrame(after, schema), buckets=16)
+    assert {tuple(r) for r in found.collect()} == {("orders", "7", "removed"), ("orders", "900", "added"), ("orders", "33", "changed"), ("payments", "1", "changed")}
+    assert inventory.changed_keys(spark.createDataFrame(before, schema), spark.createDataFrame(before[::-1], schema)).count() == 0
+
+
+def test_digests_do_not_depend_on_splits_and_see_order(spark, tmp_path):
+    body = "".join(f"{j},x\n" for j in range(40_000))
+    texts = {
+        "long.csv": "k,v\n" + body, "quoted.csv": 'k,v\n1,"a\n\nb"\n2,"c ""d"" \n"\n\n3,e\n', "last.csv": "k,v\n1,2", "header.csv": "k,v\n", "empty.csv": "", "crlf.csv": "k,v\r\n1,2\r\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+
+    def digests():
+        return {r.path.rsplit("/", 1)[1]: (r.bytes, r.tree_sha256, r.data_rows) for r in inventory.file_digests(spark, str(tmp_path)).collect()}
+
+    before = digests()
+    assert {n: d[2] for n, d in before.items()} == {"long.csv": 40_000, "quoted.csv": 3, "last.csv": 1, "header.csv": 0, "empty.csv": 0, "crlf.csv": 1}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
     try:
-        after = inventory.file_digests(spark, str(tmp_path), limit=0)
-        got = {r.path.rsplit("/", 1)[1]: r.unchanged for r in inventory.compare_digests(before, after).collect()}
-        assert all(r.sha256 is None for r in after.collect())
+        assert spark.read.text(f"{tmp_path}/long.csv").rdd.getNumPartitions() > 20
+        assert digests() == before
+        lines = body.split("\n")
+        lines[29_000], lines[39_000] = lines[39_000], lines[29_000]
+        (tmp_path / "long.csv").write_text("k,v\n" + "\n".join(lines))
+        changed = digests()
     finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-        spark.conf.unset("spark.sql.files.minPartitionNum")
-    assert got == {**dict.fromkeys([*names, "quoted.csv"], True), "f2.csv": False}
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert changed["long.csv"][::2] == before["long.csv"][::2] and {n for n in texts if changed[n] != before[n]} == {"long.csv"}
+    (tmp_path / "long.csv").write_text("k,v\n" + body[:-2] + "y\n")
+    assert digests()["long.csv"] != before["long.csv"]
+
+
+def test_a_changed_file_is_found(spark, lake, tmp_path):
+    root = tmp_path / "copy"
+    shutil.copytree(lake["root"], root)
+    before = inventory.batch_digests(spark, str(root), NEW_AT, "run-1")
+    kept = spark.createDataFrame(before.collect(), before.schema)
+    part = next(f for f in root.glob("orders/incremental/*/run_id=run-1/part*") if f.stat().st_size)
+    part.write_text(part.read_text().replace("completed", "cancelled"))
+    (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    after = inventory.batch_digests(spark, str(root), NEW_AT, "run-1")
+    assert {r.path.rsplit("/", 1)[1] for r in inventory.compare_digests(kept, after).collect() if not r.unchanged} == {part.name}
 
 
 def expected_rows(spark, keys: dict, at: str = NEW_AT):
@@ -193,17 +250,21 @@ def test_window_never_goes_back(spark):
 def test_restore_needs_a_safe_check(spark, lake):
     t = load.tables_of(spark, lake["src"])
     marks = dict.fromkeys(TABLES, "2026-01-01 00:00:00")
-    wanted = {t_: ([NEW[t_][0][KEYS[t_]]], NEW_AT) for t_ in TABLES}
+    schema = "table_name string, row_id bigint, updated_at string"
+    rows = [(t_, int(NEW[t_][0][KEYS[t_]]), NEW_AT) for t_ in TABLES]
+    wanted = spark.createDataFrame(rows, schema)
+    other = spark.createDataFrame([r for r in rows if r[0] != "orders"] + [("orders", 1, NEW_AT)], schema)
     check = inc.recovery_check(t, marks, wanted)
     assert all(r["safe"] for r in check.collect())
     verdict = inc.safe_to_reset(check).first()
     assert verdict["safe_to_reset"] and json.loads(verdict["tables"])["orders"]["recovery_rows"] == 1
     load.restore_watermarks(spark, lake["root"], "reset", marks, check)
     assert read_watermarks(spark, lake["root"]).first()["orders_watermark"] == "2026-01-01 00:00:00.000000"
-    bad = inc.recovery_check(t, marks, {**wanted, "orders": ([1], NEW_AT)})
+    bad = inc.recovery_check(t, marks, other)
     with pytest.raises(inc.LoadError, match="RESET_NOT_SAFE"):
         load.restore_watermarks(spark, lake["root"], "reset-2", marks, bad)
-    left = inc.unexpected_rows(t, marks, {**wanted, "orders": ([1], NEW_AT)}).collect()
+    left = inc.unexpected_rows(t, marks, other).collect()
+    assert {r["table_name"]: r["missing_rows"] for r in bad.collect()}["orders"] == 1
     assert [(r["table_name"], r["row_id"]) for r in left] == [("orders", 3)]
 
 
@@ -231,7 +292,12 @@ def test_change_batch(spark, tmp_path):
 
 def test_state_checks(spark):
     t = {"orders": typed(spark, "orders", [h.order(1)]), "payments": typed(spark, "payments", [h.payment(1, 1)])}
-    inc.assert_state(t, {"orders": 1, "payments": 1}, stored="2025-01-01", expected_mark="2025-01-01", new_ids={"orders": [5]})
+    inc.assert_state(t, {"orders": 1, "payments": 1}, stored="2025-01-01", expected_mark="2025-01-01",
+                     incoming={"orders": typed(spark, "orders", [h.order(5)])})
+    taken = inc.batch_preconditions({**t, "customers": typed(spark, "customers", [h.customer(1)])}, {}, incoming={
+        "orders": typed(spark, "orders", [h.order(1), h.order(7)]), "customers": typed(spark, "customers", [h.customer(9, email="c1@example.test")])}).collect()
+    assert {r["check_name"]: (r["actual"], r["passed"]) for r in taken} == {
+        "orders_ids_free": ("1", False), "customers_ids_free": ("0", True), "customers_email_free": ("1", False)}
     with pytest.raises(inc.LoadError, match="orders_rows.*stored_watermark"):
         inc.assert_state(t, {"orders": 2, "payments": 1}, stored="2025-01-01", expected_mark="2025-01-02")
     with pytest.raises(inc.LoadError, match="EXTRACTION"):
@@ -241,13 +307,18 @@ def test_state_checks(spark):
 
 
 def test_postinsert(spark):
-    t = {name: typed(spark, name, rows) for name, rows in NEW.items()}
-    good = inc.postinsert_checks(t, dict.fromkeys(TABLES, 1), {
-        "customers": {"customer_id": 2, "updated_at": NEW_AT}, "products": {"product_id": 2}, "payments": {"payment_id": 2, "order_id": 3},
-        "orders": {"order_id": 3, "customer_id": 2, "product_id": 2, "order_status": "completed"},
-    })
-    assert all(r["passed"] for r in good.collect())
-    report = json.loads(inc.postinsert_report(t, {"customers": 2, "products": 2, "orders": 3, "payments": 2}).first()["report"])
+    t = {name: typed(spark, name, BASE[name] + rows) for name, rows in NEW.items()}
+    before = {name: len(rows) for name, rows in BASE.items()}
+    staged = {name: typed(spark, name, rows).withColumn("operation", F.lit("new")) for name, rows in NEW.items()}
+
+    def failed(**change):
+        return {r["check_name"] for r in inc.postinsert_checks({**t, **change}, before, staged).collect() if not r["passed"]}
+
+    assert failed() == set() and inc.postinsert_checks(t, before, staged).count() == 12
+    assert failed(orders=typed(spark, "orders", BASE["orders"])) == {"orders_rows", "orders_rows_exact"}
+    assert failed(orders=typed(spark, "orders", [*BASE["orders"], {**NEW["orders"][0], "order_status": "pending"}])) == {"orders_rows_exact", "orders_rows_not_as_staged"}
+    assert failed(payments=typed(spark, "payments", [*BASE["payments"], NEW["payments"][0], NEW["payments"][0]])) == {"payments_rows", "payments_rows_not_as_staged"}
+    report = json.loads(inc.postinsert_report({n: typed(spark, n, rows) for n, rows in NEW.items()}, {"customers": 2, "products": 2, "orders": 3, "payments": 2}).first()["report"])
     assert report["same_timestamp"] and report["relationships_valid"] and report["confirmed_orders"] == 1
     assert report["counts_after"] == dict.fromkeys(TABLES, 1)
 

@@ -80,3 +80,26 @@ def test_offset_is_utc():
 
     assert mark_text("2026-08-15T03:25:37+05:30") == "2026-08-14 21:55:37.000000"
     assert mark_text(datetime(2026, 1, 1, tzinfo=timezone.utc)) == "2026-01-01 00:00:00.000000"
+
+
+ISO = [
+    "20240131", "20240131T10", "20240131 1030", "20240131T103015.5", "20240131T103015,1234567", "2024-01-31x10:30", "2024-01-31T10:30:15,25", "2024-01-31T10",
+    "2024-01-31T10+05", "2024-01-31T10:00+0530", "2024-01-31T10:00-05:30:15", "2024-01-31T1030", "20240131T10:30", "2024-01-31T10.5", "2024-01-31 10:00:00.123456789",
+    "2024-01-31T10:00-00:00", "2024-W01", "2024W01", "2024-W01-3", "2024W013", "2020-W53-7", "2024-W01T10", "2024W01T10", "2024-W01-3T10:00", "2024-W09-4 101530Z", "2024-01-31T10Z",
+    "0001-01-02", "9999-12-31T23:59:59.999999", "2024-W53-1", "2024-W01-0", "2024-W01-8", "2024-W00-1", "2024-01-31T", "2024-W01-", "2024-01", "2024-001", "2024-01-31T10:3015",
+    "2024-01-31T1030:15", "2024-0131", "20240230", "2024-01-31T25", "2024-01-31T10:60", "2024-01-31T10:00:00.", "2024-01-31T10:00+5", "2024-1-31", "24-01-31",
+    "2024-01-31T10:00+05:3015", "2024-01-31TT10", "2024W1", "2024-W013", "2024W01-3", "T10:00",
+]
+
+
+def test_shapes_of_timestamps_as_the_standard_library_reads_them(spark):
+    typed, reason = R.parse_ts("f")
+    rows = spark.createDataFrame([(t,) for t in ISO], "f string").select("f", R.utc_iso(typed).alias("t"), reason.alias("r")).collect()
+    for row in rows:
+        try:
+            value = datetime.fromisoformat(row["f"].replace("Z", "+00:00"))
+        except ValueError:
+            assert (row["t"], row["r"]) == (None, "INVALID_TIMESTAMP_F"), row["f"]
+            continue
+        value = value.replace(tzinfo=value.tzinfo or timezone.utc).astimezone(timezone.utc)
+        assert (row["t"], row["r"]) == (value.isoformat(timespec="microseconds"), None), row["f"]
