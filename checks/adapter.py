@@ -92,8 +92,10 @@ SELECT CASE WHEN product_id % 211 = 0 THEN '0' WHEN product_id % 223 = 0 THEN '5
   CASE WHEN product_id % 101 = 0 THEN '' ELSE category END AS category,
   brand,
   CASE WHEN product_id % 83 = 0 THEN '-1.00' WHEN product_id % 89 = 0 THEN 'Infinity' WHEN product_id % 97 = 0 THEN ''
+       WHEN product_id % 53 = 0 THEN '1234567890123456789012345' WHEN product_id % 59 = 0 THEN '1e-7' WHEN product_id % 61 = 0 THEN '1.0000009'
        WHEN product_id % 7 = 0 THEN ' +' || CAST(unit_price AS STRING) ELSE CAST(unit_price AS STRING) END AS unit_price,
-  CAST(created_at AS STRING) || '.0000000' AS created_at,
+  CASE product_id % 9 WHEN 0 THEN '19950101' WHEN 1 THEN '1994-W52-7' WHEN 2 THEN '19950101T000000' WHEN 3 THEN '1995-01-01T00:00:00+00' WHEN 4 THEN '1995-01-01x05:30+0530'
+       ELSE CAST(created_at AS STRING) || '.0000000' END AS created_at,
   CASE WHEN product_id % 103 = 0 THEN '1994-12-31' WHEN product_id % 107 = 0 THEN 'soon' ELSE CAST(updated_at AS STRING) || '.0000000' END AS updated_at,
   _seq
 FROM {raw_products}
@@ -104,7 +106,8 @@ SELECT CASE WHEN order_id % 1009 = 0 THEN '-' || CAST(order_id AS STRING) WHEN o
   CASE WHEN order_id % 157 = 0 THEN '12x' ELSE coalesce(CAST(customer_id AS STRING), '') END AS customer_id,
   coalesce(CAST(product_id AS STRING), '') AS product_id,
   CASE WHEN order_id % 137 = 0 THEN 'abc' WHEN order_id % 163 = 0 THEN '' ELSE ' ' || CAST(quantity AS STRING) END AS quantity,
-  CASE WHEN order_id % 139 = 0 THEN 'NaN' WHEN order_id % 167 = 0 THEN '0.00' ELSE CAST(unit_price AS STRING) END AS unit_price,
+  CASE WHEN order_id % 139 = 0 THEN 'NaN' WHEN order_id % 167 = 0 THEN '0.00' WHEN order_id % 173 = 0 THEN CAST(unit_price AS STRING) || '0000001'
+       WHEN order_id % 179 = 0 THEN CAST(unit_price AS STRING) || 'e0' ELSE CAST(unit_price AS STRING) END AS unit_price,
   CASE WHEN order_id % 151 = 0 THEN '  ' ELSE order_status END AS order_status,
   CASE WHEN order_id % 149 = 0 THEN 'not-a-date' ELSE CAST(created_at AS STRING) || '.0000000' END AS created_at,
   CAST(updated_at AS STRING) || '.0000000' AS updated_at, _seq

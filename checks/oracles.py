@@ -154,6 +154,12 @@ INT = r"^[+-]?[0-9]+(_[0-9]+)*$"
 DEC = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 TS = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$"
 
+SHAPES = {
+    r"^[0-9]{8}$": "strptime({s}, '%Y%m%d')", r"^[0-9]{8}T[0-9]{6}$": "strptime({s}, '%Y%m%dT%H%M%S')", r"^[0-9]{4}-W[0-9]{2}-[1-7]$": "strptime({s}, '%G-W%V-%u')",
+    r"^[0-9-]{10}T[0-9:]{8}[+]00$": "TRY_CAST(replace({s}, '+00', '') AS TIMESTAMP)",
+    r"^[0-9-]{10}x[0-9:]{5}[+]0530$": "TRY_CAST(replace(replace({s}, 'x', ' '), '+0530', ':00') AS TIMESTAMP) - INTERVAL '330' MINUTE",
+}
+
 KINDS = {
     "customers": {"customer_id": "int", "customer_name": "text", "email": "text", "city": "text", "state": "text",
                   "created_at": "ts", "updated_at": "ts"},
@@ -206,23 +212,26 @@ def _typed(field: str, kind: str) -> str:
     if kind in ("int", "opt"):
         return f"CASE WHEN regexp_matches({s}, '{INT}') THEN TRY_CAST(replace({s}, '_', '') AS BIGINT) END"
     if kind == "dec":
-        return f"CASE WHEN regexp_matches({s}, '{DEC}') THEN TRY_CAST({s} AS DECIMAL(18,6)) END"
+        return f"CASE WHEN regexp_matches({s}, '{DEC}') AND TRY_CAST({s} AS DECIMAL(18,6)) = TRY_CAST({s} AS DECIMAL(38,18)) THEN TRY_CAST({s} AS DECIMAL(18,6)) END"
     if kind == "ts":
-        return f"CASE WHEN regexp_matches({s}, '{TS}') THEN TRY_CAST({s} AS TIMESTAMP) END"
+        # The planted shapes that the engine does not read itself.
+        other = " ".join(f"WHEN regexp_matches({s}, '{shape}') THEN {value.format(s=s)}" for shape, value in SHAPES.items())
+        return f"CASE WHEN regexp_matches({s}, '{TS}') THEN TRY_CAST({s} AS TIMESTAMP) {other} END"
     return s
 
 
 def _parse_reason(field: str, kind: str) -> str:
     word = {"int": "INTEGER", "opt": "INTEGER", "dec": "DECIMAL", "ts": "TIMESTAMP"}.get(kind)
     missing = "" if kind == "opt" else f"WHEN s_{field} IS NULL THEN 'MISSING_REQUIRED_{field.upper()}' "
-    bad = f"WHEN s_{field} IS NOT NULL AND t_{field} IS NULL THEN 'INVALID_{word}_{field.upper()}' " if word else ""
+    wide = f" AND NOT regexp_matches(s_{field}, '{DEC}')" if kind == "dec" else ""
+    bad = f"WHEN s_{field} IS NOT NULL AND t_{field} IS NULL{wide} THEN 'INVALID_{word}_{field.upper()}' " if word else ""
     return f"CASE {missing}{bad}END"
 
 
 def typed_cte(table: str) -> list[str]:
     kinds = KINDS[table]
     strip = ", ".join(rf"nullif(regexp_replace({f}, '^\s+|\s+$', '', 'g'), '') AS s_{f}" for f in kinds)
-    types = ", ".join(f"{_typed(f, k)} AS t_{f}" for f, k in kinds.items())
+    types = ", ".join(f"{_typed(f, k)} AS t_{f}" + f", TRY_CAST(s_{f} AS DOUBLE) AS d_{f}" * (k == "dec") for f, k in kinds.items())
     reasons = [_parse_reason(f, k) for f, k in kinds.items()]
     reasons += [f"CASE WHEN {c} THEN '{r}' END" for _, _, c, r in VALUE_RULES[table]]
     return [
@@ -282,10 +291,11 @@ def cascade() -> list[str]:
         "u_payments AS (SELECT *, " + _plus(
             "r1", "t_order_id IS NOT NULL AND t_order_id NOT IN (SELECT t_order_id FROM s_orders WHERE t_order_id IS NOT NULL)",
             "UNKNOWN_ORDER_REFERENCE") + " AS r2 FROM s_payments)",
-        """lcp AS (SELECT o.t_order_id, p.t_payment_id, p.t_payment_time, p.t_payment_status, p.t_payment_amount, o.t_unit_price * o.t_quantity AS expected_amount
+        """lcp AS (SELECT o.t_order_id, p.t_payment_id, p.t_payment_time, p.t_payment_status, p.t_payment_amount, o.t_unit_price * o.t_quantity AS expected_amount,
+            p.d_payment_amount, o.d_unit_price * o.t_quantity AS d_expected
           FROM (SELECT * FROM u_orders WHERE r3 = '') o JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t_order_id
             ORDER BY t_payment_time DESC, t_payment_id DESC) AS prn FROM u_payments WHERE r2 = '') q WHERE prn = 1) p ON p.t_order_id = o.t_order_id)""",
-        "wrong AS (SELECT t_order_id, t_payment_id FROM lcp WHERE t_payment_status = 'successful' AND t_payment_amount <> expected_amount)",
+        "wrong AS (SELECT t_order_id, t_payment_id FROM lcp WHERE t_payment_status = 'successful' AND coalesce(t_payment_amount <> expected_amount, d_payment_amount <> d_expected))",
         "f_orders AS (SELECT *, " + _plus("r3", "r3 = '' AND t_order_id IN (SELECT t_order_id FROM wrong)", "PAYMENT_AMOUNT_MISMATCH") + " AS r FROM u_orders)",
         "m_payments AS (SELECT *, " + _plus("r2", "r2 = '' AND t_payment_id IN (SELECT t_payment_id FROM wrong)", "PAYMENT_AMOUNT_MISMATCH") + " AS r3 FROM u_payments)",
         "f_payments AS (SELECT *, " + _plus(

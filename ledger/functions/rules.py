@@ -6,8 +6,9 @@ halves, for jobs that keep the stripped text and the value as columns.  A check
 columns and returns only a reason.  Nothing here leaves the JVM.
 
 Number texts follow the usual literal forms: an integer has an optional sign and digits that may be
-grouped by single underscores; a decimal may have an exponent.  Integers beyond 64 bits and
-decimals that do not fit 18 digits with 6 after the point are invalid.  Timestamps
+grouped by single underscores; a decimal may have an exponent.  Integers beyond 64 bits are
+invalid.  Decimals of any size and scale are valid: those that do not fit 18 digits with 6 after the point have no
+typed value but a normal form, text of sign, digits without zeros at either end, ``e`` and exponent.  Timestamps
 are ISO 8601 dates (calendar or week dates, extended or basic), optionally followed by any one character, a time
 (hours, minutes, seconds and a fraction, all but the hours optional, extended or basic) and an offset of hours, minutes and seconds; the
 usual form ``yyyy-MM-dd[ T]HH:mm[:ss[.f]][offset]`` is read without the detour of the others.  Fractions are cut after six digits; offsets beyond 18 hours are invalid.
@@ -60,11 +61,48 @@ def int_value(text: Column) -> Column:
 def decimal_value(text: Column) -> Column:
     """Only texts with an exponent or digit groups take the longer way that proves nothing is rounded."""
     digits = F.replace(text, F.lit("_"), F.lit(""))
-    exact = digits.try_cast("decimal(38,18)")
-    narrow = exact.try_cast("decimal(18,6)")
-    return F.when(text.rlike(PLAIN_DECIMAL), text.try_cast("decimal(18,6)")).when(
-        digits.rlike(DECIMAL) & (narrow == exact), narrow
-    )
+    narrow = digits.try_cast("decimal(18,6)")
+    exact = normal_form(digits).eqNullSafe(normal_form(narrow.cast("string")))
+    return F.when(text.rlike(PLAIN_DECIMAL), text.try_cast("decimal(18,6)")).when(digits.rlike(DECIMAL) & exact, narrow)
+
+
+NUMBER = r"^[+-]?([0-9]*)[.]?([0-9]*)(?:[eE]([+-]?[0-9]+))?$"
+
+
+def normal_form(text: Column) -> Column:
+    """``-12e-7`` and the like for a decimal text without digit groups; null for zero and for exponents beyond 64 bits."""
+    part = lambda k: F.regexp_extract(text, NUMBER, k)
+    digits = F.ltrim(F.concat(part(1), part(2)), F.lit("0"))
+    core = F.rtrim(digits, F.lit("0"))
+    given = F.when(part(3) == "", F.lit(0).cast("bigint")).otherwise(F.ltrim(part(3), F.lit("+")).try_cast("bigint"))
+    exponent = given - F.length(part(2)) + F.length(digits) - F.length(core)
+    return F.when(core != "", F.concat(F.when(text.startswith("-"), "-").otherwise(""), core, F.lit("e"), exponent.cast("string")))
+
+
+def wide_decimal(text: Column, typed: Column) -> Column:
+    """Normal form of a decimal that ``typed`` does not hold; null for all others."""
+    digits = F.replace(text, F.lit("_"), F.lit(""))
+    return F.when(typed.isNull() & digits.rlike(DECIMAL), normal_form(digits))
+
+
+def normal_product(normal: Column, factor: Column) -> Column:
+    """Normal form times an integer, exact: in steps of nine digits from the right."""
+    core, exponent = (F.regexp_extract(normal, r"^-?([0-9]+)e(.*)$", k) for k in (1, 2))
+    number = lambda c: c.cast("decimal(38,0)")
+    size, limb = F.length(core), F.lit(1_000_000_000).cast("decimal(10,0)")
+    start = F.struct(number(F.lit(0)).alias("carry"), F.lit("").alias("out"))
+
+    def step(state: Column, i: Column) -> Column:
+        end = size - i * 9
+        first = F.greatest(end - 8, F.lit(1))
+        total = number(F.substr(core, first, end - first + 1).cast("decimal(9,0)") * F.abs(factor).cast("decimal(19,0)") + state["carry"])
+        low = number(total % limb)
+        return F.struct(number((total - low) / limb).alias("carry"), F.concat(F.lpad(low.cast("string"), 9, "0"), state["out"]).alias("out"))
+
+    limbs = F.sequence(F.lit(0), F.ceil(size / 9).cast("int") - 1)
+    digits = F.aggregate(limbs, start, step, lambda s: F.concat(s["carry"].cast("string"), s["out"]))
+    minus = normal.startswith("-") != (factor < 0)
+    return F.when(factor != 0, normal_form(F.concat(F.when(minus, "-").otherwise(""), digits, F.lit("e"), exponent)))
 
 
 def _usual_form(text: Column) -> Column:
@@ -112,8 +150,10 @@ def parse_int(name: str, required: bool = True) -> tuple[Column, Column]:
 
 
 def parse_decimal(name: str) -> tuple[Column, Column]:
+    """The typed value is null without a reason where only the normal form (``wide_decimal``) holds the number."""
     typed = decimal_value(stripped(name))
-    return typed, parse_reason(name, "DECIMAL", stripped(name), typed)
+    held = F.coalesce(typed.isNotNull() | wide_decimal(stripped(name), typed).isNotNull(), F.lit(False))
+    return typed, parse_reason(name, "DECIMAL", stripped(name), F.when(held, 1))
 
 
 def parse_ts(name: str) -> tuple[Column, Column]:
@@ -125,6 +165,10 @@ def positive(value: Column, reason: str) -> Column:
     return F.when(value <= 0, F.lit(reason))
 
 
+def positive_amount(value: Column, wide: Column, reason: str) -> Column:
+    return F.when((value <= 0) | wide.startswith("-"), F.lit(reason))
+
+
 def allowed(value: Column, values: list[str], reason: str) -> Column:
     return F.when(~value.isin(values), F.lit(reason))
 

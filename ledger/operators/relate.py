@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledger.functions import rules as R
 from ledger.functions.rules import more_reasons
 from ledger.operators.lookup import newest_per_key, shuffled_apart, with_match_flag, with_older_flag
 
@@ -70,26 +71,31 @@ def unknown_order(payments: DataFrame, orders: DataFrame) -> DataFrame:
 
 def latest_clean_payment(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Per order without reasons: its latest payment without reasons."""
+    wide = [c for c in ("w_payment_amount",) if c in payments.columns]
     attempts = payments.filter(clean() & F.col("t_order_id").isNotNull()).select(
-        "t_order_id", "t_payment_id", "t_payment_time", "t_payment_status", "t_payment_amount"
+        "t_order_id", "t_payment_id", "t_payment_time", "t_payment_status", "t_payment_amount", *wide
     )
     latest = newest_per_key(
         attempts, "t_order_id", F.col("t_payment_time").desc_nulls_last(),
         F.col("t_payment_id").desc_nulls_last(),
     )
+    price = ["t_unit_price", "w_unit_price", "t_quantity"] if "w_unit_price" in orders.columns else []
     wanted = orders.filter(clean() & F.col("t_order_id").isNotNull()).select(
-        "t_order_id", (F.col("t_unit_price") * F.col("t_quantity")).alias("expected_amount")
+        "t_order_id", (F.col("t_unit_price") * F.col("t_quantity")).alias("expected_amount"), *price
     )
     return wanted.join(latest, "t_order_id")
 
 
 def amount_mismatches(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """``(t_order_id, t_payment_id)`` of clean orders whose latest clean payment succeeded with a wrong amount."""
-    latest = latest_clean_payment(orders, payments)
-    return latest.filter(
-        (F.col("t_payment_status") == "successful")
-        & (F.col("t_payment_amount") != F.col("expected_amount"))
-    ).select("t_order_id", "t_payment_id")
+    latest = latest_clean_payment(orders, payments).filter(F.col("t_payment_status") == "successful")
+    wrong = F.col("t_payment_amount") != F.col("expected_amount")
+    if "w_payment_amount" in latest.columns and "w_unit_price" in latest.columns:
+        # Where a side is wider than its type, normal forms are compared, exactly.
+        paid, price = (F.coalesce(f"w_{c}", R.normal_form(F.col(f"t_{c}").cast("string"))) for c in ("payment_amount", "unit_price"))
+        wide = F.col("w_payment_amount").isNotNull() | F.col("w_unit_price").isNotNull()
+        wrong = F.when(wide, ~paid.eqNullSafe(R.normal_product(price, F.col("t_quantity")))).otherwise(wrong)
+    return latest.filter(wrong).select("t_order_id", "t_payment_id")
 
 
 def flag_mismatch(orders: DataFrame, payments: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -53,6 +53,8 @@ def _parse_reason(table: str, field: str) -> Column:
     text, typed = F.col(f"s_{field}"), F.col(f"t_{field}")
     if kind == "text":
         return F.when(text.isNull(), F.lit(f"MISSING_REQUIRED_{field.upper()}"))
+    if kind == "decimal":
+        typed = F.coalesce(typed.cast("string"), F.col(f"w_{field}"))
     return R.parse_reason(field, WORDS[kind], text, typed, required=kind != "optional_int")
 
 
@@ -68,7 +70,7 @@ def _value_checks(table: str, typed: dict[str, Column]) -> list[tuple[str, str,
     if table == "products":
         return [
             ("positive_id", "product_id", R.positive(c["product_id"], "INVALID_PRODUCT_ID")),
-            ("positive_amount", "unit_price", R.positive(c["unit_price"], "NON_POSITIVE_UNIT_PRICE")),
+            ("positive_amount", "unit_price", R.positive_amount(c["unit_price"], F.col("w_unit_price"), "NON_POSITIVE_UNIT_PRICE")),
             ("timestamp_order", "updated_at",
              R.ordered(c["created_at"], c["updated_at"], "UPDATED_AT_BEFORE_CREATED_AT")),
         ]
@@ -80,7 +82,7 @@ def _value_checks(table: str, typed: dict[str, Column]) -> list[tuple[str, str,
             ("missing_reference", "product_id",
              R.missing_ref(c["product_id"], "MISSING_PRODUCT_REFERENCE")),
             ("positive_quantity", "quantity", R.positive(c["quantity"], "INVALID_QUANTITY")),
-            ("positive_amount", "unit_price", R.positive(c["unit_price"], "NON_POSITIVE_UNIT_PRICE")),
+            ("positive_amount", "unit_price", R.positive_amount(c["unit_price"], F.col("w_unit_price"), "NON_POSITIVE_UNIT_PRICE")),
             ("allowed_values", "order_status",
              R.allowed(c["order_status"], ORDER_STATUSES, "INVALID_ORDER_STATUS")),
             ("timestamp_order", "updated_at",
@@ -90,7 +92,7 @@ def _value_checks(table: str, typed: dict[str, Column]) -> list[tuple[str, str,
         ("positive_id", "payment_id", R.positive(c["payment_id"], "INVALID_PAYMENT_ID")),
         ("positive_id", "order_id", R.positive(c["order_id"], "INVALID_ORDER_REFERENCE")),
         ("positive_amount", "payment_amount",
-         R.positive(c["payment_amount"], "NON_POSITIVE_PAYMENT_AMOUNT")),
+         R.positive_amount(c["payment_amount"], F.col("w_payment_amount"), "NON_POSITIVE_PAYMENT_AMOUNT")),
         ("allowed_values", "payment_method",
          R.allowed(c["payment_method"], PAYMENT_METHODS, "INVALID_PAYMENT_METHOD")),
         ("allowed_values", "payment_status",
@@ -106,21 +108,23 @@ def _typed(table: str) -> dict[str, Column]:
 
 
 def _with_types(df: DataFrame, table: str) -> DataFrame:
-    """Add ``s_<field>`` (stripped text) and ``t_<field>`` (typed value) for every field.
+    """Add ``s_<field>`` (stripped text) and ``t_<field>`` (typed value) for every field, ``w_<field>`` for decimals beyond their type.
 
     Stripping, typing and checking are separate projections, so that each text is stripped and
-    parsed once however many checks refer to it.  They run as one generated method; the parsers are
-    written to keep it below the 8000 bytes of bytecode above which the JIT leaves a method alone.
+    parsed once however many checks refer to it.
     """
     typed = {
         f"t_{field}": VALUES[kind](F.col(f"s_{field}")) if kind in VALUES else F.col(f"s_{field}")
         for field, kind in PARSERS[table].items()
     }
-    return df.withColumns({f"s_{f}": R.stripped(f) for f in PARSERS[table]}).withColumns(typed)
+    wide = {
+        f"w_{field}": R.wide_decimal(F.col(f"s_{field}"), F.col(f"t_{field}")) for field, kind in PARSERS[table].items() if kind == "decimal"
+    }
+    return df.withColumns({f"s_{f}": R.stripped(f) for f in PARSERS[table]}).withColumns(typed).withColumns(wide)
 
 
 def _validate(df: DataFrame, table: str) -> DataFrame:
-    """Raw columns, ``t_*`` typed columns and ordered ``reasons``."""
+    """Raw columns, ``t_*`` typed columns, ``w_*`` normal forms of wide decimals, and ordered ``reasons``."""
     parse = [_parse_reason(table, field) for field in PARSERS[table]]
     checks = [reason for _, _, reason in _value_checks(table, _typed(table))]
     return (

@@ -17,8 +17,8 @@ from ledger.sources.sinks import layer_path, write_curated, write_rejected
 SLIM = {
     "customers": ["t_customer_id", "t_updated_at"],
     "products": ["t_product_id", "t_updated_at"],
-    "orders": ["t_order_id", "t_customer_id", "t_product_id", "t_quantity", "t_unit_price", "t_updated_at"],
-    "payments": ["t_payment_id", "t_order_id", "t_payment_amount", "t_payment_status", "t_payment_time", "t_updated_at"],
+    "orders": ["t_order_id", "t_customer_id", "t_product_id", "t_quantity", "t_unit_price", "w_unit_price", "t_updated_at"],
+    "payments": ["t_payment_id", "t_order_id", "t_payment_amount", "w_payment_amount", "t_payment_status", "t_payment_time", "t_updated_at"],
 }
 
 

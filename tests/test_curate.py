@@ -97,6 +97,19 @@ def test_cascade(spark, tmp_path):
     assert orders["rejection_reason_counts"]["INVALID_QUANTITY"] == 2 and orders["reconciled"]
 
 
+def test_wide_amounts_are_compared_exactly(spark, tmp_path):
+    big = "123456789012345678901234567890"
+    counts = run(
+        spark, tmp_path, customers=[h.customer(1)], products=[h.product(1, "1e-7")],
+        orders=[h.order(1, price="1e-7", q=3), h.order(2, price="1.0000009", q=2), h.order(3, price=big, q=7), h.order(4, price=big, q=7), h.order(5, price="-" + big), h.order(6, price="10.00000000")],
+        payments=[h.payment(1, 1, "0.0000003"), h.payment(2, 2, "2.0000019"), h.payment(3, 3, str(7 * int(big))), h.payment(4, 4, str(7 * int(big) + 1)), h.payment(5, 5, "1.0000000001"), h.payment(6, 6, "2e1")],
+    )
+    assert counts["orders"] == (6, 3, 3) and counts["products"] == (1, 1, 0)
+    assert rejected(spark, tmp_path, "orders", "order_id") == [
+        ("2", "PAYMENT_AMOUNT_MISMATCH"), ("4", "PAYMENT_AMOUNT_MISMATCH"), ("5", "NON_POSITIVE_UNIT_PRICE")]
+    assert [r[0] for r in rejected(spark, tmp_path, "payments", "payment_id")] == ["2", "4", "5"]
+
+
 def test_original_text_is_kept(spark, tmp_path):
     run(spark, tmp_path, customers=[h.customer(" 1 ", name=' a "quoted",\nname ')], products=[h.product("+1", " 1e1")])
     kept = read_layer(spark, f"{tmp_path}/curated/customers.csv", "customers").first()

@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledger.functions import rules as R
 
@@ -40,7 +41,7 @@ def test_decimals(spark, text, value):
     assert parse(spark, R.parse_decimal, text) == (Decimal(value), None)
 
 
-@pytest.mark.parametrize("text", ["NaN", "Infinity", "-inf", "12,5", "abc", "1.0000009", "1e-7", "1" * 20, "--1", "."])
+@pytest.mark.parametrize("text", ["NaN", "Infinity", "-inf", "12,5", "abc", "--1", ".", "1e", "e5", "1e99999999999999999999", "1.2.3"])
 def test_bad_decimals(spark, text):
     assert parse(spark, R.parse_decimal, text) == (None, "INVALID_DECIMAL_F")
 
@@ -103,3 +104,25 @@ def test_shapes_of_timestamps_as_the_standard_library_reads_them(spark):
             continue
         value = value.replace(tzinfo=value.tzinfo or timezone.utc).astimezone(timezone.utc)
         assert (row["t"], row["r"]) == (value.isoformat(timespec="microseconds"), None), row["f"]
+
+
+WIDE = ["1.0000009", "1e-7", "1" * 20, "9" * 30 + "." + "1" * 25, "-1_000_000.12345678", "12.5e40", "+0.000000000000000000000000000001", "1E+30", "-.00000005"]
+
+
+@pytest.mark.parametrize("text", WIDE)
+def test_wide_decimals_are_valid_in_normal_form(spark, text):
+    assert parse(spark, R.parse_decimal, text) == (None, None)
+    wide = R.wide_decimal(R.stripped("f"), R.decimal_value(R.stripped("f")))
+    got = spark.createDataFrame([(text,)], "f string").select(wide.alias("w"), R.positive_amount(R.decimal_value(R.stripped("f")), wide, "NO").alias("p")).first()
+    assert Decimal(got["w"]) == Decimal(text) and not got["w"].lstrip("-").startswith("0") and "0e" not in got["w"]
+    assert got["p"] == ("NO" if text.startswith("-") else None)
+
+
+def test_products_of_normal_forms_are_exact(spark):
+    from fractions import Fraction
+
+    rows = [(w, q) for w in [*WIDE, "12.5", "7"] for q in (1, 3, 10, 999_999_999, 2**62, -4)]
+    text = F.replace(F.col("w"), F.lit("_"), F.lit(""))
+    got = spark.createDataFrame(rows, "w string, q bigint").select("w", "q", R.normal_product(R.normal_form(text), F.col("q")).alias("p")).collect()
+    for r in got:
+        assert Fraction(r["p"]) == Fraction(r["w"].replace("_", "")) * r["q"], r
