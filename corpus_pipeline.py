@@ -8,10 +8,14 @@ from ledger.llm import decontaminate, language_id, mixing, sharding, simhash
 from ledger.llm.common import cut, ship, table
 
 
+#: Languages that stay; None keeps every language that the labelled documents teach.
+LANGUAGES: tuple[str, ...] | None = None
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language (no text, no letter) go."""
+    """Documents whose language is not recognised go: no text, no letter, or no language that scores enough."""
     ship(spark)
-    return language_id.keep_identified(docs)
+    return language_id.keep_identified(docs, LANGUAGES)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import io
 import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -255,10 +255,21 @@ def identify_languages(docs: DataFrame) -> DataFrame:
         "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), F.col("_llm_lang").alias("lang_pred"), F.col("_llm_score").alias("score"))
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text holds a letter; all columns kept.
+#: Score below which a language does not count as recognised; an even spread over four languages scores a quarter.
+LEAST_SCORE = 0.35
 
-    Only texts without a letter are ``und`` to a fitted model.  Where no model could be fitted (no label outside fold 0, or none on a text
-    with a letter), the same rule decides alone.
+
+def keep_identified(docs: DataFrame, languages: Collection[str] | None = None, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` in a recognised language; all columns kept.
+
+    A row goes if its text holds no letter, if the predicted language scores less than ``least_score``, or if it is not one of
+    ``languages`` (None: all that were learned).  Where no model could be fitted (no label outside fold 0, or none on a text
+    with a letter), no language is known and the letter decides alone.
     """
-    return predict(docs, train(docs), unlearned="").filter(F.col("_llm_lang") != NONE).select(*[named(c) for c in docs.columns])
+    model = train(docs)
+    kept = F.col("_llm_lang") != NONE
+    if model:
+        kept &= F.col("_llm_score") >= least_score
+        if languages is not None:
+            kept &= F.col("_llm_lang").isin(list(languages))
+    return predict(docs, model, unlearned="").filter(kept).select(*[named(c) for c in docs.columns])

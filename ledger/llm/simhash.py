@@ -251,7 +251,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each component, that of its smallest id (among equal ids, the smallest key); all columns kept.
 
     A component without ids keeps the row with the smallest key.  Repeated rows count as copies.  Components that share their smallest id, or
-    have none, each keep a row.
+    have none, each keep a row.  Of rows equal in id and text the one whose other columns come first as JSON stays.
     """
     rows = near_duplicates(docs)
     first = rows.groupBy("_root").agg(
@@ -259,4 +259,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     first = cut(first.select("_llm_keep"), "simhash-kept")
     marked = docs.withColumn("_llm_key", document_key(named("doc_id"), named("text")))
     held = marked.join(first, F.col("_llm_key") == F.col("_llm_keep"), "left_semi")
-    return held.dropDuplicates(["_llm_key"]).select(*[named(c) for c in docs.columns])
+    fields = [named(c) for c in docs.columns]
+    other = [named(c) for c in docs.columns if c != "text"]
+    one = held.groupBy("_llm_key").agg(F.min_by(F.struct(*fields), F.to_json(F.struct(*other))).alias("_llm_row"))
+    return one.select(*[F.col("_llm_row").getField(c).alias(c) for c in docs.columns])

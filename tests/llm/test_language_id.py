@@ -116,3 +116,15 @@ def test_collapsed_matrix_equals_the_kernel_machine():
     model = language_id.Model(language_id.fit(texts, langs, landmarks=5))
     got, scores = model.predict(texts + ["the house", "das haus und"])
     assert got == [*langs, "en", "de"] and min(scores) > 0.5
+
+
+def test_the_stage_keeps_allowed_and_recognised_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    predicted = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify_languages(docs).collect()}
+    for languages, least in ((None, 0.0), (("en", "fr"), 0.0), (None, 0.99), (("de",), 0.9), ((), 0.0)):
+        kept = language_id.keep_identified(docs, languages, least)
+        assert kept.columns == docs.columns
+        want = {d for d, (lang, score) in predicted.items() if lang != "und" and score >= least and (languages is None or lang in languages)}
+        assert {r.doc_id for r in kept.select("doc_id").collect()} == want
+    everything = {d for d, (lang, _) in predicted.items() if lang != "und"}
+    assert {r.doc_id for r in language_id.keep_identified(docs).select("doc_id").collect()} == everything

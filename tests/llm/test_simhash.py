@@ -100,3 +100,14 @@ def test_empty(spark):
     empty = odd.documents(spark).limit(0)
     assert found(empty) == []
     assert simhash.drop_near_duplicates(empty).count() == 0
+
+
+def test_the_row_that_stays_does_not_depend_on_the_order(spark):
+    """Rows equal in id and text but not in other columns: always the same one stays."""
+    rows = [(1, odd.PROSE, s, n) for s in ("b", "a", None) for n in (3, 1, 2)] + [(2, "other words here today", "z", None)]
+    schema = "doc_id bigint, text string, source string, `n.chars` bigint"
+    kept = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        kept.add(tuple(sorted((tuple(r) for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, schema).repartition(4)).collect()), key=str)))
+    assert len(kept) == 1 and len(next(iter(kept))) == 2
