@@ -51,8 +51,18 @@ def shared_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir")
 
 
+def session_scratch(spark: SparkSession) -> str:
+    """The folder below which all scratch tables of this application lie."""
+    return f"{shared_root(spark)}/ledger/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, label: str = "run") -> str:
-    return f"{shared_root(spark)}/ledger/{label}-{uuid.uuid4().hex}"
+    return f"{session_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application; results that still read them must have been written before."""
+    remove_scratch(spark, session_scratch(spark))
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from ledger.session import build_session  # noqa: E402
+from ledger.session import build_session, clear_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,4 +16,5 @@ def spark():
         "spark.ui.showConsoleProgress": "false", "spark.log.level": "ERROR",
     })
     yield session
+    clear_scratch(session)
     session.stop()

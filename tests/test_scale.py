@@ -13,7 +13,7 @@ from ledger.operators import relate, reports
 from ledger.operators.lookup import newest_per_key, with_dense_rank, with_match_flag, with_older_flag
 from ledger.plans.report import write_reports
 from ledger.schemas import KEYS
-from ledger.session import shared_root
+from ledger.session import remove_scratch, scratch, session_scratch, shared_root, stage
 
 SF = "/root/testdata/sf0.001"
 
@@ -168,7 +168,7 @@ def test_ranked_rows_stay_spread(spark):
 
 
 def test_ranks_leave_nothing_behind(spark):
-    folder = Path(shared_root(spark)) / "ledger"
+    folder = Path(session_scratch(spark))
     before = set(folder.glob("*")) if folder.exists() else set()
     df = spark.range(0, 1000, 1, 4).select("id", (F.col("id") % 10).cast("decimal(18,2)").alias("v"))
     done = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
@@ -233,3 +233,13 @@ def test_totals_do_not_depend_on_the_join_strategy(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_scratch_of_an_application_lies_in_one_folder(spark):
+    table = scratch(spark, "one")
+    stage(spark.range(3), table)
+    assert table.startswith(session_scratch(spark) + "/") and Path(table).exists()
+    remove_scratch(spark, table)
+    assert not Path(table).exists()
+    with pytest.raises(ValueError):
+        remove_scratch(spark, "/tmp/elsewhere")
