@@ -6,8 +6,8 @@ summed by source and the first 12 bits, the bucket in which the rest runs out is
 summed again by its next 12 bits, until it is one hash value.  Nothing is sorted but the few buckets of a source,
 and sums combine inside map tasks, so a source with a third of all rows is no hot group.
 
-Defined results: a null text has size 0; a null source is a source of its own, last in order; rows with equal ids
-(null is one id) are taken alike; an empty table gives an empty result; sources without words have target 0.
+Defined results: a null text has size 0; a null source is a source of its own, last in order; rows equal in id and text are taken
+alike, rows of one id (or without one) with different texts apart; an empty table gives an empty result; sources without words have target 0.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ def _source_key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source.cast("string")))
 
 
-def _own_hash(doc_id: Column) -> Column:
-    return hash60(F.coalesce(doc_id.cast("string"), F.lit("null")))
+def _own_hash(doc_id: Column, text: Column) -> Column:
+    return hash60(F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit("|"), F.coalesce(text, F.lit(""))))
 
 
 def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -94,7 +94,7 @@ def sized_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Id, source, size and hash of every document, written once for the passes over it."""
     return cut(docs.select(
         named(doc_id).alias("_id"), _source_key(named(source)).alias("_key"), word_count(named(text)).alias("_size"),
-        _own_hash(named(doc_id)).alias("_hash")), "mix-sizes")
+        _own_hash(named(doc_id), named(text)).alias("_hash")), "mix-sizes")
 
 
 def _copies() -> Column:
@@ -114,7 +114,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     bounds = thresholds(sized_documents(docs), weights, share, cap).select("_key", "_whole", "_threshold")
     bounds = bounds.withColumnsRenamed({c: f"_llm{c}" for c in bounds.columns})
     mine = _source_key(named("source")) == F.col("_llm_key")
-    times = (F.col("_llm_whole") + (_own_hash(named("doc_id")) < F.col("_llm_threshold")).cast("long")).cast("int")
+    times = (F.col("_llm_whole") + (_own_hash(named("doc_id"), named("text")) < F.col("_llm_threshold")).cast("long")).cast("int")
     return (
         docs.join(bounds, mine)
         .withColumn("_llm_copy", F.explode(F.array_repeat(F.lit(1), times)))

@@ -13,7 +13,7 @@ MIX = f"""
 WITH sized AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS place,
     coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
-    {_HASH.format("coalesce(CAST(doc_id AS VARCHAR), 'null')")} AS h
+    {_HASH.format("coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || coalesce(text, '')")} AS h
   FROM documents),
 totals AS (SELECT place, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY place),
 weighed AS (

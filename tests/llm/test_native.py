@@ -174,6 +174,18 @@ def test_ranks_equal_the_solved_equations(spark):
             assert got.get((kind, f"h{i}"), 0.0) == pytest.approx(want[i], rel=1e-5, abs=1e-15)
 
 
+def test_rows_of_one_id_are_mixed_apart(spark):
+    """Half of a source's rows share one id, others have none: the taken words still come near the target."""
+    rows = [(7 if i % 2 else None if i % 3 else i, " ".join(f"w{i}" for _ in range(1 + i % 9)), "a" if i % 5 else "b") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.plan_mix(docs).collect()
+    for source in ("a", "b"):
+        sizes = sum(len(t.split()) for _, t, s in rows if s == source)
+        own = [r for r in got if r.source_size == sizes]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 10
+    assert rows_of(mixing.plan_mix(docs)) == rows_of_sql("documents", docs, sql.MIX)
+
+
 def test_empty(spark):
     docs = odd.documents(spark).limit(0)
     assert mixing.plan_mix(docs).count() == mixing.mix(docs).count() == 0
