@@ -22,12 +22,11 @@ SLIM = {
 }
 
 
-def _with_final(wide: DataFrame, slim: DataFrame) -> DataFrame:
+def _with_final(wide: DataFrame, gained: DataFrame) -> DataFrame:
     """Put the final reasons of the rows that gained any onto the full rows.
 
     ``_row`` is unique, so the one shuffle of full rows is even whatever the keys look like.
     """
-    gained = slim.filter(F.size("reasons") > F.col("_before")).select("_row", F.col("reasons").alias("_final"))
     return (
         wide.join(gained, "_row", "left")
         .withColumn("reasons", F.coalesce("_final", "reasons"))
@@ -35,12 +34,30 @@ def _with_final(wide: DataFrame, slim: DataFrame) -> DataFrame:
     )
 
 
-def judge(text_tables: dict[str, DataFrame], work: str, seen: dict[str, int] | None = None) -> dict[str, DataFrame]:
-    """All rows of the four tables with their final ``reasons``; ``seen`` gets the rows read of each.
+def _layers(wide: DataFrame, gained: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(curated, rejected) full rows, straight from the typed rows and the slim outcome.
 
-    ``text_tables`` hold the text fields and ``_seq``.  The typed rows are written below ``work`` once: the text is
+    Curated rows meet only the numbers of those that gained a reason; rows with reasons of their own only look up further ones.
+    """
+    clean, own = wide.filter(F.size("reasons") == 0), wide.filter(F.size("reasons") > 0)
+    late = clean.join(gained, "_row").withColumn("reasons", F.col("_final")).drop("_final", "_row")
+    return clean.join(gained, "_row", "left_anti").drop("_row"), _with_final(own, gained).unionByName(late)
+
+
+def judge(text_tables: dict[str, DataFrame], work: str) -> dict[str, DataFrame]:
+    """All rows of the four tables with their final ``reasons``; ``text_tables`` hold the text fields and ``_seq``."""
+    typed, gained = _outcome(text_tables, work)
+    return {table: _with_final(typed[table], gained[table]) for table in TABLES}
+
+
+def _outcome(
+    text_tables: dict[str, DataFrame], work: str, seen: dict[str, int] | None = None
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Per table the typed rows, and ``_row`` and ``_final`` reasons of those that gained any; ``seen`` gets the rows read.
+
+    The typed rows are written below ``work`` once: the text is
     parsed once, ``_seq`` is frozen and each row gets a number.  Versions, references and amounts
-    are then worked out on the few columns they need; the full rows are joined with the outcome once.
+    are then worked out on the few columns they need; what comes out of that is slim too.
     """
     spark = next(iter(text_tables.values())).sparkSession
 
@@ -71,7 +88,12 @@ def judge(text_tables: dict[str, DataFrame], work: str, seen: dict[str, int] | N
     wrong = stage(relate.amount_mismatches(slim["orders"], slim["payments"]), f"{work}/mismatches")
     slim["orders"] = relate.flag_orders(slim["orders"], wrong)
     slim["payments"] = relate.flag_payments(slim["payments"], slim["orders"], wrong)
-    return {table: _with_final(typed[table], slim[table]) for table in TABLES}
+
+    def gain(table: str) -> DataFrame:
+        rows = slim[table].filter(F.size("reasons") > F.col("_before")).select("_row", F.col("reasons").alias("_final"))
+        return stage(rows, f"{work}/gained/{table}")
+
+    return typed, together(spark, gain, TABLES)
 
 
 def raw_to_curated(
@@ -117,25 +139,21 @@ def _curate(
 ) -> DataFrame:
     read = read_raw_versions if history else read_raw
     seen: dict[str, int] = {}
-    judged = judge({table: read(spark, raw, table, escape, multi_line) for table in TABLES}, work, seen)
-    # Both layers, the summary and the histogram read the judged rows; of the typed columns only the
-    # timestamps are written.
-    def settle(table: str) -> DataFrame:
-        times = [f"t_{c}" for c in timestamps(table)]
-        return stage(judged[table].select(*columns(table), *times, "reasons"), f"{work}/judged/{table}")
-
-    final = together(spark, settle, TABLES)
+    typed, gained = _outcome({table: read(spark, raw, table, escape, multi_line) for table in TABLES}, work, seen)
+    # Full rows are written twice: typed, and in their layer.
+    layers = {table: _layers(typed[table], gained[table]) for table in TABLES}
 
     def write(table: str) -> tuple[int, int]:
-        return (write_curated(final[table], targets[table, curated], table, overwrite),
-                write_rejected(final[table], targets[table, rejected], table, overwrite))
+        kept, refused = layers[table]
+        return (write_curated(kept, targets[table, curated], table, overwrite),
+                write_rejected(refused, targets[table, rejected], table, overwrite))
 
     written = together(spark, write, TABLES)
     result = [(t, seen[t], *written[t], seen[t] == sum(written[t])) for t in TABLES]
     report = spark.createDataFrame(
         result, "table_name string, raw_rows bigint, curated_rows bigint, rejected_rows bigint, reconciled boolean")
     if summary:
-        quality.write_summary(report, quality.rejection_histogram(final), summary)
+        quality.write_summary(report, quality.rejection_histogram({table: refused for table, (_, refused) in layers.items()}), summary)
     elif not all(row[-1] for row in result):
         raise ValueError("layers do not reconcile")
     return report
