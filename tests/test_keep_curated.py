@@ -59,7 +59,7 @@ def some_rows(rng, n, size):
     }
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_random_batches_equal_the_whole_job(spark, tmp_path, seed):
     rng = random.Random(seed)
     root, state = h.write(tmp_path / "raw", nested=True, **some_rows(rng, 0, 12)), f"{tmp_path}/state"
