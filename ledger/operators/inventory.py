@@ -129,7 +129,7 @@ def file_digests(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFra
     ``tree_sha256`` is the root of a hash tree over the file's lines in order: SHA-256 of each line, of each ``LEAF_LINES`` lines' digests, and of
     up to ``NODE_FAN`` digests on each of ``NODE_LEVELS`` levels above.  It takes in every byte but a last line break, which shows in ``bytes``, and does not depend on how
     Spark splits the file, so files of any size are read by many tasks on one path.  ``data_rows`` counts the rows of texts with doubled
-    quotes, whose line breaks inside quotes end no row, less the header.
+    quotes, whose line breaks inside quotes end no row, less the header.  Files without a byte are not listed by Spark's readers.
     """
     files = _files(spark, root, glob).select("path", F.col("length").alias("bytes"))
     leaves = _leaves(_placed_lines(spark, root, glob))
