@@ -126,3 +126,16 @@ def test_products_of_normal_forms_are_exact(spark):
     got = spark.createDataFrame(rows, "w string, q bigint").select("w", "q", R.normal_product(R.normal_form(text), F.col("q")).alias("p")).collect()
     for r in got:
         assert Fraction(r["p"]) == Fraction(r["w"].replace("_", "")) * r["q"], r
+
+
+@pytest.mark.parametrize("core", ["12", "-3", "+", "1_0", "5.0", "12x", "é", "9" * 20, ""])
+def test_ends_of_texts_decide_as_the_patterns_do(spark, core):
+    """Comparing the first and last character, or a cast, may only decide what the patterns would."""
+    ends = ["", " ", "\t", "\x01", "\x7f", "\xa0", "é", "\n", "\r\n", "_"]
+    df = spark.createDataFrame([(a + core + b,) for a in ends for b in ends] + [(None,)], "f string")
+    text = F.col("f")
+    trimmed = F.btrim(text, F.lit(R.WHITESPACE))
+    strip = F.when(text.rlike(R.TIDY), text).when(trimmed != "", trimmed)
+    whole = F.when(strip.rlike(R.INTEGER), F.replace(strip, F.lit("_"), F.lit("")).try_cast("bigint"))
+    for r in df.select("f", R.stripped("f").alias("s"), strip.alias("s0"), R.int_value(R.stripped("f")).alias("i"), whole.alias("i0")).collect():
+        assert (r["s"], r["i"]) == (r["s0"], r["i0"]), repr(r["f"])
