@@ -9,7 +9,7 @@ import handmade as h
 from ledger.operators.quality import overall_status, validate_outputs
 from ledger.plans import curate
 from ledger.plans.curate import raw_to_curated
-from ledger.schemas import TABLES
+from ledger.schemas import KEYS, TABLES, columns
 from ledger.sources.raw import read_layer, read_raw
 from ledger.sources.sinks import layer_path
 
@@ -150,3 +150,16 @@ def test_a_lost_row_does_not_reconcile(spark, tmp_path, monkeypatch, summary):
     monkeypatch.setattr(curate, "write_curated", lambda df, *a: wrong(df.filter("customer_id <> '2'") if a[1] == "customers" else df, *a))
     with pytest.raises(ValueError, match="do not reconcile"):
         raw_to_curated(spark, raw, f"{tmp_path}/c", f"{tmp_path}/r", summary=f"{tmp_path}/s" if summary else None)
+
+
+def test_judged_rows_can_be_kept_without_their_texts(spark, tmp_path):
+    raw = h.write(
+        tmp_path / "raw", customers=[h.customer(1), h.customer(1, "Other", at="2026-08-14T00:00:00+00:00"), h.customer("x")], products=[h.product(1)],
+        orders=[h.order(1), h.order(2, 5)], payments=[h.payment(1, 1), h.payment(2, 2), h.payment(3, 7)])
+    text = {t: read_raw(spark, raw, t) for t in TABLES}
+    whole = curate.judge(text, f"{tmp_path}/whole")
+    slim = curate.judge(text, f"{tmp_path}/slim", {t: [KEYS[t]] for t in TABLES})
+    for t in TABLES:
+        assert not set(spark.read.parquet(f"{tmp_path}/slim/typed/{t}").columns) & (set(columns(t)) - {KEYS[t]})
+        one, other = (sorted((r[KEYS[t]], r["reasons"]) for r in found[t].collect()) for found in (whole, slim))
+        assert one == other and len(one) == text[t].count()
