@@ -13,6 +13,9 @@ from ledger.sources.control import read_watermark_history
 from ledger.sources.raw import read_batch
 from ledger.sources.sinks import watermark_folder
 
+#: Raw files, plain or compressed.
+RAW_FILES = "*.{csv,csv.gz,csv.lz4,csv.snappy}"
+
 # A file's hash tree: lines in leaves, leaves and nodes in nodes.  Fixed, since digests are kept and compared.
 LEAF_LINES = 1 << 14
 NODE_FAN = 1 << 12
@@ -66,7 +69,7 @@ def _with_rows(files: DataFrame, rows: DataFrame) -> DataFrame:
     })
 
 
-def lake_inventory(spark: SparkSession, roots: list[str], glob: str = "*.csv") -> DataFrame:
+def lake_inventory(spark: SparkSession, roots: list[str], glob: str = RAW_FILES) -> DataFrame:
     """``(path, bytes, modified_at, header, data_rows)`` per file; files outside ``glob`` are listed without contents."""
     return _union([
         _with_rows(
@@ -123,13 +126,14 @@ def _joined(ordered: str) -> Column:
     return F.unhex(F.sha2(F.unhex(F.array_join(F.transform(ordered, lambda x: F.hex(x["digest"])), "")), 256))
 
 
-def file_digests(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+def file_digests(spark: SparkSession, root: str, glob: str = RAW_FILES) -> DataFrame:
     """``(path, bytes, tree_sha256, data_rows)`` per file.
 
     ``tree_sha256`` is the root of a hash tree over the file's lines in order: SHA-256 of each line, of each ``LEAF_LINES`` lines' digests, and of
     up to ``NODE_FAN`` digests on each of ``NODE_LEVELS`` levels above.  It takes in every byte but a last line break, which shows in ``bytes``, and does not depend on how
     Spark splits the file, so files of any size are read by many tasks on one path.  ``data_rows`` counts the rows of texts with doubled
-    quotes, whose line breaks inside quotes end no row, less the header.  Files without a byte are not listed by Spark's readers.
+    quotes, whose line breaks inside quotes end no row, less the header.  Of a compressed file the lines are those of its text, ``bytes`` its size.  Files
+    without a byte are not listed by Spark's readers.
     """
     files = _files(spark, root, glob).select("path", F.col("length").alias("bytes"))
     leaves = _leaves(_placed_lines(spark, root, glob))

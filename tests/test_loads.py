@@ -391,3 +391,23 @@ def test_a_source_part_is_read_alone(spark, tmp_path):
     for t in TABLES:
         assert sorted(r[0] for r in read_source(spark, whole, t).select(KEYS[t]).collect()) == [1, 2]
         assert [r[0] for r in read_source(spark, {**whole, "partition": "past=false"}, t).select(KEYS[t]).collect()] == [1]
+
+
+def test_compressed_lake_reads_as_the_plain_one(spark, tmp_path):
+    src, after = source(spark, tmp_path / "s1", **BASE), source(spark, tmp_path / "s2", **{t: BASE[t] + NEW[t] for t in TABLES})
+    seen = {}
+    for name, compression in (("plain", None), ("packed", "lz4")):
+        root = str(tmp_path / name)
+        load.full_load(spark, src, root, "full", compression)
+        load.incremental_load(spark, after, root, "run-1", compression)
+        files = [f.name for f in Path(root).glob("*/**/part-*")]
+        assert files and all(f.endswith(".csv.lz4" if compression else ".csv") for f in files)
+        found = inventory.lake_inventory(spark, [f"{root}/{t}" for t in TABLES]).collect()
+        digests = inventory.batch_digests(spark, root, NEW_AT, "run-1").collect()
+        seen[name] = (
+            {t: sorted(map(tuple, read_raw_versions(spark, root, t).drop("_seq").collect())) for t in TABLES},
+            sorted((r["header"], r["data_rows"]) for r in found if "/part-" in r["path"]),
+            sorted((r["table_name"], r["tree_sha256"], r["data_rows"]) for r in digests),
+        )
+    assert seen["plain"] == seen["packed"]
+    assert sum(n for _, n in seen["packed"][1]) == 9 and sum(n for *_, n in seen["packed"][2]) == 4
