@@ -1,7 +1,8 @@
 """Keep the layers up to date batch by batch, judging again only what a batch can change.
 
-The state below one folder holds every row of the raw history once, as last judged, in files by key bucket: customers and products by
-their key, orders and payments by order id, so that all rows an amount check looks at lie together.  Side tables say in which
+The state below one folder holds the text of every row of the raw history once, as it came, and apart from it the slim rows that judging
+looks at, as last judged, in files by key bucket: customers and products by their key, orders and payments by order id, so that all rows
+an amount check looks at lie together.  Texts are written by the step that takes them in and not read again before a layer is asked for.  Side tables say in which
 bucket the orders of a customer or a product lie, and under which orders the versions of a payment.  A manifest names the folder
 that holds each bucket now.
 
@@ -41,6 +42,9 @@ SIDES = {
     "orders_by_customer": ("orders", "t_customer_id"), "orders_by_product": ("orders", "t_product_id"),
     "payments_by_id": ("payments", "t_payment_id"),
 }
+SEQ = "struct<batch:bigint,done:bigint,part:bigint,file:bigint,block:bigint,row:bigint>"
+#: What tells a row from all others: the step that took it in, and its place in the input.
+ROW = ["_step", "_seq"]
 MANIFEST = "kind string, name string, bucket int, folder string, curated bigint, rejected bigint"
 KNOWN = {"orders": ["_knows_customer", "_knows_product"]}
 
@@ -55,6 +59,7 @@ class State:
         self.buckets = next((r["bucket"] for r in rows if r["kind"] == "buckets"), buckets)
         self.runs = {r["name"] for r in rows if r["kind"] == "run"}
         self.tables = {t: {r["bucket"]: r for r in rows if r["kind"] == "table" and r["name"] == t} for t in TABLES}
+        self.texts = {t: [r["folder"] for r in rows if r["kind"] == "text" and r["name"] == t] for t in TABLES}
         self.sides: dict[str, dict[int, list[str]]] = {s: {} for s in SIDES}
         for r in rows:
             if r["kind"] == "side":
@@ -71,11 +76,14 @@ class State:
         return F.when(F.col(HOME[table]).isNotNull(), self.bucket(F.col(HOME[table]))).otherwise(self.bucket(F.col("_seq")))
 
     def read(self, table: str, buckets: set[int] | None, schema) -> DataFrame:
-        """Rows of the given buckets, of all for None."""
+        """Slim rows of the given buckets, of all for None."""
         own = self.tables[table]
         paths = [f"{self.root}/{r['folder']}/bucket={b}" for b, r in own.items() if buckets is None or b in buckets]
         return self._load(paths, schema)
 
+    def text(self, table: str, schema) -> DataFrame:
+        return self._load([f"{self.root}/{f}" for f in self.texts[table]], schema)
+
     def side(self, name: str, buckets: set[int]) -> DataFrame:
         paths = [f"{self.root}/{f}/bucket={b}" for b, folders in self.sides[name].items() if b in buckets for f in folders]
         return self._load(paths, "key bigint, order_id bigint, home int")
@@ -125,9 +133,13 @@ def _update(spark: SparkSession, raw: str, state: State, work: str, escape: str,
         read = Observation()
         rows = VALIDATORS[table](read_raw_versions(spark, raw, table, escape, multi_line, runs).observe(read, F.count(F.lit(1)).alias("rows")))
         kept = dict.fromkeys([*columns(table), "_seq", *SLIM[table], *[f"t_{c}" for c in timestamps(table)]])
+        # Texts stay where they are written first; what follows reads the slim columns of the same files.
+        out = stage(
+            rows.select(*kept, F.lit(state.number).cast("bigint").alias("_step"), F.col("reasons").alias("checked")),
+            f"{state.root}/{table}_text/{state.step}")
         known = [F.lit(None).cast("boolean").alias(c) for c in KNOWN.get(table, [])]
-        out = stage(rows.select(*kept, *known, F.col("reasons").alias("checked"), F.col("reasons").alias("linked"), "reasons"), f"{work}/new/{table}")
-        return out, read.get["rows"]
+        slim = out.select(*ROW, *SLIM[table], *known, "checked", F.col("checked").alias("linked"), F.col("checked").alias("reasons"))
+        return slim, read.get["rows"]
 
     typed = together(spark, type_rows, TABLES)
     new = {t: typed[t][0] for t in TABLES}
@@ -214,8 +226,8 @@ def _update(spark: SparkSession, raw: str, state: State, work: str, escape: str,
     (linked_orders, rest_orders), (linked_payments, rest_payments) = orders(), payments()
     wrong = stage(relate.amount_mismatches(linked_orders, linked_payments), f"{work}/mismatches")
     write("orders", rest_orders, relate.flag_orders(linked_orders, wrong))
-    # The orders of the judged payments' ids are all among those just written; other ids in the same buckets meet no payment here.
-    write("payments", rest_payments, relate.flag_payments(linked_payments, written["orders"], wrong))
+    # The orders of the judged payments' ids are all among those judged here.
+    write("payments", rest_payments, relate.flag_payments(linked_payments, linked_orders, wrong))
 
     def write_side(name: str) -> list[tuple]:
         table, key = SIDES[name]
@@ -227,6 +239,9 @@ def _update(spark: SparkSession, raw: str, state: State, work: str, escape: str,
 
     sides = together(spark, write_side, SIDES)
     manifest = [("buckets", "", state.buckets, "", None, None), *(("run", r, None, "", None, None) for r in {*state.runs, *(x["_run"] for x in runs.collect())})]
+    for table, folders in state.texts.items():
+        own = [f"{table}_text/{state.step}"] if typed[table][1] else []
+        manifest += [("text", table, None, f, None, None) for f in (*folders, *own)]
     for name, own in state.sides.items():
         manifest += [("side", name, b, f, None, None) for b, folders in own.items() for f in folders] + sides[name]
     result = []
@@ -254,7 +269,8 @@ def current_rows(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     for table in TABLES:
         text = ", ".join(f"{c} string" for c in columns(table))
         times = ", ".join(f"t_{c} timestamp" for c in timestamps(table))
-        found[table] = state.read(table, None, f"{text}, {times}, reasons array<string>")
+        rows = state.text(table, f"{text}, {times}, _step bigint, _seq {SEQ}")
+        found[table] = rows.join(state.read(table, None, f"_step bigint, _seq {SEQ}, reasons array<string>"), ROW).drop(*ROW)
     return found
 
 
