@@ -225,7 +225,7 @@ def _update(spark: SparkSession, raw: str, state: State, work: str, escape: str,
 
     (linked_orders, rest_orders), (linked_payments, rest_payments) = orders(), payments()
     wrong = stage(relate.amount_mismatches(linked_orders, linked_payments), f"{work}/mismatches")
-    write("orders", rest_orders, relate.flag_orders(linked_orders, wrong))
+    write("orders", rest_orders, relate.flag_orders(linked_orders, wrong, True))
     # The orders of the judged payments' ids are all among those judged here.
     write("payments", rest_payments, relate.flag_payments(linked_payments, linked_orders, wrong))
 

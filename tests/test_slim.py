@@ -63,7 +63,8 @@ def test_payments_of_an_order_that_mismatched_without_its_reason(spark):
     want = {7: [relate.MISMATCH, relate.NOT_CURATED], 8: [], 9: ["BAD", relate.NOT_CURATED]}
     for given in (orders, relate.flag_orders(orders, wrong)):
         assert {r["t_payment_id"]: r["reasons"] for r in relate.flag_payments(payments, given, wrong).collect()} == want
-    assert sorted(r["reasons"] for r in relate.flag_orders(orders, wrong).collect()) == [[], [relate.MISMATCH], [relate.SUPERSEDED]]
+    for unique in (False, True):
+        assert sorted(r["reasons"] for r in relate.flag_orders(orders, wrong, unique).collect()) == [[], [relate.MISMATCH], [relate.SUPERSEDED]]
 
 
 def test_older_flag_by_row_number(spark):
